@@ -40,7 +40,12 @@ def explode_ids(df: DataFrame, segs_col: str = "id_segments", *, id_col: str = "
     other = [c for c in df.columns if c != segs_col]
     segs = F.col(segs_col)
     step1 = df.select(*other, F.posexplode(with_offsets(segs)).alias("_seg_idx", "_seg"))
-    n = F.col("_seg.g.n")
+    # flat columns from here on (keeps nested-field pruning out of the generators)
+    step1 = step1.select(*other, "_seg_idx", F.col("_seg.g.prefix").alias("_pfx"),
+                         F.col("_seg.g.start").alias("_st"), F.col("_seg.g.n").alias("_n"),
+                         F.col("_seg.g.suffix").alias("_sfx"), F.col("_seg.g.pad").alias("_pad"),
+                         F.col("_seg.offset").alias("_off"))
+    n = F.col("_n")
     nchunks = F.floor((n + chunk_size - 1) / chunk_size).cast("bigint")
     step2 = step1.select("*", F.explode(F.when(n > 0, F.sequence(F.lit(0).cast("bigint"), nchunks - 1))
                                         .otherwise(F.array().cast("array<bigint>"))).alias("_chunk"))
@@ -49,8 +54,10 @@ def explode_ids(df: DataFrame, segs_col: str = "id_segments", *, id_col: str = "
     lo = F.col("_chunk") * chunk_size
     hi = F.least(lo + chunk_size, n) - 1
     step3 = step2.select("*", F.explode(F.sequence(lo, hi)).alias("_i"))
+    g = F.struct(F.col("_pfx").alias("prefix"), F.col("_st").alias("start"), F.col("_n").alias("n"),
+                 F.col("_sfx").alias("suffix"), F.col("_pad").alias("pad"))
     return step3.select(
         *other,
-        render_id(F.col("_seg.g"), F.col("_i")).alias(id_col),
-        (F.col("_seg.offset") + F.col("_i")).alias(idx_col),
+        render_id(g, F.col("_i")).alias(id_col),
+        (F.col("_off") + F.col("_i")).alias(idx_col),
     )
