@@ -100,7 +100,11 @@ def sparrow_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.array(*[F.lit(h) for h in ("Identification Number", "Quantity", "Description of Equipment",
                                                 "SWL")]),
                    F.array(F.col("id_text"), _s(F.col("qty")), F.col("description"), F.col("swl_text")))
-    return _pages(d, F.lit("Sparrows inspection certificate"), grid)
+    no_table = (F.col("l_linenumber") == 6) & (F.col("qty") % 2 == 0)
+    return d.select("doc_id", F.lit("derived").alias("path"), "page_no",
+                    F.lit("Sparrows inspection certificate").alias("text"),
+                    F.when(no_table, F.array().cast("array<array<array<string>>>")).otherwise(F.array(grid))
+                    .alias("tables"))
 
 
 def centurion_pages(spark: SparkSession, sf_dir: str, qty_layout: bool = False) -> DataFrame:

@@ -599,3 +599,54 @@ def q_scan_page_grids(spark, sf):
     t = F.get(F.col("tables"), 0)
     return p.select("doc_id", "page_no", F.size("tables").alias("n_tables"), F.size(t).alias("n_rows"),
                     grid_text(t).alias("grid"))
+
+
+# ======================================================================== layouts (X1-X7) and sinks
+ITEM_OUT = ["item_description", "model", "swl_value", "swl_unit", "swl_note", "manufacturer", "certificate_no",
+            "previous_inspection", "next_inspection_due_date", "provider_identification"]
+
+
+def run_layout(spark, pages, client, opts=None, materialize=True):
+    """One client's layouts over ``pages`` -> (items, page_errors).  The raw
+    items are checkpointed once (to ``spark.checkpoint.dir``) because the
+    dictionary step reads them more than once."""
+    from ..session import ensure_checkpoint_dir
+    from .pipeline import Options, expand_and_reduce, finish_items, layout_outcome, page_errors_of, raw_items_of
+    opts = opts or Options()
+    out = layout_outcome(pages, client, opts)
+    raw = raw_items_of(out)
+    if materialize:
+        ensure_checkpoint_dir(spark)
+        raw = raw.checkpoint(eager=True)
+    items = expand_and_reduce(finish_items(raw, cr.fixture_dictionary(spark)), opts)
+    return items, page_errors_of(out)
+
+
+def item_table(items):
+    return items.select("doc_id", "id_number", F.col("first_pos.page_no").alias("first_page"),
+                        F.col("first_pos.id_idx").alias("first_idx"), *ITEM_OUT,
+                        F.when(F.size("errors") > 0, render_py_list(F.col("errors"))).alias("errors"))
+
+
+@query("extract_sparrow")
+def q_extract_sparrow(spark, sf):
+    return item_table(run_layout(spark, cr.sparrow_pages(spark, sf), "Sparrows")[0])
+
+
+@query("extract_centurion_single")
+def q_extract_centurion_single(spark, sf):
+    return item_table(run_layout(spark, cr.centurion_pages(spark, sf, False), "Centurion")[0])
+
+
+@query("extract_centurion_qty")
+def q_extract_centurion_qty(spark, sf):
+    return item_table(run_layout(spark, cr.centurion_pages(spark, sf, True), "Centurion")[0])
+
+
+@query("page_outcome")
+def q_page_outcome(spark, sf):
+    from .pipeline import layout_outcome
+    o = layout_outcome(cr.sparrow_pages(spark, sf), "Sparrows")
+    return o.select("doc_id", "page_no", F.when(F.col("outcome.error").isNotNull(), F.lit("error"))
+                    .otherwise(F.lit("items")).alias("status"), F.size("outcome.items").alias("n_items"),
+                    F.col("outcome.error").alias("error"))

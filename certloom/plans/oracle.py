@@ -534,6 +534,200 @@ paged AS (SELECT fx.*, p.p_name,
 SQL["first_page"] = with_fx(f", {PAGED} SELECT doc_id, page_no, 'Sparrows inspection certificate' AS text "
                             f"FROM paged WHERE page_no = 1")
 SQL["scan_page_grids"] = with_fx(f""", {PAGED}
-SELECT doc_id, page_no, 1 AS n_tables, 5 AS n_rows,
-  header_block || '|x|x|Identification Number,Quantity,Description of Equipment,SWL|' || id_text || ',' ||
-  CAST(qty AS VARCHAR) || ',' || coalesce(description, '~') || ',' || swl_text AS grid FROM paged""")
+SELECT doc_id, page_no, CASE WHEN no_table THEN 0 ELSE 1 END AS n_tables, CASE WHEN NOT no_table THEN 5 END AS n_rows,
+  CASE WHEN NOT no_table THEN header_block || '|x|x|Identification Number,Quantity,Description of Equipment,SWL|' ||
+  id_text || ',' || CAST(qty AS VARCHAR) || ',' || coalesce(description, '~') || ',' || swl_text END AS grid
+FROM (SELECT *, l_linenumber = 6 AND qty % 2 = 0 AS no_table FROM paged)""")
+
+
+# ======================================================================== layouts
+def id_expr_ctes(variant: str) -> str:
+    """CTEs over ``ie_src(rid, s, q)``: ``ie_ids(rid, id_number, id_idx)`` and
+    ``ie_ok(rid, ok)`` (ok = false where the numbering rules fail)."""
+    dash = "contains(s, '-') AND NOT regexp_matches(replace(s, '-', ''), '^[0-9]+$')"
+    branches = ["WHEN s IS NULL THEN 'fail'", "WHEN contains(lower(s), 'to') THEN 'g2'",
+                "WHEN regexp_matches(s, 'x\\d') THEN 'g3'"]
+    if variant in ("sparrow", "centurion", "centurion_deployed"):
+        branches.append("WHEN contains(s, ',') THEN 'g4'")
+    if variant in ("centurion", "centurion_local"):
+        branches.append(f"WHEN {dash} THEN 'g5'")
+    otherwise = "'fail'" if variant == "sparrow" else "'empty'"
+    return f"""
+ie_b AS (SELECT rid, s, q, CASE {' '.join(branches)} ELSE {otherwise} END AS br FROM ie_src),
+ie_g2a AS (SELECT rid, q, {strip("string_split(s, 'to')[1]")} AS first FROM ie_b WHERE br = 'g2'),
+ie_g2b AS (SELECT *, contains(first, '-') AS dashed, string_split(first, '-') AS parts FROM ie_g2a),
+ie_g2c AS (SELECT *, CASE WHEN dashed THEN parts[2] ELSE first END AS gs,
+             CASE WHEN dashed THEN parts[1] || '-' ELSE '' END AS pre FROM ie_g2b WHERE NOT dashed OR len(parts) = 2),
+ie_g2d AS (SELECT *, {g1_cols('gs')} FROM ie_g2c WHERE length(gs) > 0),
+ie_g2ok AS (SELECT * FROM ie_g2d WHERE g_base IS NOT NULL AND q IS NOT NULL),
+ie_g2ids AS (SELECT rid, pre || g_prefix || CAST(g_base + i AS VARCHAR) || g_suffix AS id_number, i AS id_idx
+             FROM (SELECT *, unnest(range(q)) AS i FROM ie_g2ok WHERE q > 0)),
+ie_g3a AS (SELECT rid, string_split(s, ',') AS pieces FROM ie_b WHERE br = 'g3'),
+ie_g3ok AS (SELECT * FROM ie_g3a WHERE len(list_filter(pieces, lambda p: len(string_split(p, 'x')) < 2 OR
+             regexp_replace(string_split(p, 'x')[2], '[^0-9]', '', 'g') = '')) = 0),
+ie_g3p AS (SELECT rid, unnest(pieces) AS piece, unnest(range(len(pieces))) AS k FROM ie_g3ok),
+ie_g3q AS (SELECT *, {strip("string_split(piece, 'x')[1]")} AS ident0,
+             CAST(regexp_replace(string_split(piece, 'x')[2], '[^0-9]', '', 'g') AS BIGINT) AS n FROM ie_g3p),
+ie_g3r AS (SELECT *, CASE WHEN regexp_matches(ident0, '[0-9]') THEN regexp_extract(ident0, '(?s)^(.*[0-9])', 1)
+             ELSE ident0 END AS ident,
+             coalesce(sum(n) OVER (PARTITION BY rid ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+             AS off FROM ie_g3q),
+ie_g3ids AS (SELECT rid, ident || '-' || CAST(1 + i AS VARCHAR) AS id_number, off + i AS id_idx
+             FROM (SELECT *, unnest(range(n)) AS i FROM ie_g3r WHERE n > 0)),
+ie_g4ids AS (SELECT rid, unnest(string_split(s, ',')) AS id_number, unnest(range(len(string_split(s, ','))))
+             AS id_idx FROM ie_b WHERE br = 'g4'),
+ie_g5a AS (SELECT rid, s, string_split(s, '-') AS parts FROM ie_b WHERE br = 'g5'),
+ie_g5b AS (SELECT *, parts[1] AS p0, {strip('parts[2]')} AS p1 FROM ie_g5a WHERE len(parts) = 2),
+ie_g5ok AS (SELECT *, substr(p0, 1, length(p0) - 1) AS pre, TRY_CAST(substr(p0, length(p0), 1) AS HUGEINT) AS st,
+             TRY_CAST(p1 AS HUGEINT) AS en FROM ie_g5b
+             WHERE length(p0) > 0 AND regexp_matches(substr(p0, length(p0), 1), '^[0-9]$')
+               AND regexp_matches(p1, '^[+-]?[0-9]+$')),
+ie_g5ids AS (SELECT rid, pre || CAST(st + i AS VARCHAR) AS id_number, i AS id_idx
+             FROM (SELECT *, unnest(range(CAST(greatest(en - st + 1, 0) AS BIGINT))) AS i FROM ie_g5ok)
+             UNION ALL SELECT rid, {strip('s')}, 0 FROM ie_g5a WHERE len(parts) <> 2),
+ie_ids AS (SELECT * FROM ie_g2ids UNION ALL SELECT * FROM ie_g3ids UNION ALL SELECT * FROM ie_g4ids
+           UNION ALL SELECT * FROM ie_g5ids),
+ie_ok AS (SELECT rid, CASE br WHEN 'g2' THEN rid IN (SELECT rid FROM ie_g2ok) WHEN 'g3' THEN rid IN
+           (SELECT rid FROM ie_g3ok) WHEN 'g4' THEN true WHEN 'g5' THEN (rid IN (SELECT rid FROM ie_g5ok) OR
+           rid IN (SELECT rid FROM ie_g5a WHERE len(parts) <> 2)) WHEN 'empty' THEN true ELSE false END AS ok,
+           (SELECT count(*) FROM ie_ids WHERE ie_ids.rid = ie_b.rid) AS n_ids FROM ie_b)"""
+
+
+PAYLOAD = ["item_description", "model", "swl_value", "swl_unit", "swl_note", "manufacturer", "certificate_no",
+           "previous_inspection", "next_inspection_due_date", "provider_identification", "errors"]
+
+
+def last_wins_sql(src: str) -> str:
+    """Per (doc_id, id_number): values of the greatest (page, row, idx) position,
+    first position kept."""
+    packed = "{" + ", ".join(f"'{c}': {c}" for c in PAYLOAD) + "}"
+    return f"""
+SELECT doc_id, id_number, w.first_page, w.first_idx, {', '.join(f'v.{c} AS {c}' for c in PAYLOAD)} FROM (
+  SELECT doc_id, id_number, arg_max({packed}, (page_no, row_no, id_idx)) AS v,
+         arg_min({{'first_page': page_no, 'first_idx': id_idx}}, (page_no, row_no, id_idx)) AS w
+  FROM {src} GROUP BY doc_id, id_number)"""
+
+
+def render_errors(x: str) -> str:
+    return f"CASE WHEN len({x}) > 0 THEN {pylist(x)} END"
+
+
+def lst(*items) -> str:
+    """Ordered error list from (condition, text) pairs."""
+    return "list_filter([" + ", ".join(f"CASE WHEN {c} THEN {t} END" for c, t in items) + "], lambda x: x IS NOT NULL)"
+
+
+def truthy(x: str) -> str:
+    return f"coalesce({x}, '') <> ''"
+
+
+SPARROW_SRC = f"""
+sp AS (SELECT doc_id, page_no, doc_id || '#' || CAST(page_no AS VARCHAR) AS rid, header_block,
+         (l_linenumber = 6 AND qty % 2 = 0) AS no_table, {strip('id_text')} AS ident,
+         CASE WHEN description IS NOT NULL THEN replace(description, chr(10), ' ') END AS descr,
+         {strip('swl_text')} AS swl_raw,
+         CAST(trunc(TRY_CAST({strip('CAST(qty AS VARCHAR)')} AS DOUBLE)) AS BIGINT) AS q FROM paged),
+sp_items AS (SELECT * FROM sp WHERE NOT no_table AND ident <> ''),
+ie_src AS (SELECT rid, ident AS s, q FROM sp_items WHERE q > 1)"""
+
+
+def _sparrow_body():
+    e = _entries_last('header_block')
+    return f"""
+sp2 AS (SELECT i.*, thr.manufacturer, thr.model, {_lookup(e, 'reportnumber')} AS certificate_no,
+          {_lookup(e, 'dateofthoroughexamination')} AS previous_inspection, {_lookup(e, 'jobnumber')} AS job,
+          {_lookup(e, 'duedateofnextthoroughexamination')} AS next_inspection_due_date,
+          CASE WHEN q IS NULL THEN false WHEN q <= 1 THEN true ELSE ok.ok END AS id_ok,
+          {truthy('descr')} AS has_desc, {truthy('swl_raw')} AS has_swl,
+          {swl_cols('swl_raw', swl.SPARROW, 'p_')}
+        FROM sp_items i LEFT JOIN thr ON thr.d = i.descr LEFT JOIN ie_ok ok ON ok.rid = i.rid),
+sp3 AS (SELECT *, {lst(('NOT has_desc', q(C.SPARROW_NO_DESCRIPTION)),
+                       ('has_desc AND manufacturer IS NULL', q(C.MANUFACTURER_NOT_FOUND)),
+                       ('has_desc AND model IS NULL', q(C.MODEL_NOT_FOUND)),
+                       (f"has_swl AND NOT ({truthy('p_swl_value')})", q(C.SWL_VALUE_NOT_FOUND)),
+                       (f"has_swl AND NOT ({truthy('p_swl_unit')})", q(C.SWL_UNIT_NOT_FOUND)),
+                       ('NOT has_swl', q(C.SWL_NOT_FOUND)),
+                       ('certificate_no IS NULL', q(C.CERTIFICATE_NO_NOT_FOUND)),
+                       ('previous_inspection IS NULL', q(C.PREVIOUS_INSPECTION_NOT_FOUND)),
+                       ('job IS NULL', q(C.PROVIDER_NOT_FOUND)),
+                       ('next_inspection_due_date IS NULL', q(C.NEXT_DUE_NOT_FOUND)))} AS base FROM sp2),
+sp4 AS (SELECT *, CASE WHEN NOT id_ok THEN list_concat(base, [{q(C.ID_EXPANSION_FAILED)},
+          {q(C.PAGE_NO_PREFIX)} || CAST(page_no AS VARCHAR)])
+          WHEN len(base) > 0 THEN list_concat(base, [{q(C.PAGE_NO_PREFIX)} || CAST(page_no AS VARCHAR)])
+          ELSE base END AS errs FROM sp3),
+sp_ids AS (SELECT rid, id_number, id_idx FROM ie_ids WHERE rid IN (SELECT rid FROM sp4 WHERE id_ok AND q > 1)
+           UNION ALL SELECT rid, ident, 0 FROM sp4 WHERE NOT id_ok OR q <= 1),
+sp_exp AS (SELECT doc_id, page_no, 4 AS row_no, sp_ids.id_number, sp_ids.id_idx,
+             CASE WHEN has_desc THEN descr END AS item_description, model,
+             CASE WHEN has_swl THEN nullif(p_swl_value, '') END AS swl_value,
+             CASE WHEN has_swl THEN p_swl_unit END AS swl_unit, CASE WHEN has_swl THEN p_swl_note END AS swl_note,
+             manufacturer, certificate_no, previous_inspection, next_inspection_due_date,
+             CASE WHEN job IS NOT NULL THEN 'LOFT-' || job END AS provider_identification,
+             {render_errors('errs')} AS errors
+           FROM sp4 JOIN sp_ids USING (rid))"""
+
+
+SQL["extract_sparrow"] = with_fx(f""", {dict_ctes()}, {PAGED}, {SPARROW_SRC}, {id_expr_ctes('sparrow')},
+{token_hits('sp_items', 'descr')}, {token_resolve()}, {_sparrow_body()}
+{last_wins_sql('sp_exp')}""")
+
+SQL["page_outcome"] = with_fx(f""", {PAGED}
+SELECT doc_id, page_no, CASE WHEN no_table THEN 'error' ELSE 'items' END AS status,
+  CASE WHEN no_table THEN 0 ELSE 1 END AS n_items, CASE WHEN no_table THEN {q(C.NO_TEXT_ON_PAGE)} END AS error
+FROM (SELECT *, l_linenumber = 6 AND qty % 2 = 0 AS no_table FROM paged)""")
+
+
+def _centurion(qty_layout: bool) -> str:
+    ef = _entries_first('block')
+    if qty_layout:
+        cell0 = "CAST(qty AS VARCHAR) || ' ' || description"
+        serial_cell = "id_text"
+    else:
+        cell0 = "description || ': ' || CAST(qty AS VARCHAR) || 'm'"
+        serial_cell = "'Serial No(s): ' || id_text"
+    serials = (f"array_to_string(list_transform(string_split(regexp_replace({serial_cell}, '\\s+', '', 'g'), ','), "
+               f"lambda p: CASE WHEN starts_with(p, {q(fields.SERIAL_PREFIX)}) THEN "
+               f"substr(p, {len(fields.SERIAL_PREFIX) + 1}) ELSE p END), ',')")
+    qty_expr = (f"TRY_CAST({nz(f'regexp_extract(cell0, {pat(fields.LEADING_QUANTITY)}, 1)')} AS BIGINT)"
+                if qty_layout else "NULL")
+    ids = ("""ce_ids AS (SELECT rid, id_number, id_idx FROM ie_ids WHERE rid IN (SELECT rid FROM ce3 WHERE q > 1 AND n_ids > 0)
+           UNION ALL SELECT rid, serials, 0 FROM ce3 WHERE q <= 1 OR n_ids = 0),""" if qty_layout else
+           "ce_ids AS (SELECT rid, serials AS id_number, 0 AS id_idx FROM ce3),")
+    head = [] if qty_layout else [(f"NOT ({truthy('maker')})", q(C.MANUFACTURER_NOT_FOUND)),
+                                  ("model IS NULL", q(C.MODEL_NOT_FOUND))]
+    return with_fx(f""", {dict_ctes()}, {PAGED},
+ce AS (SELECT doc_id, page_no, doc_id || '#' || CAST(page_no AS VARCHAR) AS rid,
+         'Report Number: C' || CAST(l_orderkey AS VARCHAR) || chr(10) || 'Date of Examination: ' || date_text ||
+         chr(10) || 'Cust Ref/PO No.: P' || CAST(l_suppkey AS VARCHAR) AS block,
+         {cell0} AS cell0, {strip('swl_text')} AS wwl, strftime(try_strptime({strip('date_text')}, '%d/%m/%Y'),
+         '%d/%m/%Y') AS next_date, 'Maker' || CAST(l_suppkey AS VARCHAR) AS maker,
+         {serials} AS serials FROM paged),
+ce1 AS (SELECT *, CASE WHEN cell0 IS NOT NULL THEN replace(cell0, chr(10), ' ') END AS descr,
+          {qty_expr} AS q FROM ce),
+ce_items AS (SELECT * FROM ce1 WHERE descr IS NOT NULL AND descr <> ''),
+ie_src AS (SELECT rid, serials AS s, q FROM ce_items WHERE q > 1),
+{id_expr_ctes('centurion')},
+{token_hits('ce_items', 'descr')}, {token_resolve()},
+ce2 AS (SELECT i.*, thr.model, {_lookup(ef, 'custrefpono')} AS provider_identification,
+          {_lookup(ef, 'reportnumber')} AS certificate_no, {_lookup(ef, 'dateofexamination')} AS previous_inspection,
+          coalesce(ok.ok, true) AS id_ok, coalesce(ok.n_ids, 0) AS n_ids, {truthy('wwl')} AS has_wwl,
+          {swl_cols('wwl', swl.CENTURION_DEPLOYED, 'p_')}
+        FROM ce_items i LEFT JOIN thr ON thr.d = i.descr LEFT JOIN ie_ok ok ON ok.rid = i.rid),
+ce3 AS (SELECT *, {lst(*head,
+                       (f"has_wwl AND NOT ({truthy('p_swl_value')})", q(C.SWL_VALUE_NOT_FOUND)),
+                       (f"has_wwl AND NOT ({truthy('p_swl_unit')})", q(C.SWL_UNIT_NOT_FOUND_C)),
+                       ('NOT has_wwl', q(C.SWL_NOT_FOUND_C)))} AS errs FROM ce2
+        WHERE {'q IS NOT NULL AND id_ok' if qty_layout else 'true'}),
+{ids}
+ce_exp AS (SELECT doc_id, page_no, 4 AS row_no, ce_ids.id_number, ce_ids.id_idx,
+             string_split(descr, ':')[1] AS item_description, model,
+             CASE WHEN has_wwl THEN nullif(p_swl_value, '') END AS swl_value,
+             CASE WHEN has_wwl THEN p_swl_unit END AS swl_unit, CASE WHEN has_wwl THEN p_swl_note END AS swl_note,
+             nullif(maker, '') AS manufacturer, certificate_no, previous_inspection,
+             next_date AS next_inspection_due_date, provider_identification, {render_errors('errs')} AS errors
+           FROM ce3 JOIN ce_ids USING (rid))
+{last_wins_sql('ce_exp')}""")
+
+
+SQL["extract_centurion_single"] = _centurion(False)
+SQL["extract_centurion_qty"] = _centurion(True)

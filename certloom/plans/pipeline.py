@@ -95,6 +95,20 @@ def _cand_struct():
                     F.col("_o_first_integrated").alias("first_integrated")).alias("cand")
 
 
+def layout_outcome(pages: DataFrame, client: str, opts: Options = Options()) -> DataFrame:
+    """Outcome of every page under one known client's layouts only."""
+    d = pages.withColumn("client", F.lit(client))
+    if client == "Sparrows":
+        d = sparrow_outcome(d, "outcome", opts.variant)
+    elif client == "Centurion":
+        d = centurion_client_outcome(d, "outcome", _centurion_variant(opts))
+    elif client == "First Integrated":
+        d = first_integrated_outcome(d, "outcome", opts.variant, opts.compat)
+    else:
+        raise ValueError(f"unknown client {client!r}")
+    return d.select("doc_id", "page_no", "client", "outcome")
+
+
 def page_outcome(pages: DataFrame, client_col: str = "client", opts: Options = Options()) -> DataFrame:
     """One row per page with ``outcome struct<items, error>`` for a known client."""
     d = with_candidates(pages, opts).select("doc_id", "page_no", client_col, _cand_struct())
