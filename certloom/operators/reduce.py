@@ -39,9 +39,9 @@ def number_rows(df: DataFrame, part_col: str, order_col: str, out_col: str = "ro
     document holding a third of all rows lands in one task).  The default is
     skew-safe: a global range sort spreads even one huge key over many tasks;
     each task numbers its slice with ``monotonically_increasing_id``; a small
-    per-(key, task) count table gives each slice its offset.  The order
-    column must be unique within a key, so the numbering is deterministic and
-    recomputes identically after a lost task."""
+    per-(key, task) count table gives each slice its offset.  The tagged rows
+    are checkpointed once so both uses (counts and numbering) see the same
+    slices.  The order column must be unique within a key."""
     if not skew_safe:
         w = Window.partitionBy(part_col).orderBy(order_col)
         return df.withColumn(out_col, F.row_number().over(w) + (start - 1))
@@ -49,6 +49,12 @@ def number_rows(df: DataFrame, part_col: str, order_col: str, out_col: str = "ro
     tagged = sorted_df.withColumn("_mid", F.monotonically_increasing_id())
     tagged = tagged.withColumn("_task", F.shiftright("_mid", 33)).withColumn(
         "_local", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
+    # Both branches below must see the same slices and ids: store them once
+    # (reliable checkpoint) instead of letting each branch re-sample the range
+    # bounds or re-run a task after a lost executor.
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    tagged = tagged.checkpoint(eager=True)
     stats = tagged.groupBy(part_col, "_task").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_local").alias("_lo"))
     w = Window.partitionBy(part_col).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))

@@ -88,9 +88,19 @@ def described(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("doc_id", _s(F.col("l_orderkey"))))
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Store derived page grids once (reliable checkpoint under
+    ``spark.checkpoint.dir``).  Layouts then read ``tables`` as a stored
+    column, as they do with real page grids, instead of an expression tree
+    that Catalyst would inline into every cell access."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _pages(df: DataFrame, text, grid) -> DataFrame:
-    return df.select("doc_id", F.lit("derived").alias("path"), "page_no", text.alias("text"),
-                     F.array(grid).alias("tables"))
+    return materialize(df.select("doc_id", F.lit("derived").alias("path"), "page_no", text.alias("text"),
+                                 F.array(grid).alias("tables")))
 
 
 def sparrow_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,10 +111,9 @@ def sparrow_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                 "SWL")]),
                    F.array(F.col("id_text"), _s(F.col("qty")), F.col("description"), F.col("swl_text")))
     no_table = (F.col("l_linenumber") == 6) & (F.col("qty") % 2 == 0)
-    return d.select("doc_id", F.lit("derived").alias("path"), "page_no",
-                    F.lit("Sparrows inspection certificate").alias("text"),
-                    F.when(no_table, F.array().cast("array<array<array<string>>>")).otherwise(F.array(grid))
-                    .alias("tables"))
+    return materialize(d.select("doc_id", F.lit("derived").alias("path"), "page_no",
+                                F.lit("Sparrows inspection certificate").alias("text"),
+                                F.slice(F.array(grid), 1, F.when(no_table, 0).otherwise(1)).alias("tables")))
 
 
 def centurion_pages(spark: SparkSession, sf_dir: str, qty_layout: bool = False) -> DataFrame:

@@ -607,17 +607,19 @@ ITEM_OUT = ["item_description", "model", "swl_value", "swl_unit", "swl_note", "m
 
 
 def run_layout(spark, pages, client, opts=None, materialize=True):
-    """One client's layouts over ``pages`` -> (items, page_errors).  The raw
-    items are checkpointed once (to ``spark.checkpoint.dir``) because the
-    dictionary step reads them more than once."""
+    """One client's layouts over ``pages`` -> (items, page_errors).  The
+    compact per-page outcomes are checkpointed once (to
+    ``spark.checkpoint.dir``): the dictionary step reads the items more than
+    once, and exploding a stored column keeps Catalyst from re-inlining the
+    layout expressions into the generator."""
     from ..session import ensure_checkpoint_dir
     from .pipeline import Options, expand_and_reduce, finish_items, layout_outcome, page_errors_of, raw_items_of
     opts = opts or Options()
     out = layout_outcome(pages, client, opts)
-    raw = raw_items_of(out)
     if materialize:
         ensure_checkpoint_dir(spark)
-        raw = raw.checkpoint(eager=True)
+        out = out.checkpoint(eager=True)
+    raw = raw_items_of(out)
     items = expand_and_reduce(finish_items(raw, cr.fixture_dictionary(spark)), opts)
     return items, page_errors_of(out)
 
@@ -650,3 +652,74 @@ def q_page_outcome(spark, sf):
     return o.select("doc_id", "page_no", F.when(F.col("outcome.error").isNotNull(), F.lit("error"))
                     .otherwise(F.lit("items")).alias("status"), F.size("outcome.items").alias("n_items"),
                     F.col("outcome.error").alias("error"))
+
+
+def _sparrow_run(spark, sf):
+    return run_layout(spark, cr.sparrow_pages(spark, sf), "Sparrows")
+
+
+@query("sink_items")
+def q_sink_items(spark, sf):
+    from ..sources.sinks import item_sheet
+    return item_sheet(_sparrow_run(spark, sf)[0]).drop("client")
+
+
+@query("sink_page_errors")
+def q_sink_page_errors(spark, sf):
+    from ..sources.sinks import page_error_sheet
+    return page_error_sheet(_sparrow_run(spark, sf)[1]).drop("client")
+
+
+@query("sink_manifest")
+def q_sink_manifest(spark, sf):
+    from ..sources.sinks import PREAMBLE
+    items = _sparrow_run(spark, sf)[0]
+    return items.select("doc_id", "client").distinct().select(
+        "doc_id", F.lit(PREAMBLE[0]).alias("A1"), F.col("client").alias("B1"), F.lit(PREAMBLE[1]).alias("C1"))
+
+
+@query("extraction_summary")
+def q_extraction_summary(spark, sf):
+    items, errors = _sparrow_run(spark, sf)
+    return reduce.extraction_summary(items, errors)
+
+
+@query("sink_overwrite")
+def q_sink_overwrite(spark, sf):
+    """Write the item sheet twice for the same run date; the second
+    write replaces the first (dynamic partition overwrite), so the table holds
+    one copy.  Written under the shared checkpoint folder."""
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    from ..sources.sinks import item_sheet, write_partitioned
+    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/sink-overwrite-{uuid.uuid4().hex}"
+    sheet = item_sheet(_sparrow_run(spark, sf)[0])
+    write_partitioned(sheet, base, "2024-01-01")
+    write_partitioned(sheet, base, "2024-01-01")
+    return spark.read.parquet(base)
+
+
+def mixed_pages(spark, sf):
+    """Documents of two clients plus unroutable ones, in one page table."""
+    s = cr.sparrow_pages(spark, sf).withColumn("doc_id", F.concat(F.lit("S-"), "doc_id"))
+    c = cr.centurion_pages(spark, sf, False).withColumn("doc_id", F.concat(F.lit("C-"), "doc_id"))
+    d = cr.table(spark, sf, "documents").select(F.concat(F.lit("D-"), _s(F.col("doc_id"))).alias("doc_id"),
+                                                F.lit("documents").alias("path"), F.lit(1).alias("page_no"),
+                                                "text", F.lit(None).cast("array<array<array<string>>>")
+                                                .alias("tables"))
+    return s.unionByName(c).unionByName(d)
+
+
+@query("certificate_pipeline")
+def q_certificate_pipeline(spark, sf):
+    from .pipeline import extract
+    items, _, _ = extract(mixed_pages(spark, sf), cr.fixture_dictionary(spark))
+    return item_table(items)
+
+
+@query("union_clients")
+def q_union_clients(spark, sf):
+    """Item tables of two clients' layouts in one table."""
+    a = item_table(run_layout(spark, cr.sparrow_pages(spark, sf), "Sparrows")[0])
+    b = item_table(run_layout(spark, cr.centurion_pages(spark, sf, False), "Centurion")[0])
+    return a.withColumn("client", F.lit("Sparrows")).unionByName(b.withColumn("client", F.lit("Centurion")))

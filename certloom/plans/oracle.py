@@ -731,3 +731,34 @@ ce_exp AS (SELECT doc_id, page_no, 4 AS row_no, ce_ids.id_number, ce_ids.id_idx,
 
 SQL["extract_centurion_single"] = _centurion(False)
 SQL["extract_centurion_qty"] = _centurion(True)
+
+
+SINK_COLS = {"Id Number": "id_number", "RFID": None, "Item Category": None, "Item Description": "item_description",
+             "Model": "model", "SWL Value": "swl_value", "SWL Unit": "swl_unit", "SWL Note": "swl_note",
+             "Manufacturer": "manufacturer", "Certificate No": "certificate_no", "Location": None,
+             "Detailed Location ": None, "Previous Inspection": "previous_inspection",
+             "Next Inspection Due Date": "next_inspection_due_date", "Fit For Purpose Y/N": None, "Status": None,
+             "Provider Identification": "provider_identification", "Errors": "errors"}
+_SINK_SELECT = ", ".join((f'{v} AS "{k}"' if v else f'CAST(NULL AS VARCHAR) AS "{k}"') for k, v in SINK_COLS.items())
+SQL["sink_items"] = f"""
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY first_page, first_idx) + 2 AS sheet_row, {_SINK_SELECT}
+FROM ({SQL['extract_sparrow']})"""
+SQL["sink_page_errors"] = with_fx(f""", {PAGED}
+SELECT doc_id, page_no AS "Page No", {q(C.NO_TEXT_ON_PAGE)} AS "Error" FROM paged
+WHERE l_linenumber = 6 AND qty % 2 = 0""")
+SQL["sink_manifest"] = f"""
+SELECT DISTINCT doc_id, 'Rig-Ware import v2' AS A1, 'Sparrows' AS B1, 'CreateLocations=No' AS C1
+FROM ({SQL['extract_sparrow']})"""
+SQL["extraction_summary"] = f"""
+SELECT 'Sparrows' AS client, (SELECT count(*) FROM ({SQL['extract_sparrow']})) AS n_items,
+  (SELECT count(DISTINCT doc_id) FROM ({SQL['extract_sparrow']})) AS n_docs,
+  (SELECT count(*) FROM ({SQL['sink_page_errors']})) AS n_error_pages"""
+_ITEM_COLS = "id_number, first_page, first_idx, " + ", ".join(PAYLOAD)
+SQL["certificate_pipeline"] = f"""
+SELECT 'S-' || doc_id AS doc_id, {_ITEM_COLS} FROM ({SQL['extract_sparrow']})
+UNION ALL
+SELECT 'C-' || doc_id AS doc_id, {_ITEM_COLS} FROM ({SQL['extract_centurion_single']})"""
+SQL["union_clients"] = f"""
+SELECT doc_id, {_ITEM_COLS}, 'Sparrows' AS client FROM ({SQL['extract_sparrow']})
+UNION ALL
+SELECT doc_id, {_ITEM_COLS}, 'Centurion' AS client FROM ({SQL['extract_centurion_single']})"""

@@ -144,8 +144,7 @@ def page_errors_of(outcomes: DataFrame) -> DataFrame:
 
 
 def raw_items_of(outcomes: DataFrame) -> DataFrame:
-    return outcomes.select("doc_id", "page_no", "client", F.explode("outcome.items").alias("it")).select(
-        "doc_id", "page_no", "client", "it.*")
+    return outcomes.select("doc_id", "page_no", "client", F.inline("outcome.items"))
 
 
 def _lookup_table(items: DataFrame, dictionary: Dictionary) -> DataFrame:
@@ -221,10 +220,10 @@ def extract(pages: DataFrame, dictionary: Dictionary, opts: Options = Options(),
     stays lazy (and re-reads the input per consumer)."""
     cand = candidate_outcomes(pages, opts, keywords)
     if materialize:
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(pages.sparkSession)
         cand = cand.checkpoint(eager=True)
     routes, outcomes = choose_outcomes(cand, keywords)
     raw = raw_items_of(outcomes)
-    if materialize:
-        raw = raw.checkpoint(eager=True)
     items = expand_and_reduce(finish_items(raw, dictionary), opts)
     return items, page_errors_of(outcomes), document_status(routes)
