@@ -45,6 +45,11 @@ def number_rows(df: DataFrame, part_col: str, order_col: str, out_col: str = "ro
     if not skew_safe:
         w = Window.partitionBy(part_col).orderBy(order_col)
         return df.withColumn(out_col, F.row_number().over(w) + (start - 1))
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    # The range sort samples its input and then reads it again: store the
+    # input once so the upstream plan runs a single time.
+    df = df.checkpoint(eager=True)
     sorted_df = df.repartitionByRange(F.col(part_col), F.col(order_col)).sortWithinPartitions(part_col, order_col)
     tagged = sorted_df.withColumn("_mid", F.monotonically_increasing_id())
     tagged = tagged.withColumn("_task", F.shiftright("_mid", 33)).withColumn(
@@ -52,8 +57,6 @@ def number_rows(df: DataFrame, part_col: str, order_col: str, out_col: str = "ro
     # Both branches below must see the same slices and ids: store them once
     # (reliable checkpoint) instead of letting each branch re-sample the range
     # bounds or re-run a task after a lost executor.
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
     tagged = tagged.checkpoint(eager=True)
     stats = tagged.groupBy(part_col, "_task").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_local").alias("_lo"))
     w = Window.partitionBy(part_col).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)

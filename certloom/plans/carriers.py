@@ -137,3 +137,61 @@ def centurion_pages(spark: SparkSession, sf_dir: str, qty_layout: bool = False)
                 F.concat(F.lit("Maker"), _s(F.col("l_suppkey"))), F.concat(F.lit("C"), _s(F.col("l_partkey")))),
         F.array(serial, F.lit(None).cast("string")))
     return _pages(d, F.lit("Centurion lifting certificate"), grid)
+
+
+def _sa(*cells):
+    return F.array(*[c if not isinstance(c, str) else F.lit(c) for c in cells])
+
+
+NULL = F.lit(None).cast("string")
+
+
+def hendrik_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X4 grids: ID after a parenthesis in r2, capacity in r3, description and
+    maker under r9's labels in r10, dashed date in r14."""
+    d = described(spark, sf_dir)
+    ln, x = F.col("l_linenumber"), _sa("x")
+    rows = [x] * 15
+    rows[2] = _sa(F.concat(F.lit("Id ("), _s(ln), F.lit(") HK-"), _s(F.col("l_orderkey")), F.lit("-"),
+                           _s(F.col("l_partkey")), F.lit(" more")))
+    rows[3] = _sa(F.concat(F.lit("WLL "), F.col("swl_text")))
+    rows[9] = _sa("Description", NULL, "Manufacturer")
+    rows[10] = _sa(F.col("description"), NULL, F.when(ln % 2 == 0, F.lit("Tiger blocks")).otherwise(
+        F.lit("red MILLER")))
+    rows[14] = _sa(F.concat(F.lit("Date "), F.replace(F.col("date_text"), F.lit("/"), F.lit("-"))))
+    text = F.concat(F.lit("Centurion Hendrik Certificate No. : "), _s(F.col("l_orderkey")))
+    return materialize(d.select("doc_id", F.lit("derived").alias("path"), "page_no", text.alias("text"),
+                                F.array(F.array(*rows)).alias("tables")))
+
+
+def first_integrated_pages(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """X5 (``register``), X6 (``cells``) and X7 (``declaration``) grids."""
+    d = described(spark, sf_dir)
+    ok, pk, sk, qty = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "qty"))
+    desc, date, rng = F.col("description"), F.col("date_text"), F.col("range_text")
+    if kind == "register":
+        item_row = F.concat(F.when(F.col("l_linenumber") % 2 == 0, F.lit("(AB) ")).otherwise(F.lit("")),
+                            F.lit("TZW"), _s(sk), F.lit(" "), desc, F.lit(" ("), _s(pk), F.lit(") "), _s(qty),
+                            F.lit(".0 Tonnes"))
+        tbl = F.array(_sa("Name & Address of employer for Whom the examination was made: X", NULL),
+                      _sa(item_row, date),
+                      _sa(F.concat(F.lit("Report Ref No ABC/"), F.lpad(_s(ok), 6, "0"), F.lit("/"),
+                                   F.lpad(_s(pk), 5, "0")),
+                          F.concat(F.lit("Date of thorough examination "), date)))
+    elif kind == "cells":
+        tbl = F.array(_sa(F.concat(F.lit("Date of Thorough Examination: "), date),
+                          F.concat(F.lit("Report Number: RN"), _s(ok))),
+                      _sa(F.concat(F.lit("identification of the equipment\n"), desc, F.lit("\n"), rng),
+                          F.concat(F.lit("WLL\na\nb\n"), _s(qty), F.lit(" TONNE"))),
+                      _sa(F.concat(F.lit("Latest date by which next thorough\nexamination must be carried out: "),
+                                   date)))
+    elif kind == "declaration":
+        tbl = F.array(_sa("Name & Address of Manufacturer: Z", NULL),
+                      _sa("Id Number", "WLL", "Certificate Number"),
+                      _sa(rng, F.concat(_s(qty), F.lit(" TONNES")), F.concat(F.lit("CN"), _s(pk))),
+                      _sa(F.concat(F.lit("Description\n"), desc), NULL,
+                          F.concat(F.lit("Date of Declaration\na\nb\n"), date)))
+    else:
+        raise ValueError(kind)
+    return materialize(d.select("doc_id", F.lit("derived").alias("path"), "page_no",
+                                F.lit("First Integrated certificate").alias("text"), F.array(tbl).alias("tables")))

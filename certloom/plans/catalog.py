@@ -723,3 +723,69 @@ def q_union_clients(spark, sf):
     a = item_table(run_layout(spark, cr.sparrow_pages(spark, sf), "Sparrows")[0])
     b = item_table(run_layout(spark, cr.centurion_pages(spark, sf, False), "Centurion")[0])
     return a.withColumn("client", F.lit("Sparrows")).unionByName(b.withColumn("client", F.lit("Centurion")))
+
+
+# ======================================================================== sources / streaming (rows-only checks)
+def _scratch(spark, name):
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    return ensure_checkpoint_dir(spark).rstrip("/") + f"/{name}-{uuid.uuid4().hex}"
+
+
+@query("scan_documents")
+def q_scan_documents(spark, sf):
+    """The benchmark folder's files as binary documents (metadata only;
+    the content column is never read)."""
+    from ..sources.readers import scan_documents
+    return scan_documents(spark, sf, glob="*.parquet").select("doc_id", "length")
+
+
+def _stream_run(spark, sf, batches: int):
+    from ..streaming.ingest import start_ingest
+    base = _scratch(spark, "stream")
+    pages = mixed_pages(spark, sf)
+    # each document's pages land in one file, as one PDF would
+    pages.repartition(max(1, batches), "doc_id").write.parquet(f"{base}/in")
+    q = start_ingest(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", cr.fixture_dictionary(spark),
+                     "2024-01-01")
+    q.awaitTermination()
+    return base
+
+
+@query("stream_ingest")
+def q_stream_ingest(spark, sf):
+    """Newly arrived page files -> items, via the batch pipeline per micro-batch."""
+    base = _stream_run(spark, sf, 4)
+    return spark.read.parquet(f"{base}/out/items").select("doc_id", "sheet_row", "Id Number", "Errors")
+
+
+@query("stream_overwrite")
+def q_stream_overwrite(spark, sf):
+    """Replaying the same files into the same output replaces, not appends."""
+    from ..streaming.ingest import start_ingest
+    base = _stream_run(spark, sf, 4)
+    q = start_ingest(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt2", cr.fixture_dictionary(spark),
+                     "2024-01-01")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out/items").select("doc_id", "sheet_row", "Id Number")
+
+
+@query("extract_hendrik")
+def q_extract_hendrik(spark, sf):
+    return item_table(run_layout(spark, cr.hendrik_pages(spark, sf), "Centurion")[0])
+
+
+@query("extract_fi_register")
+def q_extract_fi_register(spark, sf):
+    return item_table(run_layout(spark, cr.first_integrated_pages(spark, sf, "register"), "First Integrated")[0])
+
+
+@query("extract_fi_cells")
+def q_extract_fi_cells(spark, sf):
+    return item_table(run_layout(spark, cr.first_integrated_pages(spark, sf, "cells"), "First Integrated")[0])
+
+
+@query("extract_fi_declaration")
+def q_extract_fi_declaration(spark, sf):
+    return item_table(run_layout(spark, cr.first_integrated_pages(spark, sf, "declaration"),
+                                 "First Integrated")[0])
