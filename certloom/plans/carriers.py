@@ -143,7 +143,8 @@ def _sa(*cells):
     return F.array(*[c if not isinstance(c, str) else F.lit(c) for c in cells])
 
 
-NULL = F.lit(None).cast("string")
+def _null():
+    return F.lit(None).cast("string")
 
 
 def hendrik_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,8 +156,8 @@ def hendrik_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows[2] = _sa(F.concat(F.lit("Id ("), _s(ln), F.lit(") HK-"), _s(F.col("l_orderkey")), F.lit("-"),
                            _s(F.col("l_partkey")), F.lit(" more")))
     rows[3] = _sa(F.concat(F.lit("WLL "), F.col("swl_text")))
-    rows[9] = _sa("Description", NULL, "Manufacturer")
-    rows[10] = _sa(F.col("description"), NULL, F.when(ln % 2 == 0, F.lit("Tiger blocks")).otherwise(
+    rows[9] = _sa("Description", _null(), "Manufacturer")
+    rows[10] = _sa(F.col("description"), _null(), F.when(ln % 2 == 0, F.lit("Tiger blocks")).otherwise(
         F.lit("red MILLER")))
     rows[14] = _sa(F.concat(F.lit("Date "), F.replace(F.col("date_text"), F.lit("/"), F.lit("-"))))
     text = F.concat(F.lit("Centurion Hendrik Certificate No. : "), _s(F.col("l_orderkey")))
@@ -173,7 +174,7 @@ def first_integrated_pages(spark: SparkSession, sf_dir: str, kind: str) -> DataF
         item_row = F.concat(F.when(F.col("l_linenumber") % 2 == 0, F.lit("(AB) ")).otherwise(F.lit("")),
                             F.lit("TZW"), _s(sk), F.lit(" "), desc, F.lit(" ("), _s(pk), F.lit(") "), _s(qty),
                             F.lit(".0 Tonnes"))
-        tbl = F.array(_sa("Name & Address of employer for Whom the examination was made: X", NULL),
+        tbl = F.array(_sa("Name & Address of employer for Whom the examination was made: X", _null()),
                       _sa(item_row, date),
                       _sa(F.concat(F.lit("Report Ref No ABC/"), F.lpad(_s(ok), 6, "0"), F.lit("/"),
                                    F.lpad(_s(pk), 5, "0")),
@@ -186,10 +187,10 @@ def first_integrated_pages(spark: SparkSession, sf_dir: str, kind: str) -> DataF
                       _sa(F.concat(F.lit("Latest date by which next thorough\nexamination must be carried out: "),
                                    date)))
     elif kind == "declaration":
-        tbl = F.array(_sa("Name & Address of Manufacturer: Z", NULL),
+        tbl = F.array(_sa("Name & Address of Manufacturer: Z", _null()),
                       _sa("Id Number", "WLL", "Certificate Number"),
                       _sa(rng, F.concat(_s(qty), F.lit(" TONNES")), F.concat(F.lit("CN"), _s(pk))),
-                      _sa(F.concat(F.lit("Description\n"), desc), NULL,
+                      _sa(F.concat(F.lit("Description\n"), desc), _null(),
                           F.concat(F.lit("Date of Declaration\na\nb\n"), date)))
     else:
         raise ValueError(kind)

@@ -206,7 +206,7 @@ def centurion_header_fold(hdr, val, qty_layout: bool) -> Column:
     return F.aggregate(_indices(hdr), init, step)
 
 
-def centurion_outcome(df: DataFrame, out: str = "outcome", variant: str = "centurion") -> DataFrame:
+def centurion_outcome(df: DataFrame, out: str = "outcome", variant: str = "centurion", gate=None) -> DataFrame:
     """X2 / X3 (page text holds ``Centurion`` and not ``Hendrik``).
 
     Certificate number = report number (D5); serials from the whole row 5,
@@ -214,16 +214,20 @@ def centurion_outcome(df: DataFrame, out: str = "outcome", variant: str = "centu
     cannot read becomes a page error (D10); quantity 1 or an expression with no
     rule keeps the raw serial text as one ID (D3)."""
     tables, col = F.col("tables"), F.col
+    gate = F.lit(True) if gate is None else gate
     hdr, val = row_at(tables, 0, 2), row_at(tables, 0, 4)
     d = stage(df,
-              _ce_kind=F.when(F.coalesce(F.get(hdr, 0).contains(CENTURION_SINGLE), F.lit(False)), F.lit("single"))
-              .when(F.coalesce(F.get(hdr, 0).contains(CENTURION_QTY), F.lit(False)), F.lit("qty")),
-              _ce_serials=fields.serial_clean(text.row_text_nonnull(row_at(tables, 0, 5))),
-              _ce_labels=fields.label_entries_first(cell_at(tables, 0, 0, 13)),
+              _ce_kind=F.when(~gate, F.lit(None).cast(STR))
+              .when(F.coalesce(F.get(hdr, 0).contains(CENTURION_SINGLE), F.lit(False)), F.lit("single"))
+              .when(F.coalesce(F.get(hdr, 0).contains(CENTURION_QTY), F.lit(False)), F.lit("qty")))
+    on = col("_ce_kind").isNotNull()
+    d = stage(d,
+              _ce_serials=F.when(on, fields.serial_clean(text.row_text_nonnull(row_at(tables, 0, 5)))),
+              _ce_labels=F.when(on, fields.label_entries_first(cell_at(tables, 0, 0, 13))),
               _ce_block=cell_at(tables, 0, 0, 13), _ce_rows=F.size(F.get(tables, 0)),
               _ce_maker=pystrip(F.get(val, 4)), _ce_val=val)
     d = stage(d, _ce_f=F.when(col("_ce_kind") == "qty", centurion_header_fold(hdr, val, True))
-              .otherwise(centurion_header_fold(hdr, val, False)),
+              .when(on, centurion_header_fold(hdr, val, False)),
               _ce_provider=fields.label_lookup(col("_ce_labels"), "custrefpono"),
               _ce_cert=fields.label_lookup(col("_ce_labels"), "reportnumber"),
               _ce_prev=fields.label_lookup(col("_ce_labels"), "dateofexamination"))
@@ -268,9 +272,10 @@ def centurion_outcome(df: DataFrame, out: str = "outcome", variant: str = "centu
 
 
 # ============================================================ X4: Hendrik
-def hendrik_outcome(df: DataFrame, out: str = "outcome") -> DataFrame:
+def hendrik_outcome(df: DataFrame, out: str = "outcome", gate=None) -> DataFrame:
     """X4 (deployed rules).  Model = the model keyword (D1); errors per page."""
-    tables, col = F.col("tables"), F.col
+    col = F.col
+    tables = F.col("tables") if gate is None else F.when(gate, F.col("tables"))
     r2, r3, r9, r10, r14 = (row_at(tables, 0, i) for i in (2, 3, 9, 10, 14))
     d = stage(df, _he_cert=fields.certificate_search(col("text"), "certificate_no"),
               _he_id=fields.id_after_paren(F.get(r2, 0)),
@@ -320,7 +325,7 @@ def _fi_register(d: DataFrame, variant: str, compat: bool) -> DataFrame:
     are stamped on all its items (J7 inside the row).  Errors are the row's own
     (D6 fixed; ``running_errors`` gives the leaking form)."""
     col = F.col
-    d = stage(d, _r_flat=F.flatten(F.transform(F.coalesce(col("tables"), F.array()), lambda tbl, t: F.transform(
+    d = stage(d, _r_flat=F.flatten(F.transform(F.when(col("_fi_kind") == "fi_register", col("tables")), lambda tbl, t: F.transform(
         tbl, lambda row, r: F.struct(t.alias("t"), r.alias("r"), row_text(row).alias("rt"))))))
     low = lambda s, k: F.lower(s).contains(k.lower())
     d = stage(d, _r_prev=_last_nonnull(F.transform(col("_r_flat"), lambda x: F.when(
@@ -363,7 +368,8 @@ def _fi_cells(d: DataFrame, variant: str) -> DataFrame:
     to every ID on it); each ``identification of the equipment`` cell names
     IDs (G6 ranges).  Per cell the first matching label wins."""
     col = F.col
-    d = stage(d, _c_cells=F.transform(F.filter(_cells_in_order(F.get(col("tables"), 0)), lambda x: truthy(x["v"])),
+    d = stage(d, _c_cells=F.transform(F.filter(_cells_in_order(F.when(col("_fi_kind") == "fi_cells", F.get(
+        col("tables"), 0))), lambda x: truthy(x["v"])),
                                       lambda x: F.struct(x["v"].alias("v"), F.when(
                                           x["v"].contains("identification of the equipment"), F.lit("ident"))
                                           .when(x["v"].contains("WLL"), F.lit("wll"))
@@ -414,7 +420,7 @@ def _fi_declaration(d: DataFrame, variant: str) -> DataFrame:
     (``Description`` line 2, ``Date of Declaration`` line 4); next inspection =
     declaration + 180 days.  One shared record per page, as in X6."""
     col = F.col
-    tbl = F.get(col("tables"), 0)
+    tbl = F.when(col("_fi_kind") == "fi_declaration", F.get(col("tables"), 0))
     d = stage(d, _d_tbl=F.coalesce(tbl, F.array()))
     t = col("_d_tbl")
     d = stage(d, _d_cells=F.transform(F.filter(_cells_in_order(t), lambda x: truthy(x["v"])), lambda x: F.struct(
@@ -473,9 +479,10 @@ def first_integrated_outcome(df: DataFrame, out: str = "outcome", variant: str =
 def centurion_client_outcome(df: DataFrame, out: str = "outcome", variant: str = "centurion") -> DataFrame:
     """A Centurion client's page: Centurion layouts, or Hendrik when the text says so."""
     col = F.col
-    d = centurion_outcome(df, "_cc_c", variant)
-    d = hendrik_outcome(d, "_cc_h")
     txt = col("text")
+    d = centurion_outcome(df, "_cc_c", variant,
+                          gate=F.coalesce(txt.contains("Centurion") & ~txt.contains("Hendrik"), F.lit(False)))
+    d = hendrik_outcome(d, "_cc_h", gate=F.coalesce(txt.contains("Hendrik"), F.lit(False)))
     o = (F.when(F.coalesce(txt.contains("Centurion") & ~txt.contains("Hendrik"), F.lit(False)), col("_cc_c"))
          .when(F.coalesce(txt.contains("Hendrik"), F.lit(False)), col("_cc_h"))
          .otherwise(outcome()))

@@ -762,3 +762,77 @@ SQL["union_clients"] = f"""
 SELECT doc_id, {_ITEM_COLS}, 'Sparrows' AS client FROM ({SQL['extract_sparrow']})
 UNION ALL
 SELECT doc_id, {_ITEM_COLS}, 'Centurion' AS client FROM ({SQL['extract_centurion_single']})"""
+
+
+def _hendrik() -> str:
+    from ..functions.dates import DASHED_DATE
+    return with_fx(f""", {dict_ctes()}, {PAGED},
+he AS (SELECT doc_id, page_no,
+   {nz(f"regexp_extract('Id (' || CAST(l_linenumber AS VARCHAR) || ') HK-' || CAST(l_orderkey AS VARCHAR) || '-' || "
+       f"CAST(l_partkey AS VARCHAR) || ' more', {pat(fields.ID_AFTER_PAREN)}, 1)")} AS ident,
+   {nz(f"regexp_extract('WLL ' || swl_text, {pat(swl.HENDRIK_CAPACITY)}, 1)")} AS wwl,
+   replace({nz(f"regexp_extract('Date ' || replace(date_text, '/', '-'), {pat(DASHED_DATE)}, 1)")}, '-', '/') AS prev,
+   CASE WHEN description IS NOT NULL THEN replace(description, chr(10), ' ') END AS descr,
+   CASE WHEN l_linenumber % 2 = 0 THEN 'Tiger blocks' ELSE 'red MILLER' END AS maker_text,
+   {nz(f"regexp_extract('Centurion Hendrik Certificate No. : ' || CAST(l_orderkey AS VARCHAR), "
+       f"{pat(fields.CERTIFICATE_NO)}, 1)")} AS cert
+ FROM paged),
+he_items AS (SELECT * FROM he WHERE {truthy('ident')} AND {truthy('descr')}),
+texts AS (SELECT descr AS t FROM he_items UNION ALL SELECT maker_text FROM he_items),
+{token_hits('texts', 't')}, {token_resolve()},
+he2 AS (SELECT i.*, mk.m_keyword AS manufacturer, dk.model AS model, {truthy('wwl')} AS has_wwl,
+          {swl_cols('wwl', swl.CENTURION_DEPLOYED, 'p_')}
+        FROM he_items i LEFT JOIN thr dk ON dk.d = i.descr LEFT JOIN thr mk ON mk.d = i.maker_text),
+he3 AS (SELECT *, {lst(('manufacturer IS NULL', q(C.MANUFACTURER_NOT_FOUND)), ('model IS NULL', q(C.MODEL_NOT_FOUND)),
+                       (f"has_wwl AND NOT ({truthy('p_swl_value')})", q(C.SWL_VALUE_NOT_FOUND)),
+                       (f"has_wwl AND NOT ({truthy('p_swl_unit')})", q(C.SWL_UNIT_NOT_FOUND_C)),
+                       ('NOT has_wwl', q(C.SWL_NOT_FOUND_C)))} AS errs FROM he2),
+he_exp AS (SELECT doc_id, page_no, 2 AS row_no, ident AS id_number, 0 AS id_idx,
+             string_split(descr, ':')[1] AS item_description, model,
+             CASE WHEN has_wwl THEN nullif(p_swl_value, '') END AS swl_value,
+             CASE WHEN has_wwl THEN p_swl_unit END AS swl_unit, CASE WHEN has_wwl THEN p_swl_note END AS swl_note,
+             manufacturer, cert AS certificate_no, prev AS previous_inspection,
+             CAST(NULL AS VARCHAR) AS next_inspection_due_date, CAST(NULL AS VARCHAR) AS provider_identification,
+             {render_errors('errs')} AS errors FROM he3)
+{last_wins_sql('he_exp')}""")
+
+
+SQL["extract_hendrik"] = _hendrik()
+
+
+def _fi_register() -> str:
+    from ..functions.dates import ANY_DATE, ROW_END_DATE
+    item_row = ("CASE WHEN l_linenumber % 2 = 0 THEN '(AB) ' ELSE '' END || 'TZW' || CAST(l_suppkey AS VARCHAR) || ' ' "
+                "|| description || ' (' || CAST(l_partkey AS VARCHAR) || ') ' || CAST(qty AS VARCHAR) || '.0 Tonnes'")
+    ref_row = ("'Report Ref No ABC/' || lpad(CAST(l_orderkey AS VARCHAR), 6, '0') || '/' || "
+               "lpad(CAST(l_partkey AS VARCHAR), 5, '0') || ' ' || 'Date of thorough examination ' || date_text")
+    return with_fx(f""", {dict_ctes()}, {PAGED},
+fr AS (SELECT doc_id, page_no, coalesce({item_row}, '') || ' ' || date_text AS t, {ref_row} AS ref FROM paged),
+fr1 AS (SELECT *, regexp_extract(t, {pat(fields.REGISTER_ID)}, 0) AS m_id,
+          regexp_extract(t, {pat(swl.REGISTER_CAPACITY)}, 0) AS m_cap,
+          {nz(f"regexp_extract(ref, {pat(ANY_DATE)}, 0)")} AS prev,
+          {nz(f"regexp_extract(ref, {pat(fields.REPORT_REF)}, 0)")} AS cert,
+          {nz(f"regexp_extract(t, {pat(ROW_END_DATE)}, 1)")} AS next_date FROM fr),
+fr2 AS (SELECT *, strpos(t, m_id) - 1 + length(m_id) AS id_end FROM fr1 WHERE m_id <> ''),
+fr3 AS (SELECT *, regexp_replace({strip(
+        "CASE WHEN (CASE WHEN m_cap <> '' THEN strpos(t, m_cap) - 1 ELSE length(t) END) > id_end THEN "
+        "substr(t, id_end + 1, (CASE WHEN m_cap <> '' THEN strpos(t, m_cap) - 1 ELSE length(t) END) - id_end) "
+        "ELSE '' END")}, '\\([^)]*\\)\\s*', '', 'g') AS descr, nullif(m_cap, '') AS cap FROM fr2),
+hit AS (SELECT descr, arg_min({{'f': manufacturer, 'm': model}}, ord) AS s FROM (SELECT DISTINCT descr FROM fr3)
+        JOIN dd ON dd.model <> '' AND contains(lower(descr), lower(dd.model)) GROUP BY descr),
+fr4 AS (SELECT fr3.*, nullif(hit.s.f, '') AS manufacturer, nullif(hit.s.m, '') AS model,
+          {swl_cols('cap', swl.FIRST_INTEGRATED, 'p_')} FROM fr3 LEFT JOIN hit ON hit.descr = fr3.descr),
+fr5 AS (SELECT *, {lst((f"NOT ({truthy('descr')})", q(C.DESCRIPTION_NOT_FOUND)),
+                       ('manufacturer IS NULL', q(C.MANUFACTURER_NOT_FOUND)),
+                       ('model IS NULL', q(C.MODEL_NOT_FOUND)))} AS base FROM fr4),
+fr_exp AS (SELECT doc_id, page_no, 1 AS row_no, m_id AS id_number, 0 AS id_idx,
+             CASE WHEN {truthy('descr')} THEN descr END AS item_description, model,
+             p_swl_value AS swl_value, p_swl_unit AS swl_unit, p_swl_note AS swl_note, manufacturer,
+             cert AS certificate_no, prev AS previous_inspection, next_date AS next_inspection_due_date,
+             CAST(NULL AS VARCHAR) AS provider_identification,
+             {render_errors(f"CASE WHEN len(base) > 0 THEN list_concat(base, [{q(C.FOR_ID_PREFIX)} || m_id]) ELSE base END")}
+             AS errors FROM fr5)
+{last_wins_sql('fr_exp')}""")
+
+
+SQL["extract_fi_register"] = _fi_register()
