@@ -86,7 +86,7 @@ def label_entries_first(block) -> Column:
 def label_lookup(entries, key: str) -> Column:
     """Value of ``key`` in a label block; the last duplicate wins; null if absent."""
     hits = F.filter(col_(entries), lambda e: e["key"] == F.lit(key))
-    return F.get(hits, F.size(hits) - 1)["value"]
+    return F.try_element_at(hits, F.lit(-1))["value"]
 
 
 def label_value_last(line) -> Column:

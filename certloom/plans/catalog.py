@@ -147,9 +147,10 @@ def q_label_value_first(spark, sf):
 
 @query("label_map")
 def q_label_map(spark, sf):
-    e = fields.label_entries_last(F.col("header_block"))
-    e2 = fields.label_entries_first(F.col("header_block"))
-    return _fx(spark, sf).select(
+    d = _fx(spark, sf).select(*KEYS, fields.label_entries_last(F.col("header_block")).alias("e"),
+                              fields.label_entries_first(F.col("header_block")).alias("e2"))
+    e, e2 = F.col("e"), F.col("e2")
+    return d.select(
         *KEYS, fields.label_lookup(e, "reportnumber").alias("report_number"),
         fields.label_lookup(e, "dateofthoroughexamination").alias("examined"),
         fields.label_lookup(e, "jobnumber").alias("job_number"),

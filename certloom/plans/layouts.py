@@ -83,8 +83,7 @@ def drop_prefix(df: DataFrame, prefix: str) -> DataFrame:
 
 
 def _last_nonnull(arr) -> Column:
-    nn = F.filter(arr, lambda v: v.isNotNull())
-    return F.get(nn, F.size(nn) - 1)
+    return F.try_element_at(F.filter(arr, lambda v: v.isNotNull()), F.lit(-1))
 
 
 def _indices(arr) -> Column:
