@@ -836,3 +836,53 @@ fr_exp AS (SELECT doc_id, page_no, 1 AS row_no, m_id AS id_number, 0 AS id_idx,
 
 
 SQL["extract_fi_register"] = _fi_register()
+
+
+WLL_CELL = "CAST(qty AS VARCHAR) || ' TONNES'"
+
+
+def _fi_declaration() -> str:
+    a_pat, b_pat = "'^([A-Za-z]+)(\\d+)-(\\d+)'", "'^([A-Za-z]+\\d+/?\\d*)/(\\d+)-(\\d+)'"
+
+    def padded(x):
+        return (f"CASE WHEN length(CAST({x} AS VARCHAR)) < pad THEN lpad(CAST({x} AS VARCHAR), pad, '0') "
+                f"ELSE CAST({x} AS VARCHAR) END")
+    return with_fx(f""", {dict_ctes()}, {PAGED},
+fd AS (SELECT doc_id, page_no, {strip('range_text')} AS s,
+         CASE WHEN description IS NOT NULL THEN {strip('description')} END AS descr,
+         {nz(f"regexp_extract({strip(WLL_CELL)}, {pat(swl.TONNE_CAPACITY)}, 0)")} AS cap,
+         {strip("'CN' || CAST(l_partkey AS VARCHAR)")} AS cert, date_text AS decl FROM paged),
+fd2 AS (SELECT *, contains(s, '-') AND regexp_matches(s, {a_pat}) AS a_ok,
+          contains(s, '-') AND regexp_matches(s, {b_pat}) AS b_ok FROM fd),
+fd3 AS (SELECT *,
+    CASE WHEN a_ok THEN regexp_extract(s, {a_pat}, 1) WHEN b_ok THEN regexp_extract(s, {b_pat}, 1) || '/' ELSE s END
+      AS pre,
+    CASE WHEN a_ok THEN CAST(regexp_extract(s, {a_pat}, 2) AS HUGEINT)
+         WHEN b_ok THEN CAST(regexp_extract(s, {b_pat}, 2) AS HUGEINT) END AS st,
+    CASE WHEN a_ok THEN CAST(regexp_extract(s, {a_pat}, 3) AS HUGEINT)
+         WHEN b_ok THEN CAST(regexp_extract(s, {b_pat}, 3) AS HUGEINT) END AS en,
+    CASE WHEN b_ok AND NOT a_ok THEN 2 ELSE 0 END AS pad FROM fd2),
+fd4 AS (SELECT *, CASE WHEN st IS NULL THEN 1 WHEN en < st THEN 1 ELSE en - st + 1 END AS n,
+          CASE WHEN en < st THEN 'Error: End of range (' || CAST(en AS VARCHAR) || ') is less than start of range ('
+            || CAST(st AS VARCHAR) || ') for ID number ' || s END AS range_error FROM fd3),
+hit AS (SELECT descr, arg_min({{'f': manufacturer, 'm': model}}, ord) AS hs FROM (SELECT DISTINCT descr FROM fd4)
+        JOIN dd ON dd.model <> '' AND contains(lower(descr), lower(dd.model)) GROUP BY descr),
+fd5 AS (SELECT fd4.*, nullif(hit.hs.f, '') AS manufacturer, nullif(hit.hs.m, '') AS model,
+          {swl_cols('cap', swl.FIRST_INTEGRATED, 'p_')} FROM fd4 LEFT JOIN hit ON hit.descr = fd4.descr),
+fd6 AS (SELECT *, list_concat({lst(('manufacturer IS NULL', q(C.MANUFACTURER_NOT_FOUND)),
+                                   ('model IS NULL', q(C.MODEL_NOT_FOUND)))},
+          CASE WHEN range_error IS NOT NULL THEN [range_error] ELSE [] END) AS base,
+          CASE WHEN st IS NULL THEN pre ELSE pre || {padded('st + n - 1')} END AS last_id FROM fd5),
+fd7 AS (SELECT *, unnest(range(CAST(n AS BIGINT))) AS i FROM fd6),
+fd_exp AS (SELECT doc_id, page_no, 0 AS row_no, CASE WHEN st IS NULL THEN pre ELSE pre || {padded('st + i')} END
+             AS id_number, i AS id_idx, descr AS item_description, model, p_swl_value AS swl_value,
+             p_swl_unit AS swl_unit, p_swl_note AS swl_note, manufacturer, cert AS certificate_no,
+             decl AS previous_inspection,
+             strftime(try_strptime(decl, '%d/%m/%Y') + INTERVAL 180 DAY, '%d/%m/%Y') AS next_inspection_due_date,
+             CAST(NULL AS VARCHAR) AS provider_identification,
+             {render_errors(f"CASE WHEN len(base) > 0 THEN list_concat(base, [{q(C.FOR_ID_PREFIX)} || last_id]) ELSE base END")}
+             AS errors FROM fd7)
+{last_wins_sql('fd_exp')}""")
+
+
+SQL["extract_fi_declaration"] = _fi_declaration()
