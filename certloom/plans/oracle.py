@@ -841,7 +841,14 @@ SQL["extract_fi_register"] = _fi_register()
 WLL_CELL = "CAST(qty AS VARCHAR) || ' TONNES'"
 
 
-def _fi_declaration() -> str:
+def _fi_declaration(kind: str = "declaration") -> str:
+    """X7 (declaration) and X6 (cells) over the derived First Integrated grids."""
+    if kind == "declaration":
+        wll, cert, nxt, where = (WLL_CELL, "'CN' || CAST(l_partkey AS VARCHAR)",
+                                 "strftime(try_strptime(decl, '%d/%m/%Y') + INTERVAL 180 DAY, '%d/%m/%Y')", "true")
+    else:
+        wll, cert, nxt, where = ("CAST(qty AS VARCHAR) || ' TONNE'", "'RN' || CAST(l_orderkey AS VARCHAR)", "decl",
+                                 "description IS NOT NULL")
     a_pat, b_pat = "'^([A-Za-z]+)(\\d+)-(\\d+)'", "'^([A-Za-z]+\\d+/?\\d*)/(\\d+)-(\\d+)'"
 
     def padded(x):
@@ -850,8 +857,8 @@ def _fi_declaration() -> str:
     return with_fx(f""", {dict_ctes()}, {PAGED},
 fd AS (SELECT doc_id, page_no, {strip('range_text')} AS s,
          CASE WHEN description IS NOT NULL THEN {strip('description')} END AS descr,
-         {nz(f"regexp_extract({strip(WLL_CELL)}, {pat(swl.TONNE_CAPACITY)}, 0)")} AS cap,
-         {strip("'CN' || CAST(l_partkey AS VARCHAR)")} AS cert, date_text AS decl FROM paged),
+         {nz(f"regexp_extract({strip(wll)}, {pat(swl.TONNE_CAPACITY)}, 0)")} AS cap,
+         {strip(cert)} AS cert, date_text AS decl FROM paged WHERE {where}),
 fd2 AS (SELECT *, contains(s, '-') AND regexp_matches(s, {a_pat}) AS a_ok,
           contains(s, '-') AND regexp_matches(s, {b_pat}) AS b_ok FROM fd),
 fd3 AS (SELECT *,
@@ -878,11 +885,12 @@ fd_exp AS (SELECT doc_id, page_no, 0 AS row_no, CASE WHEN st IS NULL THEN pre EL
              AS id_number, i AS id_idx, descr AS item_description, model, p_swl_value AS swl_value,
              p_swl_unit AS swl_unit, p_swl_note AS swl_note, manufacturer, cert AS certificate_no,
              decl AS previous_inspection,
-             strftime(try_strptime(decl, '%d/%m/%Y') + INTERVAL 180 DAY, '%d/%m/%Y') AS next_inspection_due_date,
+             {nxt} AS next_inspection_due_date,
              CAST(NULL AS VARCHAR) AS provider_identification,
              {render_errors(f"CASE WHEN len(base) > 0 THEN list_concat(base, [{q(C.FOR_ID_PREFIX)} || last_id]) ELSE base END")}
              AS errors FROM fd7)
 {last_wins_sql('fd_exp')}""")
 
 
-SQL["extract_fi_declaration"] = _fi_declaration()
+SQL["extract_fi_declaration"] = _fi_declaration("declaration")
+SQL["extract_fi_cells"] = _fi_declaration("cells")

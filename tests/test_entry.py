@@ -1,7 +1,6 @@
 """Driver contract: entry() runs, every query is registered with a name-matched oracle or is rows-only."""
 
-ROWS_ONLY = {"scan_documents", "stream_ingest", "stream_overwrite", "sink_overwrite", "extract_fi_cells",
-             "extract_fi_declaration"}
+ROWS_ONLY = {"scan_documents", "stream_ingest", "stream_overwrite", "sink_overwrite"}
 
 
 def test_contract_keys():
