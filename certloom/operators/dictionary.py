@@ -111,7 +111,7 @@ def token_lookup(df: DataFrame, desc_col: str, dictionary: Dictionary, mode: str
     return df.join(res, desc_col, "left")
 
 
-def _substrings(lower_desc, lengths):
+def substrings_by_length(lower_desc, lengths):
     """All substrings of the given lengths (a literal, small array)."""
     return F.array_distinct(F.flatten(F.transform(F.array(*[F.lit(n) for n in lengths]), lambda n: F.transform(
         F.when(F.length(lower_desc) >= n, F.sequence(F.lit(1), F.length(lower_desc) - n + 1))
@@ -135,7 +135,7 @@ def substring_lookup(df: DataFrame, desc_col: str, dictionary: Dictionary) -> Da
         res = descs.select(desc_col, F.lit(None).cast("string").alias("manufacturer"),
                            F.lit(None).cast("string").alias("model"))
     else:
-        subs = descs.select(desc_col, F.explode(_substrings(F.lower(F.col(desc_col)), lengths)).alias("_tok"))
+        subs = descs.select(desc_col, F.explode(substrings_by_length(F.lower(F.col(desc_col)), lengths)).alias("_tok"))
         hit = subs.join(side, "_tok").groupBy(desc_col).agg(
             F.min_by(F.struct("manufacturer", "model"), "ord").alias("_d"))
         res = descs.join(hit, desc_col, "left").select(
