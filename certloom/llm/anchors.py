@@ -88,9 +88,9 @@ class Windows:
         return doc, (relative << 16) | (again.astype(np.int64) << 15) | length, v[first], seg
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_k long, _t text, _row struct of the other columns).  ``_k`` is the id where ids are unique
-    integers; rows that repeat an id, or have none, get keys in the order (id, text)."""
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
+    """(_k long, _t text, _row struct of the other columns), and whether ``_k`` is the id: it is where
+    ids are unique integers; else all rows get keys in the order (id, text)."""
     T.prepare(docs.sparkSession)
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col])
     d = docs.select(F.col(f"`{id_col}`").alias("_k"), F.col(f"`{text_col}`").alias("_t"), rest.alias("_row"))
@@ -98,9 +98,9 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     if integer:
         ids = docs.select(F.col(f"`{id_col}`").alias("_k")).groupBy("_k").count()
         if ids.where((F.col("count") > 1) | F.col("_k").isNull()).limit(1).count() == 0:
-            return d.withColumn("_k", F.col("_k").cast("long"))
+            return d.withColumn("_k", F.col("_k").cast("long")), True
     return T.materialize(d.orderBy(F.col("_k").asc_nulls_first(), "_t").withColumn(
-        "_k", F.monotonically_increasing_id()))
+        "_k", F.monotonically_increasing_id())), False
 
 
 def scan_runs(docs: DataFrame, how: Windows, full: bool, across_documents: bool = False) -> DataFrame:

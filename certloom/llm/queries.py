@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import substring_dedup, suffix_dedup
+from . import decontamination, simhash_dedup, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,5 +19,14 @@ def op5_substring_dedup(spark, sf_dir):
     return substring_dedup.digest(_table(spark, sf_dir, "documents"))
 
 
-REGISTRY = {f.__name__: f for f in (op3_suffix_array_dedup, op5_substring_dedup)}
+def op6_simhash_near_dedup(spark, sf_dir):
+    return simhash_dedup.digest(_table(spark, sf_dir, "documents"))
+
+
+def op10_benchmark_decontamination(spark, sf_dir):
+    return decontamination.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+REGISTRY = {f.__name__: f for f in (
+    op3_suffix_array_dedup, op5_substring_dedup, op6_simhash_near_dedup, op10_benchmark_decontamination)}
 ORACLE_SQL: dict[str, str] = {}

@@ -120,7 +120,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     space; a text that loses nothing is left as it is), plus ``n_words``, ``n_removed`` and ``spans``
     (removed word ranges) in the struct column ``repeats``."""
     how = A.Windows("word", size, max(1, min(3, size)))
-    keyed = A.keyed(docs, id_col, text_col)
+    keyed, _ = A.keyed(docs, id_col, text_col)
     packed = A.pack(keyed)
     spans = A.repeated_spans(keyed, packed, how, _shards(size), by_document=True, first_stays=True,
                              hot_group=hot_group)

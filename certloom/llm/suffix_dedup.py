@@ -120,7 +120,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if keep not in ("first", "none"):
         raise ValueError("keep is 'first' or 'none'")
     how = A.Windows("byte", size, max(1, min(32, size // 2)))
-    keyed = A.keyed(docs, id_col, text_col)
+    keyed, _ = A.keyed(docs, id_col, text_col)
     packed = A.pack(keyed)
     spans = A.repeated_spans(keyed, packed, how, _match(size), by_document=False, first_stays=keep == "first",
                              hot_group=hot_group)
