@@ -165,13 +165,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
                         if lo == hi:
                             out.append(old or {"n": n, "items": [], "spans": []})
                             continue
-                        mask = T.cover(n, s[lo:hi] - woff[i], e[lo:hi] - woff[i])
                         names = {shared.value.ids[x] for x in np.unique(item[lo:hi])}
-                        for span in (old or {}).get("spans", ()):
-                            mask[span["s"]:span["e"]] = True
-                        names.update((old or {}).get("items", ()))
-                        out.append({"n": n, "items": sorted(names), "spans": [
-                            {"s": x, "e": y} for x, y in zip(*(v.tolist() for v in T.runs_of(mask)), strict=True)]})
+                        spans = [*zip((s[lo:hi] - woff[i]).tolist(), (e[lo:hi] - woff[i]).tolist(), strict=True)]
+                        if old:
+                            names.update(old["items"])
+                            spans += [(x["s"], x["e"]) for x in old["spans"]]
+                        spans = T.merge_spans(*map(np.array, zip(*spans, strict=True)))
+                        out.append({"n": n, "items": sorted(names), "spans": [{"s": x, "e": y} for x, y in spans]})
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, state_type)], names=["_row", "_s"])
         return scan
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, simhash_dedup, substring_dedup, suffix_dedup
+from . import decontamination, packing, quality_rules, simhash_dedup, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op3_suffix_array_dedup(spark, sf_dir):
     return suffix_dedup.digest(_table(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark, sf_dir):
+    return quality_rules.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_substring_dedup(spark, sf_dir):
     return substring_dedup.digest(_table(spark, sf_dir, "documents"))
 
@@ -23,10 +27,15 @@ def op6_simhash_near_dedup(spark, sf_dir):
     return simhash_dedup.digest(_table(spark, sf_dir, "documents"))
 
 
+def op8_best_fit_packing(spark, sf_dir):
+    return packing.digest(_table(spark, sf_dir, "documents"))
+
+
 def op10_benchmark_decontamination(spark, sf_dir):
     return decontamination.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 REGISTRY = {f.__name__: f for f in (
-    op3_suffix_array_dedup, op5_substring_dedup, op6_simhash_near_dedup, op10_benchmark_decontamination)}
+    op3_suffix_array_dedup, op4_quality_rules, op5_substring_dedup, op6_simhash_near_dedup, op8_best_fit_packing,
+    op10_benchmark_decontamination)}
 ORACLE_SQL: dict[str, str] = {}

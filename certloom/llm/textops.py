@@ -12,20 +12,36 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 U64 = np.uint64
 _M = 0x9E3779B97F4A7C13  # odd, 3 mod 8
 _POWERS: dict[str, np.ndarray] = {}
 _TABLE = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)
 
 
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_MMAP_THRESHOLD_": str(4 << 20),
+                 "MALLOC_TRIM_THRESHOLD_": str(16 << 20), "MALLOC_ARENA_MAX": "2"}
+
+
+def _bytes(value: str) -> int:
+    digits = value.strip().lower().rstrip("b")
+    unit = {"k": 10, "m": 20, "g": 30}.get(digits[-1:], 0)
+    return int(digits[:-1] if unit else digits) << unit
+
+
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package, and name the shared checkpoint folder."""
+    """Let Python workers import this package and give freed memory back, bound the Arrow batches they
+    get, and name the shared checkpoint folder."""
     from ..session import ensure_checkpoint_dir
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(p for p in (root, env.get("PYTHONPATH")) if p)
+    for name, value in WORKER_MEMORY.items():
+        env.setdefault(name, value)
+    if _bytes(spark.conf.get(BATCH_CONF)) > BATCH_BYTES:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
     ensure_checkpoint_dir(spark)
 
 
@@ -172,18 +188,36 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) - np.repeat(at - starts, counts)
 
 
-def cover(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Boolean mask of length ``n`` of positions inside any [start, end)."""
-    d = np.zeros(n + 1, np.int64)
-    np.add.at(d, starts, 1)
-    np.add.at(d, ends, -1)
-    return np.cumsum(d[:-1]) > 0
+def merge_spans(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
+    """Maximal runs covered by the spans [start, end), in order."""
+    if not len(starts):
+        return []
+    order = np.argsort(starts, kind="stable")
+    s, reach = starts[order], np.maximum.accumulate(ends[order])
+    new = np.flatnonzero(np.concatenate(([True], s[1:] > reach[:-1])))
+    return list(zip(s[new].tolist(), reach[np.append(new[1:], len(s)) - 1].tolist(), strict=True))
+
+
+class Rows:
+    """Collects output rows and yields record batches of bounded size."""
+
+    def __init__(self, schema: pa.Schema, limit: int = 2 << 20):
+        self.schema, self.limit = schema, limit
+        self._clear()
+
+    def _clear(self):
+        self.columns, self.size = [[] for _ in self.schema], 0
 
+    def add(self, size: int, *values) -> None:
+        for column, value in zip(self.columns, values, strict=True):
+            column.append(value)
+        self.size += size + 64
 
-def runs_of(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the runs of True."""
-    edge = np.diff(np.concatenate(([0], mask.astype(np.int8), [0])))
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    def take(self, last: bool = False):
+        if self.size >= self.limit or last and self.size:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(self.columns, self.schema, strict=True)], schema=self.schema)
+            self._clear()
 
 
 def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
