@@ -174,20 +174,21 @@ def fetch(docs_packed: DataFrame, wanted: DataFrame, how: Windows) -> DataFrame:
                         ("hot", pa.bool_()), ("body", pa.binary())])
 
     def cut(batches):
+        rows = T.Rows(schema)
         for b in batches:
             for key, z, w in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
                 raw = unpack(z.as_py())
-                lst = w.values
-                h, seg, p, hot = (lst.field(i).to_numpy(zero_copy_only=False) for i in range(4))
-                start, n = p >> 16, p & 0x7FFF
-                end = start + n + how.size - 1
+                h, seg, p, hot = (w.values.field(i).to_pylist() for i in range(4))
                 if how.unit == "word":
                     buf = np.frombuffer(raw, np.uint8)
                     ws, we, _ = T.word_spans(buf, np.array([0, len(buf)]), T.BLANKS)
-                    bodies = [raw[ws[i]:we[j - 1]] for i, j in zip(start, end, strict=True)]
-                else:
-                    bodies = [raw[i:j] for i, j in zip(start, end, strict=True)]
-                yield T.batch(schema, h=h, seg=seg, k=np.full(len(h), key), p=p, hot=hot, body=bodies)
+                for i, place in enumerate(p):
+                    start = place >> 16
+                    end = start + (place & 0x7FFF) + how.size - 1
+                    body = raw[ws[start]:we[end - 1]] if how.unit == "word" else raw[start:end]
+                    rows.add(len(body), h[i], seg[i], key, place, hot[i], body)
+                yield from rows.take()
+        yield from rows.take(last=True)
 
     joined = docs_packed.select("_k", "_z").join(per_doc.hint("shuffle_hash"), "_k")
     return joined.select("_k", "_z", "w").mapInArrow(

@@ -115,57 +115,53 @@ def _shards(size: int, limit: int = 4 << 20):
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 13,
-                   hot_group: int = 2000) -> DataFrame:
-    """``docs`` with the words of repeated spans removed from the text (kept words joined by one
-    space; a text that loses nothing is left as it is), plus ``n_words``, ``n_removed`` and ``spans``
-    (removed word ranges) in the struct column ``repeats``."""
+                   rejoin_all: bool = False, hot_group: int = 2000) -> DataFrame:
+    """``docs`` with the words of repeated spans removed from the text, plus a struct column ``repeats``:
+    ``n_words``, ``n_removed`` and ``spans`` (removed word ranges).  Kept words are joined by one space;
+    a text that loses nothing is left as it is unless ``rejoin_all``."""
     how = A.Windows("word", size, max(1, min(3, size)))
     keyed, _ = A.keyed(docs, id_col, text_col)
     packed = A.pack(keyed)
     spans = A.repeated_spans(keyed, packed, how, _shards(size), by_document=True, first_stays=True,
                              hot_group=hot_group)
-    row = keyed.schema["_row"].dataType
     span = S.ArrayType(S.StructType([S.StructField("s", S.LongType()), S.StructField("e", S.LongType())]))
     schema = S.StructType([
-        S.StructField("_row", row), S.StructField("_t", S.StringType()), S.StructField("_words", S.StringType()),
-        S.StructField("_n", S.LongType()), S.StructField("_cut", S.LongType()), S.StructField("_spans", span)])
-    span_type = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
+        S.StructField("_k", S.LongType()), S.StructField("_t", S.StringType()), S.StructField("_n", S.LongType()),
+        S.StructField("_cut", S.LongType()), S.StructField("_spans", span), keyed.schema["_row"]])
 
     def cut(batches):
         for b in batches:
-            texts, kept, counts, cuts, ranges = [], [], [], [], []
-            for z, w in zip(b.column(1), b.column(2), strict=True):
+            rows = T.Rows(pa.schema([
+                ("_k", pa.int64()), ("_t", pa.string()), ("_n", pa.int64()), ("_cut", pa.int64()),
+                ("_spans", pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))),
+                pa.field("_row", b.column(3).type)]))
+            for key, z, w, row in zip(*(b.column(i) for i in range(4)), strict=True):
                 z = z.as_py()
-                words = A.unpack(z).split()
-                lost = []
+                raw = A.unpack(z)
+                words = raw.split()
+                left, lost = words, []
                 if w.values is not None and len(w.values):
                     s, e = (w.values.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-                    mask = T.cover(len(words), s, e)
-                    lost = list(zip(*(x.tolist() for x in T.runs_of(mask)), strict=True))
-                left, at = [], 0
-                for s, e in lost:
-                    left += words[at:s]
-                    at = e
-                left += words[at:]
-                joined = b" ".join(left).decode()
-                texts.append(None if z is None else joined if lost else A.unpack(z).decode())
-                kept.append(joined)
-                counts.append(len(words))
-                cuts.append(len(words) - len(left))
-                ranges.append([{"s": s, "e": e} for s, e in lost])
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(texts, pa.string()), pa.array(kept, pa.string()), pa.array(counts, pa.int64()),
-                 pa.array(cuts, pa.int64()), pa.array(ranges, span_type)], names=schema.names)
-
-    joined = packed.join(spans.hint("shuffle_hash"), "_k", "left").select("_row", "_z", "spans")
+                    lost = T.merge_spans(s, e)
+                    left, at = [], 0
+                    for s, e in lost:
+                        left += words[at:s]
+                        at = e
+                    left += words[at:]
+                text = None if z is None else (b" ".join(left) if lost or rejoin_all else raw).decode()
+                rows.add(len(raw), key.as_py(), text, len(words), len(words) - len(left),
+                         [{"s": s, "e": e} for s, e in lost], row.as_py())
+                yield from rows.take()
+            yield from rows.take(last=True)
+
+    joined = packed.join(spans.hint("shuffle_hash"), "_k", "left").select("_k", "_z", "spans", "_row")
     out = joined.mapInArrow(cut, schema)
     cols = [F.col("_t").alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
-    repeats = F.struct(F.col("_n").alias("n_words"), F.col("_cut").alias("n_removed"),
-                       F.col("_spans").alias("spans"), F.col("_words").alias("kept"))
+    repeats = F.struct(F.col("_n").alias("n_words"), F.col("_cut").alias("n_removed"), F.col("_spans").alias("spans"))
     return out.select(*cols, repeats.alias("repeats"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    d = remove_repeats(docs.select("doc_id", "text"))
+    d = remove_repeats(docs.select("doc_id", "text"), rejoin_all=True)
     return d.select("doc_id", "repeats.n_words", "repeats.n_removed",
-                    F.sha2(F.col("repeats.kept"), 256).alias("kept_sha256"))
+                    F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
