@@ -198,6 +198,36 @@ def merge_spans(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(s[new].tolist(), reach[np.append(new[1:], len(s)) - 1].tolist(), strict=True))
 
 
+def hashed_grams(buf: np.ndarray, off: np.ndarray, dim: int, table: np.ndarray, sizes: tuple[int, ...]) -> np.ndarray:
+    """(texts, dim) float32 counts of the hashed byte n-grams of each text, its bytes mapped by
+    ``table``; ``dim`` is a power of two.  Grams of blanks alone do not count."""
+    n_docs, shift = len(off) - 1, np.uint32(33 - dim.bit_length())
+    x = table[buf].astype(np.uint32)
+    size = np.diff(off)
+    doc = np.repeat(np.arange(n_docs, dtype=np.int64) * dim, size)
+    left = np.repeat(off[1:], size) - np.arange(len(buf))
+    total = np.zeros(n_docs * dim, np.int64)
+    for n in sizes:
+        m = max(len(buf) - n + 1, 0)
+        g, blank = np.full(m, n, np.uint32), np.ones(m, bool)
+        for j in range(n):
+            part = x[j:j + m]
+            g = g * np.uint32(0x01000193) + part
+            blank &= part == 32
+        g = ((g ^ (g >> np.uint32(15))) * np.uint32(2654435761)) >> shift
+        ok = (left[:m] >= n) & ~blank
+        total += np.bincount(doc[:m][ok] + g[ok], minlength=n_docs * dim)
+    return total.reshape(n_docs, dim).astype(np.float32)
+
+
+def row_slices(column, rows: int, limit: int = SLICE_BYTES):
+    """Like :func:`text_slices`, with at most ``rows`` texts each."""
+    for a, buf, off in text_slices(column, limit):
+        for lo in range(0, len(off) - 1, rows):
+            part = off[lo:lo + rows + 1]
+            yield a + lo, buf[part[0]:part[-1]], part - part[0]
+
+
 class Rows:
     """Collects output rows and yields record batches of bounded size."""
 
