@@ -135,7 +135,7 @@ _SPANS = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                        item_text_col: str = "text", size: int = 13, k: int = 5,
-                       max_shard_bytes: int = 16 << 20) -> DataFrame:
+                       max_shard_bytes: int = 16 << 20, out_col: str = "contamination") -> DataFrame:
     """``docs`` plus a struct column ``contamination``: ``n_words``, ``n_hit`` (words inside a shared
     window), ``items`` (ids of the items hit, sorted as strings), ``spans`` (word ranges hit) and
     ``contaminated``."""
@@ -190,7 +190,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     found = F.struct(F.col("_s.n").alias("n_words"), F.col("_hit").alias("n_hit"), F.col("_s.items").alias("items"),
                      F.col("_s.spans").alias("spans"),
                      ((F.col("_hit") > 0) & (SHARE * F.col("_hit") >= F.col("_s.n"))).alias("contaminated"))
-    return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns], found.alias("contamination"))
+    return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns], found.alias(out_col))
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -154,7 +154,7 @@ MATCH = "struct<template:string,matched:bigint,coverage:double,first_word:bigint
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, text_col: str = "text", window: int = 4,
-                  k: int = 3, band: int = 8, min_coverage: float = 0.8) -> DataFrame:
+                  k: int = 3, band: int = 8, min_coverage: float = 0.8, out_col: str = "license") -> DataFrame:
     """``docs`` plus ``license``: a struct of ``n_words`` and ``matches`` (template, matched words,
     coverage, word span and byte span)."""
     T.prepare(docs.sparkSession)
@@ -185,7 +185,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, text
 
     out = source.mapInArrow(scan, schema)
     return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns],
-                      F.struct("n_words", "matches").alias("license"))
+                      F.struct("n_words", "matches").alias(out_col))
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -153,7 +153,7 @@ def fit(docs: DataFrame, text_col: str = "text", epochs: int = 3, rate: float =
     return labels, Scorer(weights)
 
 
-def classify(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+def classify(docs: DataFrame, text_col: str = "text", threshold: float = 0.5, out_col: str = "quality") -> DataFrame:
     """``docs`` without the text plus ``quality``: p_weak (posterior of the votes), score (of the
     trained scorer) and kept (score at least ``threshold``)."""
     labels, scorer = fit(docs, text_col)
@@ -177,7 +177,7 @@ def classify(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) ->
 
     out = source.mapInArrow(scan, schema)
     return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in keep],
-                      F.struct("p_weak", "score", (F.col("score") >= threshold).alias("kept")).alias("quality"))
+                      F.struct("p_weak", "score", (F.col("score") >= threshold).alias("kept")).alias(out_col))
 
 
 def digest(docs: DataFrame) -> DataFrame:

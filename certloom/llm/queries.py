@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     decontamination, language_id, license_scan, packing, quality_classifier, quality_rules, simhash_dedup,
-    substring_dedup, suffix_dedup, url_filter)
+    sql, substring_dedup, suffix_dedup, url_filter)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,4 +56,4 @@ def op10_benchmark_decontamination(spark, sf_dir):
 REGISTRY = {f.__name__: f for f in (
     op1_license_scans, op2_quality_classifier, op3_suffix_array_dedup, op4_quality_rules, op5_substring_dedup,
     op6_simhash_near_dedup, op7_language_id, op8_best_fit_packing, op9_url_filters, op10_benchmark_decontamination)}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = sql.ORACLE_SQL

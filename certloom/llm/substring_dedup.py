@@ -115,7 +115,7 @@ def _shards(size: int, limit: int = 4 << 20):
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 13,
-                   rejoin_all: bool = False, hot_group: int = 2000) -> DataFrame:
+                   rejoin_all: bool = False, hot_group: int = 2000, out_col: str = "repeats") -> DataFrame:
     """``docs`` with the words of repeated spans removed from the text, plus a struct column ``repeats``:
     ``n_words``, ``n_removed`` and ``spans`` (removed word ranges).  Kept words are joined by one space;
     a text that loses nothing is left as it is unless ``rejoin_all``."""
@@ -158,7 +158,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     out = joined.mapInArrow(cut, schema)
     cols = [F.col("_t").alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
     repeats = F.struct(F.col("_n").alias("n_words"), F.col("_cut").alias("n_removed"), F.col("_spans").alias("spans"))
-    return out.select(*cols, repeats.alias("repeats"))
+    return out.select(*cols, repeats.alias(out_col))
 
 
 def digest(docs: DataFrame) -> DataFrame:
