@@ -89,6 +89,13 @@ def label_lookup(entries, key: str) -> Column:
     return F.try_element_at(hits, F.lit(-1))["value"]
 
 
+def label_fields(entries, **keys: str) -> Column:
+    """``label_lookup`` of several keys in one pass over the entries, as a struct."""
+    empty = F.struct(*[F.lit(None).cast("string").alias(n) for n in keys])
+    return F.aggregate(col_(entries), empty, lambda acc, e: F.struct(*[
+        F.when(e["key"] == F.lit(k), e["value"]).otherwise(acc[n]).alias(n) for n, k in keys.items()]))
+
+
 def label_value_last(line) -> Column:
     """F11 (last): value = last colon segment."""
     parts = F.split(col_(line), ":")

@@ -15,7 +15,11 @@ Result conventions (per the extraction rules):
   * ``null``  = the rules fail on this expression (the caller then keeps the raw
     expression as one ID and records an error, or drops the item, per layout);
   * ``[]``    = the rules produce no ID;
-  * numbers are arbitrary precision in the rules; we carry DECIMAL(38,0).
+  * numbers are arbitrary precision in the rules: up to 37 digits they are
+    carried whole as DECIMAL(38,0), longer ones as a text head in the prefix
+    and the last 18 digits as the number; a range that needs more than that
+    (its ends differ before the last 18 digits, or it has more than 2**63 IDs)
+    keeps the raw text as one ID, with an error.
 """
 
 from __future__ import annotations
@@ -34,16 +38,31 @@ SLASH_RANGE = r"^([A-Za-z]+\d+/?\d*)/(\d+)-(\d+)"
 RANGE_ERROR = "Error: End of range ({end}) is less than start of range ({start}) for ID number {id}"
 
 
-def segment(prefix, start, n, suffix=None, pad: int = 0) -> Column:
+RANGE_TOO_LONG = "Error: range too long to expand for ID number {id}"
+WHOLE, TAIL = 37, 18  # digits carried whole; digits of the tail of a longer number
+
+
+def segment(prefix, start, n, suffix=None, pad=0) -> Column:
     return F.struct(
         col_(prefix).cast("string").alias("prefix"),
         (F.lit(None) if start is None else col_(start)).cast(NUM).alias("start"),
         col_(n).cast("bigint").alias("n"),
         (F.lit("") if suffix is None else col_(suffix)).cast("string").alias("suffix"),
-        F.lit(pad).alias("pad"),
+        (F.lit(pad) if isinstance(pad, int) else pad).cast("int").alias("pad"),
     )
 
 
+def number(digits) -> Column:
+    """``struct<head, tail, pad>`` of a digit string, leading zeros dropped;
+    null without digits."""
+    d = F.regexp_replace(col_(digits), "^0+(?=.)", "")
+    long = F.length(d) > WHOLE
+    head = F.when(long, d.substr(F.lit(1), F.length(d) - TAIL)).otherwise(F.lit(""))
+    return F.when(F.length(d) > 0, F.struct(
+        head.alias("head"), F.when(long, F.right(d, F.lit(TAIL))).otherwise(d).try_cast(NUM).alias("tail"),
+        F.when(long, F.lit(TAIL)).otherwise(F.lit(0)).alias("pad")))
+
+
 def literal_segment(s) -> Column:
     return segment(s, None, F.lit(1))
 
@@ -67,14 +86,16 @@ def id_parts(s, quantity) -> Column:
     q = col_(quantity).cast("bigint")
     digits = _digits(s)
     nd = F.length(digits)
-    base = digits.try_cast(NUM)
+    base = number(digits)
+    fits = (base["pad"] == 0) | (base["tail"] + q <= F.lit(10**TAIL))
     starts_digit = s.substr(1, 1).rlike("^[0-9]$")
     prefix = F.when(starts_digit, F.lit("")).otherwise(s.substr(F.lit(1), F.length(s) - nd))
     suffix = F.when(starts_digit, s.substr(nd + 1, F.lit(1 << 30))).otherwise(F.lit(""))
     return (
         F.when(s.isNull() | (F.length(s) == 0) | q.isNull(), F.lit(None))
         .when(q <= 0, F.array().cast(f"array<{SEGMENT_TYPE}>"))
-        .when(base.isNotNull(), F.array(segment(prefix, base, q, suffix)))
+        .when(base.isNotNull() & fits, F.array(segment(F.concat(prefix, base["head"]), base["tail"], q, suffix,
+                                                       base["pad"])))
     )
 
 
@@ -89,7 +110,7 @@ def id_to_range(s, quantity) -> Column:
     dashed = F.when(
         F.size(parts) == 2,
         F.transform(inner, lambda g: segment(F.concat(left, F.lit("-"), g["prefix"]), g["start"], g["n"],
-                                             g["suffix"])),
+                                             g["suffix"], g["pad"])),
     )
     return F.when(first.contains("-"), dashed).otherwise(id_parts(first, quantity))
 
@@ -175,32 +196,42 @@ def id_hyphen_range(s) -> Column:
     (zero-padded to two digits).  End < start gives the start ID plus an error.
     Returns ``struct<segments, errors>``; other text is one literal ID."""
     s = col_(s)
-    a_ok = s.rlike(ALPHA_RANGE)
-    a_pre = F.regexp_extract(s, ALPHA_RANGE, 1)
-    a_start = F.regexp_extract(s, ALPHA_RANGE, 2).try_cast(NUM)
-    a_end = F.regexp_extract(s, ALPHA_RANGE, 3).try_cast(NUM)
-    b_ok = s.rlike(SLASH_RANGE)
-    b_pre = F.concat(F.regexp_extract(s, SLASH_RANGE, 1), F.lit("/"))
-    b_start = F.regexp_extract(s, SLASH_RANGE, 2).try_cast(NUM)
-    b_end = F.regexp_extract(s, SLASH_RANGE, 3).try_cast(NUM)
-
-    def err(start, end):
-        return F.array(F.concat(F.lit("Error: End of range ("), end.cast("string"),
-                                F.lit(") is less than start of range ("), start.cast("string"),
-                                F.lit(") for ID number "), s))
-
-    no_err = F.array().cast("array<string>")
-
-    def rng(pre, start, end, pad):
-        down = end < start
-        segs = F.array(segment(pre, start, F.when(down, F.lit(1)).otherwise(
-            (end - start + 1).try_cast("bigint")), None, pad))
-        return F.struct(segs.alias("segments"), F.when(down, err(start, end)).otherwise(no_err).alias("errors"))
-
-    return (F.when(s.isNull(), F.lit(None))
-            .when(a_ok, rng(a_pre, a_start, a_end, 0))
-            .when(b_ok, rng(b_pre, b_start, b_end, 2))
-            .otherwise(F.struct(F.array(literal_segment(s)).alias("segments"), no_err.alias("errors"))))
+    trim = lambda d: F.regexp_replace(d, "^0+(?=.)", "")
+
+    def parts(pattern, tail, pad):
+        return F.struct(F.concat(F.regexp_extract(s, pattern, 1), F.lit(tail)).alias("pre"),
+                        trim(F.regexp_extract(s, pattern, 2)).alias("x"),
+                        trim(F.regexp_extract(s, pattern, 3)).alias("y"), F.lit(pad).alias("pad"))
+
+    def with_numbers(g):
+        down = (F.length(g["y"]) < F.length(g["x"])) | ((F.length(g["y"]) == F.length(g["x"])) & (g["y"] < g["x"]))
+        return F.struct(g["pre"].alias("pre"), g["x"].alias("x"), g["y"].alias("y"), g["pad"].alias("pad"),
+                        number(g["x"]).alias("start"), number(g["y"]).alias("end"), down.alias("down"))
+
+    def with_count(g):
+        n = F.when(g["down"], F.lit(1).cast("bigint")).when(
+            g["start"]["head"] == g["end"]["head"], (g["end"]["tail"] - g["start"]["tail"] + 1).try_cast("bigint"))
+        return F.struct(g.alias("g"), n.alias("n"))
+
+    def rng(r):
+        g, n = r["g"], r["n"]
+        seg = segment(F.concat(g["pre"], g["start"]["head"]), g["start"]["tail"], n, None,
+                      F.when(g["start"]["pad"] > 0, g["start"]["pad"]).otherwise(g["pad"]))
+        down = F.array(F.concat(F.lit("Error: End of range ("), g["y"], F.lit(") is less than start of range ("),
+                                g["x"], F.lit(") for ID number "), s))
+        too_long = F.array(F.concat(F.lit(RANGE_TOO_LONG.split("{")[0]), s))
+        return F.struct(F.array(F.when(n.isNull(), literal_segment(s)).otherwise(seg)).alias("segments"),
+                        F.when(g["down"], down).when(n.isNull(), too_long).otherwise(
+                            F.array().cast("array<string>")).alias("errors"))
+
+    # each step is bound once as a lambda variable, so that no expression is copied into the next
+    found = F.when(s.rlike(ALPHA_RANGE), parts(ALPHA_RANGE, "", 0)).when(
+        s.rlike(SLASH_RANGE), parts(SLASH_RANGE, "/", 2))
+    bound = F.filter(F.array(found), lambda g: g.isNotNull())
+    ranges = F.transform(F.transform(F.transform(bound, with_numbers), with_count), rng)
+    plain = F.struct(F.array(literal_segment(s)).alias("segments"),
+                     F.array().cast("array<string>").alias("errors"))
+    return F.when(s.isNotNull(), F.coalesce(F.get(ranges, 0), plain))
 
 
 def segment_count(segs) -> Column:

@@ -28,10 +28,12 @@ FIRST_INTEGRATED_EXTRA_UNITS = ("TONNE", "TONNES", "Kilos", "Tonnes")
 SPARROW_ALIASES = {"kgs": "kg"}
 FIRST_INTEGRATED_ALIASES = {"TONNE": "te", "TONNES": "te", "Tonnes": "te", "Kilos": "kg"}
 
-# (?d): '.' and '$' know only '\n' as a line end, like Python's re.
+# The three patterns of a capacity text.  (?d): '.' and '$' know only '\n' as a line end, like Python's re.
 TIGHT_PATTERN = r"(?d)^(\d+(?:\.\d+)?)([a-zA-Z]+)?\s*(.*)$"
 LOOSE_PATTERN = r"(?d)^(\d+(?:\.\d+)?)\s*([a-zA-Z]+)?\s*(.*)$"
 
+_MARK = "\u0001"  # never part of the number or the unit
+
 # F5 capacity searches (group 0 unless stated).
 REGISTER_CAPACITY = r"(?i)(\d+\.\d+)\s+(Tonnes|Kilos)\s"
 TONNE_CAPACITY = r"(?i)(\d+(?:\.\d+)?)\s*(TONNE|TONNES)\b"
@@ -81,17 +83,23 @@ def parse_swl(swl, profile=SPARROW) -> Column:
     """
     p = _profile(profile)
     s = col_(swl)
+    # one replacement puts the three groups side by side; they are bound once as a lambda variable
+    whole = p.pattern[:-1] + r"\n?\z"
+    parts = F.split(F.regexp_replace(s, whole, f"$1{_MARK}$2{_MARK}$3"), _MARK, 3)
+
+    def read(g):
+        unit = g["unit"]
+        known = is_unit(unit, p)
+        note = F.when(unit.isNotNull() & ~known,
+                      F.when(g["note"] != F.lit(""), F.concat(unit, F.lit(" "), g["note"])).otherwise(unit)
+                      ).otherwise(g["note"])
+        return F.struct(g["value"].alias("value"), F.when(known, unit).alias("unit"), note.alias("note"))
+
     matched = s.rlike(p.pattern)
-    value = F.when(matched, F.regexp_extract(s, p.pattern, 1))
-    unit0 = F.when(matched, nullif_empty(F.regexp_extract(s, p.pattern, 2)))
-    note0 = F.when(matched, F.regexp_extract(s, p.pattern, 3)).otherwise(s)
-    unit1 = unit_alias(unit0, p)
-    known = is_unit(unit1, p)
-    unit = F.when(known, unit1)
-    note = F.when(unit1.isNotNull() & ~known,
-                  F.when(note0 != F.lit(""), F.concat(unit1, F.lit(" "), note0)).otherwise(unit1)
-                  ).otherwise(note0)
-    return F.when(s.isNotNull(), F.struct(value.alias("value"), unit.alias("unit"), note.alias("note")))
+    groups = F.transform(F.array(F.when(matched, parts)), lambda g: F.struct(
+        F.get(g, 0).alias("value"), unit_alias(nullif_empty(F.get(g, 1)), p).alias("unit"),
+        F.coalesce(F.get(g, 2), s).alias("note")))
+    return F.when(s.isNotNull(), F.get(F.transform(groups, read), 0))
 
 
 def capacity_search(text, kind: str = "register") -> Column:

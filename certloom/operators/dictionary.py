@@ -146,10 +146,11 @@ def substring_lookup(df: DataFrame, desc_col: str, dictionary: Dictionary) -> Da
 
 def dictionary_misses(df: DataFrame, desc_col: str, dictionary: Dictionary) -> DataFrame:
     """Distinct descriptions with no manufacturer and no model token hit
-    (an anti join against the broadcast dictionary tokens)."""
+    (an anti join against the dictionary tokens, broadcast where their number is checked)."""
     descs = df.select(desc_col).where(F.col(desc_col).isNotNull()).distinct()
     toks = descs.select(desc_col, F.explode(_tokens(F.col(desc_col))).alias("_tok"))
     keys = dictionary.manufacturer_side().select("_tok").union(dictionary.model_side().select("_tok"))
-    hits = toks.join(F.broadcast(keys.distinct()) if dictionary.manufacturer_rows is not None else keys.distinct(),
-                     "_tok", "left_semi").select(desc_col)
+    known = (None if dictionary.manufacturer_rows is None or dictionary.model_rows is None
+             else dictionary.manufacturer_rows + dictionary.model_rows)
+    hits = toks.join(sized_broadcast(keys.distinct(), known_rows=known), "_tok", "left_semi").select(desc_col)
     return descs.join(hits, desc_col, "left_anti")

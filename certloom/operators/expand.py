@@ -23,10 +23,13 @@ DEFAULT_CHUNK = 4096
 
 
 def with_offsets(segs):
-    """Attach to every segment the number of IDs that precede it."""
-    return F.transform(segs, lambda g, k: F.struct(
+    """Attach to every segment the number of IDs that precede it.  A list of
+    single IDs (however long) needs no sums."""
+    counted = F.transform(segs, lambda g, k: F.struct(
         g.alias("g"),
         F.aggregate(F.slice(segs, 1, k), F.lit(0).cast("bigint"), lambda a, x: a + x["n"]).alias("offset")))
+    singles = F.transform(segs, lambda g, k: F.struct(g.alias("g"), k.cast("bigint").alias("offset")))
+    return F.when(F.forall(segs, lambda g: g["n"] == 1), singles).otherwise(counted)
 
 
 def explode_ids(df: DataFrame, segs_col: str = "id_segments", *, id_col: str = "id_number",

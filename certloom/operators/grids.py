@@ -81,8 +81,11 @@ def assemble_grid(cells: DataFrame) -> DataFrame:
     def placed(items, pos_field, val_field):
         srt = F.array_sort(items)
         last = F.get(srt, F.size(srt) - 1)[pos_field]
-        return F.transform(F.sequence(F.lit(0), last),
-                           lambda i: F.get(F.filter(srt, lambda e: e[pos_field] == i), 0)[val_field])
+        # positions without gaps need no search
+        dense = (F.size(srt) == last + 1) & F.forall(
+            F.transform(srt, lambda e, i: e[pos_field] == i), lambda ok: ok)
+        return F.when(dense, F.transform(srt, lambda e: e[val_field])).otherwise(F.transform(
+            F.sequence(F.lit(0), last), lambda i: F.get(F.filter(srt, lambda e: e[pos_field] == i), 0)[val_field]))
 
     rows = by_page.groupBy("doc_id", "page_no", "table_no", "row_no").agg(
         F.collect_list(F.struct(F.col("col_no").alias("p"), F.col("cell").alias("v"))).alias("_c"))

@@ -20,6 +20,41 @@ def last_wins(df: DataFrame, keys, pos_col: str, value_cols, first_pos_col: str
     return agg.select(*keys, first_pos_col, *[F.col("_last." + c).alias(c) for c in value_cols])
 
 
+IDX = 10**15  # IDs of one expression, in a packed position
+
+
+def pack_position(page, table, row, idx) -> F.Column:
+    """One DECIMAL(38,0) that orders like (page, table, row, idx), so that its
+    minimum and maximum are hash-aggregated."""
+    place = F.shiftleft(F.col(page).cast("bigint"), 32) + F.shiftleft(F.col(table).cast("bigint"), 16) + F.col(row)
+    return (place.cast("decimal(19,0)") * F.lit(IDX).cast("decimal(16,0)") + F.col(idx)).cast("decimal(38,0)")
+
+
+def unpack_position(pos) -> F.Column:
+    """``struct<page_no, table_no, row_no, id_idx>``."""
+    whole = F.floor(F.col(pos) / F.lit(IDX).cast("decimal(16,0)")).cast("bigint")
+    idx = (F.col(pos) - whole.cast("decimal(19,0)") * F.lit(IDX).cast("decimal(16,0)")).cast("bigint")
+    return F.struct(F.shiftright(whole, 32).cast("int").alias("page_no"),
+                    F.shiftright(whole, 16).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("table_no"),
+                    whole.bitwiseAND(F.lit(0xFFFF)).cast("int").alias("row_no"), idx.alias("id_idx"))
+
+
+def last_wins_ids(ids: DataFrame, items: DataFrame, value_cols, item_key=("doc_id", "page_no", "table_no", "row_no")):
+    """A1 after the ID fan-out: ``ids`` has (doc_id, id_number, page_no, table_no,
+    row_no, id_idx), ``items`` one row per ``item_key`` with the values.  Only
+    keys and packed positions are shuffled and aggregated; the winning item's
+    values are joined afterwards.  Page and row numbers fit 31 and 16 bits."""
+    agg = ids.select("doc_id", "id_number", pack_position("page_no", "table_no", "row_no", "id_idx").alias("_p")) \
+        .groupBy("doc_id", "id_number").agg(F.max("_p").alias("_hi"), F.min("_p").alias("_lo"))
+    won = agg.select("doc_id", "id_number", unpack_position("_lo").alias("first_pos"),
+                     unpack_position("_hi").alias("_w"))
+    won = won.select("doc_id", "id_number", "first_pos", "_w.page_no", "_w.table_no", "_w.row_no")
+    # a page that arrived twice gives the same item twice
+    values = items.select(*item_key, *value_cols).dropDuplicates(list(item_key))
+    return won.join(values, list(item_key)).select(
+        "doc_id", "id_number", "first_pos", *value_cols)
+
+
 def last_nonnull(df: DataFrame, keys, pos_col: str, value_cols) -> DataFrame:
     """A2: per group, the last non-null value of each column by position."""
     aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(pos_col))).alias(c) for c in value_cols]
@@ -32,7 +67,7 @@ def distinct_ids(df: DataFrame, keys=("doc_id", "id_number")) -> DataFrame:
 
 
 def number_rows(df: DataFrame, part_col: str, order_col: str, out_col: str = "row_no", start: int = 1,
-                skew_safe: bool = True) -> DataFrame:
+                skew_safe: bool = True, stored: bool = False) -> DataFrame:
     """``row_number() over (partition by part order by order)`` + offset.
 
     ``skew_safe=False`` is the plain window (one task per partition key, so a
@@ -41,7 +76,8 @@ def number_rows(df: DataFrame, part_col: str, order_col: str, out_col: str = "ro
     each task numbers its slice with ``monotonically_increasing_id``; a small
     per-(key, task) count table gives each slice its offset.  The tagged rows
     are checkpointed once so both uses (counts and numbering) see the same
-    slices.  The order column must be unique within a key."""
+    slices.  The order column must be unique within a key.  ``stored``: the
+    input is already stored, so reading it twice runs nothing twice."""
     if not skew_safe:
         w = Window.partitionBy(part_col).orderBy(order_col)
         return df.withColumn(out_col, F.row_number().over(w) + (start - 1))
@@ -49,7 +85,8 @@ def number_rows(df: DataFrame, part_col: str, order_col: str, out_col: str = "ro
     ensure_checkpoint_dir(df.sparkSession)
     # The range sort samples its input and then reads it again: store the
     # input once so the upstream plan runs a single time.
-    df = df.checkpoint(eager=True)
+    if not stored:
+        df = df.checkpoint(eager=True)
     sorted_df = df.repartitionByRange(F.col(part_col), F.col(order_col)).sortWithinPartitions(part_col, order_col)
     tagged = sorted_df.withColumn("_mid", F.monotonically_increasing_id())
     tagged = tagged.withColumn("_task", F.shiftright("_mid", 33)).withColumn(

@@ -46,7 +46,7 @@ def cert_view(lineitem: DataFrame) -> DataFrame:
     q = F.col("l_quantity").cast("int")
     qs = _s(q)
     ln, pk, sk, ok = F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_orderkey")
-    swl_suffix = (F.when(ln == 1, "kgs").when(ln == 2, ".5te @ 90").when(ln == 3, " kg").when(ln == 4, "XX note")
+    swl_suffix = (F.when(ln == 1, "kgs").when(ln == 2, ".5te @ 90").when((ln == 3) & (q % 2 == 1), "KG").when(ln == 3, " kg").when(ln == 4, "XX note")
                   .when(ln == 5, "").when(ln == 6, " Tonnes ").otherwise("KG"))
     m5 = ln % 5
     id_text = (F.when(m5 == 0, F.concat(F.lit("D"), _s(sk), F.lit("-1 to "), qs))
@@ -174,8 +174,10 @@ def first_integrated_pages(spark: SparkSession, sf_dir: str, kind: str) -> DataF
         item_row = F.concat(F.when(F.col("l_linenumber") % 2 == 0, F.lit("(AB) ")).otherwise(F.lit("")),
                             F.lit("TZW"), _s(sk), F.lit(" "), desc, F.lit(" ("), _s(pk), F.lit(") "), _s(qty),
                             F.lit(".0 Tonnes"))
+        second = F.when(F.col("l_linenumber") % 3 != 0, F.concat(
+            F.lit("TZX"), _s(pk), F.lit(" spare ring ("), _s(sk), F.lit(") "), _s(qty), F.lit(".5 Kilos")))
         tbl = F.array(_sa("Name & Address of employer for Whom the examination was made: X", _null()),
-                      _sa(item_row, date),
+                      _sa(item_row, date), F.array(second, date),
                       _sa(F.concat(F.lit("Report Ref No ABC/"), F.lpad(_s(ok), 6, "0"), F.lit("/"),
                                    F.lpad(_s(pk), 5, "0")),
                           F.concat(F.lit("Date of thorough examination "), date)))

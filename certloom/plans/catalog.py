@@ -149,13 +149,12 @@ def q_label_value_first(spark, sf):
 def q_label_map(spark, sf):
     d = _fx(spark, sf).select(*KEYS, fields.label_entries_last(F.col("header_block")).alias("e"),
                               fields.label_entries_first(F.col("header_block")).alias("e2"))
-    e, e2 = F.col("e"), F.col("e2")
-    return d.select(
-        *KEYS, fields.label_lookup(e, "reportnumber").alias("report_number"),
-        fields.label_lookup(e, "dateofthoroughexamination").alias("examined"),
-        fields.label_lookup(e, "jobnumber").alias("job_number"),
-        fields.label_lookup(e2, "jobnumber").alias("job_number_first"),
-        fields.label_lookup(e, "duedateofnextthoroughexamination").alias("next_due"))
+    d = d.select(*KEYS, fields.label_fields(
+        F.col("e"), report_number="reportnumber", examined="dateofthoroughexamination", job_number="jobnumber",
+        next_due="duedateofnextthoroughexamination").alias("l"),
+        fields.label_fields(F.col("e2"), job_number="jobnumber").alias("l2"))
+    return d.select(*KEYS, "l.report_number", "l.examined", "l.job_number",
+                    F.col("l2.job_number").alias("job_number_first"), "l.next_due")
 
 
 @query("provider_prefix")
@@ -309,23 +308,28 @@ def q_distinct_ids(spark, sf):
 
 # ======================================================================== grids on lineitem
 def _cell_rows(spark, sf):
-    """lineitem as grid rows: one row per (order, line), 4 text cells, one
-    cell null on every third line."""
+    """lineitem as grid rows: every line of an order is one row (``rn``, by
+    line, part, supplier), 4 text cells, one cell null on every third line."""
     li = cr.table(spark, sf, "lineitem")
     ln = F.col("l_linenumber")
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
     cells = F.array(_s(F.col("l_partkey")), _s(F.col("l_suppkey")),
                     F.when(ln % 3 == 0, F.lit(None).cast("string")).otherwise(F.col("l_returnflag")),
                     F.col("l_linestatus"))
-    first = li.groupBy("l_orderkey", "l_linenumber").agg(
-        F.min_by(cells, F.struct("l_partkey", "l_suppkey")).alias("cells"))
-    return first
+    return li.select("l_orderkey", "l_linenumber", F.row_number().over(w).alias("rn"), cells.alias("cells"))
 
 
 def _long_cells(spark, sf):
+    """Long cells, written once and read back with the reader of S3; row 4 is
+    missing from every grid."""
+    from ..sources.readers import read_cells
     r = _cell_rows(spark, sf)
-    return r.select(_s(F.col("l_orderkey")).alias("doc_id"), F.lit(1).alias("page_no"), F.lit(0).alias("table_no"),
-                    (F.col("l_linenumber") - 1).alias("row_no"),
-                    F.posexplode("cells").alias("col_no", "cell"))
+    cells = r.select(_s(F.col("l_orderkey")).alias("doc_id"), F.lit(1).alias("page_no"), F.lit(0).alias("table_no"),
+                     (F.col("rn") - F.when(F.col("rn") > 4, 0).otherwise(1)).cast("int").alias("row_no"),
+                     F.posexplode("cells").alias("col_no", "cell"))
+    path = _scratch(spark, "cells")
+    cells.write.parquet(path)
+    return read_cells(spark, path)
 
 
 def grid_text(tbl):
@@ -436,9 +440,10 @@ def q_document_status(spark, sf):
 @query("output_name")
 def q_output_name(spark, sf):
     d = cr.table(spark, sf, "documents")
+    from ..sources.sinks import output_name
     path = F.concat(F.lit("in/"), F.col("source"), F.lit("/pdfdoc_"), _s(F.col("doc_id")), F.lit(".pdf"))
-    return d.select("doc_id", F.regexp_replace(path, r"\.pdf$", ".xlsx").alias("output_name"),
-                    F.replace(path, F.lit("pdf"), F.lit("xlsx")).alias("output_name_compat"))
+    return d.select("doc_id", output_name(path).alias("output_name"),
+                    output_name(path, compat=True).alias("output_name_compat"))
 
 
 # ======================================================================== dictionary on part
@@ -494,13 +499,21 @@ def q_dict_misses(spark, sf):
 
 @query("scan_dictionary")
 def q_scan_dictionary(spark, sf):
-    """S4 on a dictionary derived from ``part``: the noun of each part name is a
-    keyword, first appearance (lowest part key) gives its order."""
+    """S4 on dictionary sheets derived from ``part``, written as CSV and read with
+    the dictionary reader: the noun of each part name is a keyword, its lowest
+    part key gives the sheet order."""
+    from ..sources.readers import read_dictionary
     p = cr.table(spark, sf, "part")
     kw = F.get(F.split(F.col("p_name"), " "), 1)
     d = p.groupBy(kw.alias("keyword")).agg(F.min_by("p_brand", "p_partkey").alias("canonical"),
                                            F.min("p_partkey").alias("first_key"))
-    return d.select(F.row_number().over(Window.orderBy("first_key")).alias("ord"), "keyword", "canonical")
+    path = _scratch(spark, "dictionary")
+    d.select("first_key", "keyword", "canonical").write.csv(f"{path}/makers", header=True)
+    d.select("first_key", F.col("keyword").alias("model"), F.col("canonical").alias("manufacturer")).write.csv(
+        f"{path}/models", header=True)
+    got = read_dictionary(spark, f"{path}/makers", f"{path}/models")
+    models = got.models.select("ord", "model", F.col("manufacturer").alias("model_manufacturer"))
+    return got.manufacturers.join(models, "ord").select("ord", "keyword", "canonical", "model", "model_manufacturer")
 
 
 # ======================================================================== aggregations / windows
@@ -596,7 +609,10 @@ def q_first_page(spark, sf):
 
 @query("scan_page_grids")
 def q_scan_page_grids(spark, sf):
-    p = cr.sparrow_pages(spark, sf)
+    from ..sources.readers import read_page_grids
+    path = _scratch(spark, "grids")
+    cr.sparrow_pages(spark, sf).write.parquet(path)
+    p = read_page_grids(spark, path)
     t = F.get(F.col("tables"), 0)
     return p.select("doc_id", "page_no", F.size("tables").alias("n_tables"), F.size(t).alias("n_rows"),
                     grid_text(t).alias("grid"))
@@ -620,9 +636,10 @@ def run_layout(spark, pages, client, opts=None, materialize=True):
     if materialize:
         ensure_checkpoint_dir(spark)
         out = out.checkpoint(eager=True)
-    raw = raw_items_of(out)
-    items = expand_and_reduce(finish_items(raw, cr.fixture_dictionary(spark)), opts)
-    return items, page_errors_of(out)
+    finished = finish_items(raw_items_of(out), cr.fixture_dictionary(spark))
+    if materialize:
+        finished = finished.checkpoint(eager=True)
+    return expand_and_reduce(finished, opts), page_errors_of(out)
 
 
 def item_table(items):
@@ -649,10 +666,18 @@ def q_extract_centurion_qty(spark, sf):
 @query("page_outcome")
 def q_page_outcome(spark, sf):
     from .pipeline import layout_outcome
-    o = layout_outcome(cr.sparrow_pages(spark, sf), "Sparrows")
-    return o.select("doc_id", "page_no", F.when(F.col("outcome.error").isNotNull(), F.lit("error"))
-                    .otherwise(F.lit("items")).alias("status"), F.size("outcome.items").alias("n_items"),
-                    F.col("outcome.error").alias("error"))
+    inputs = {"sparrow": ("Sparrows", cr.sparrow_pages(spark, sf)),
+              "centurion": ("Centurion", cr.centurion_pages(spark, sf, False)),
+              "hendrik": ("Centurion", cr.hendrik_pages(spark, sf)),
+              "register": ("First Integrated", cr.first_integrated_pages(spark, sf, "register")),
+              "cells": ("First Integrated", cr.first_integrated_pages(spark, sf, "cells"))}
+    out = None
+    for name, (client, pages) in inputs.items():
+        o = layout_outcome(pages, client).select(F.lit(name).alias("layout"), "doc_id", "page_no", "outcome")
+        out = o if out is None else out.unionByName(o)
+    return out.select("layout", "doc_id", "page_no", F.when(F.col("outcome.error").isNotNull(), F.lit("error"))
+                      .otherwise(F.lit("items")).alias("status"), F.size("outcome.items").alias("n_items"),
+                      F.col("outcome.error").alias("error"))
 
 
 def _sparrow_run(spark, sf):
@@ -673,10 +698,9 @@ def q_sink_page_errors(spark, sf):
 
 @query("sink_manifest")
 def q_sink_manifest(spark, sf):
-    from ..sources.sinks import PREAMBLE
-    items = _sparrow_run(spark, sf)[0]
-    return items.select("doc_id", "client").distinct().select(
-        "doc_id", F.lit(PREAMBLE[0]).alias("A1"), F.col("client").alias("B1"), F.lit(PREAMBLE[1]).alias("C1"))
+    from ..sources.sinks import manifest
+    from .pipeline import document_status, route_documents
+    return manifest(document_status(route_documents(mixed_pages(spark, sf)), "2024-01-01"))
 
 
 @query("extraction_summary")
@@ -687,28 +711,34 @@ def q_extraction_summary(spark, sf):
 
 @query("sink_overwrite")
 def q_sink_overwrite(spark, sf):
-    """Write the item sheet twice for the same run date; the second
-    write replaces the first (dynamic partition overwrite), so the table holds
-    one copy.  Written under the shared checkpoint folder."""
-    import uuid
-    from ..session import ensure_checkpoint_dir
-    from ..sources.sinks import item_sheet, write_partitioned
-    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/sink-overwrite-{uuid.uuid4().hex}"
-    sheet = item_sheet(_sparrow_run(spark, sf)[0])
-    write_partitioned(sheet, base, "2024-01-01")
-    write_partitioned(sheet, base, "2024-01-01")
-    return spark.read.parquet(base)
+    """K4: three writes of one run date: the even documents with wrong rows, the
+    odd ones, then the even ones again as they are.  Every document ends with
+    its own rows, once."""
+    from ..sources.sinks import item_sheet, write_documents
+    base = _scratch(spark, "sink-overwrite")
+    sheet = item_sheet(_sparrow_run(spark, sf)[0]).checkpoint(eager=True)
+    odd = F.col("doc_id").cast("bigint") % 2 == 1
+    for part in (sheet.where(~odd).withColumn("Id Number", F.lit("old")), sheet.where(odd), sheet.where(~odd)):
+        write_documents(part, part.select("doc_id"), base, "2024-01-01")
+    return spark.read.parquet(base).drop("client", "bucket", "run_date")
 
 
 def mixed_pages(spark, sf):
-    """Documents of two clients plus unroutable ones, in one page table."""
-    s = cr.sparrow_pages(spark, sf).withColumn("doc_id", F.concat(F.lit("S-"), "doc_id"))
-    c = cr.centurion_pages(spark, sf, False).withColumn("doc_id", F.concat(F.lit("C-"), "doc_id"))
+    """Documents of all clients' layouts plus unroutable ones, in one page table;
+    some Sparrow documents have lost their first page."""
+    lost = (F.col("page_no") == 1) & (F.col("doc_id").cast("bigint") % 97 == 0)
+
+    def tagged(tag, pages):
+        return pages.withColumn("doc_id", F.concat(F.lit(tag), "doc_id"))
+    s = tagged("S-", cr.sparrow_pages(spark, sf).where(~lost))
+    for tag, pages in (("C-", cr.centurion_pages(spark, sf, False)), ("H-", cr.hendrik_pages(spark, sf)),
+                       ("F-", cr.first_integrated_pages(spark, sf, "cells"))):
+        s = s.unionByName(tagged(tag, pages))
     d = cr.table(spark, sf, "documents").select(F.concat(F.lit("D-"), _s(F.col("doc_id"))).alias("doc_id"),
                                                 F.lit("documents").alias("path"), F.lit(1).alias("page_no"),
                                                 "text", F.lit(None).cast("array<array<array<string>>>")
                                                 .alias("tables"))
-    return s.unionByName(c).unionByName(d)
+    return s.unionByName(d)
 
 
 @query("certificate_pipeline")
@@ -735,40 +765,74 @@ def _scratch(spark, name):
 
 @query("scan_documents")
 def q_scan_documents(spark, sf):
-    """The benchmark folder's files as binary documents (metadata only;
-    the content column is never read)."""
+    """The documents written as files (one line each, base64), several per
+    source, then read whole as binary files."""
     from ..sources.readers import scan_documents
-    return scan_documents(spark, sf, glob="*.parquet").select("doc_id", "length")
-
-
-def _stream_run(spark, sf, batches: int):
-    from ..streaming.ingest import start_ingest
-    base = _scratch(spark, "stream")
-    pages = mixed_pages(spark, sf)
-    # each document's pages land in one file, as one PDF would
-    pages.repartition(max(1, batches), "doc_id").write.parquet(f"{base}/in")
-    q = start_ingest(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", cr.fixture_dictionary(spark),
-                     "2024-01-01")
-    q.awaitTermination()
-    return base
+    path = _scratch(spark, "binary")
+    d = cr.table(spark, sf, "documents").where("text is not null")
+    lines = d.select("source", F.pmod(F.xxhash64("doc_id"), F.lit(8)).alias("part"),
+                     F.regexp_replace(F.base64(F.encode("text", "utf-8")), "\\s", "").alias("line"))
+    lines.repartition("source", "part").write.partitionBy("source", "part").text(path)
+    files = scan_documents(spark, path, glob="*.txt", with_content=True)
+    source = F.regexp_extract("path", "source=([^/]*)", 1)
+    got = files.select(source.alias("source"), F.explode(F.split(F.decode("content", "utf-8"), "\n")).alias("line"))
+    text = F.decode(F.unbase64("line"), "utf-8")
+    return got.where("line <> ''").groupBy("source").agg(F.count(F.lit(1)).alias("n_documents"),
+                                                         F.sum(F.length(text)).alias("n_characters"))
+
+
+@query("document_status_mixed")
+def q_document_status_mixed(spark, sf):
+    """K6 over all clients' documents, some without a first page."""
+    from .pipeline import document_status, route_documents
+    return document_status(route_documents(mixed_pages(spark, sf)), "2024-01-01")
 
 
 @query("stream_ingest")
 def q_stream_ingest(spark, sf):
     """Newly arrived page files -> items, via the batch pipeline per micro-batch."""
-    base = _stream_run(spark, sf, 4)
+    from ..streaming.ingest import start_ingest
+    base = _scratch(spark, "stream")
+    # each document's pages land in one file, as one PDF would
+    mixed_pages(spark, sf).repartition(2, "doc_id").write.parquet(f"{base}/in")
+    start_ingest(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", cr.fixture_dictionary(spark), "2024-01-01",
+                 max_files_per_trigger=1).awaitTermination()
     return spark.read.parquet(f"{base}/out/items").select("doc_id", "sheet_row", "Id Number", "Errors")
 
 
 @query("stream_overwrite")
 def q_stream_overwrite(spark, sf):
-    """Replaying the same files into the same output replaces, not appends."""
+    """Some documents arrive first without their later pages and again, whole,
+    in a later batch; then a new query with a new checkpoint reads all files
+    again.  The target ends as after one clean run."""
     from ..streaming.ingest import start_ingest
-    base = _stream_run(spark, sf, 4)
-    q = start_ingest(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt2", cr.fixture_dictionary(spark),
-                     "2024-01-01")
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out/items").select("doc_id", "sheet_row", "Id Number")
+    base = _scratch(spark, "stream")
+    pages = cr.sparrow_pages(spark, sf)
+    early = pages.where((F.col("doc_id").cast("bigint") % 10 == 0) & (F.col("page_no") == 1))
+
+    def run(checkpoint, files=None):
+        start_ingest(spark, f"{base}/in", f"{base}/out", f"{base}/{checkpoint}", cr.fixture_dictionary(spark),
+                     "2024-01-01", max_files_per_trigger=files).awaitTermination()
+    early.coalesce(1).write.parquet(f"{base}/in")
+    run("first")
+    pages.repartition(2, "doc_id").write.mode("append").parquet(f"{base}/in")
+    run("first", 1)
+    run("second")
+    return spark.read.parquet(f"{base}/out/items").select("doc_id", "sheet_row", "Id Number", "Errors")
+
+
+@query("extract_centurion_single_deployed")
+def q_extract_centurion_single_deployed(spark, sf):
+    from .pipeline import Options
+    return item_table(run_layout(spark, cr.centurion_pages(spark, sf, False), "Centurion",
+                                 Options(variant="deployed"))[0])
+
+
+@query("extract_centurion_qty_deployed")
+def q_extract_centurion_qty_deployed(spark, sf):
+    from .pipeline import Options
+    return item_table(run_layout(spark, cr.centurion_pages(spark, sf, True), "Centurion",
+                                 Options(variant="deployed"))[0])
 
 
 @query("extract_hendrik")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, fields, ids, swl, text
 from ..functions.text import nullif_empty, pystrip, row_text, truthy
 from ..operators.grids import cell_at, row_at
-from . import catalogue as C
+from . import messages as C
 
 STR = "string"
 ARR = "array<string>"
@@ -122,9 +122,9 @@ def sparrow_header_fold(hdr, val) -> Column:
     return F.aggregate(_indices(hdr), init, step)
 
 
-def sparrow_outcome(df: DataFrame, out: str = "outcome", variant: str = "local") -> DataFrame:
+def sparrow_outcome(df: DataFrame, out: str = "outcome", variant: str = "local", gate=None) -> DataFrame:
     """X1.  ``variant='deployed'`` only changes one error text (a final dot)."""
-    tables, col = F.col("tables"), F.col
+    tables, col = F.col("tables") if gate is None else F.when(gate, F.col("tables")), F.col
     d = stage(df, _sp_block=cell_at(tables, 0, 0, 0), _sp_rows=F.size(F.get(tables, 0)),
               _sp_f=sparrow_header_fold(row_at(tables, 0, 3), row_at(tables, 0, 4)))
     d = stage(d, _sp_p=swl.parse_swl(col("_sp_f.swl"), swl.SPARROW),
@@ -132,14 +132,12 @@ def sparrow_outcome(df: DataFrame, out: str = "outcome", variant: str = "local")
               _sp_segs=F.when(col("_sp_f.qty").isNull(), F.lit(None).cast(SEGS)).when(
                   col("_sp_f.qty") > 1, ids.id_expression(col("_sp_f.ident"), col("_sp_f.qty"), "sparrow")
               ).otherwise(ids.literal_ids(col("_sp_f.ident"))))
-    labels = col("_sp_labels")
-    d = stage(d, _sp_cert=fields.label_lookup(labels, "reportnumber"),
-              _sp_prev=fields.label_lookup(labels, "dateofthoroughexamination"),
-              _sp_job=fields.label_lookup(labels, "jobnumber"),
-              _sp_next=fields.label_lookup(labels, "duedateofnextthoroughexamination"))
+    d = stage(d, _sp_l=fields.label_fields(
+        col("_sp_labels"), cert="reportnumber", prev="dateofthoroughexamination", job="jobnumber",
+        next="duedateofnextthoroughexamination"))
     ident, desc, swl_raw, p = col("_sp_f.ident"), col("_sp_f.desc"), col("_sp_f.swl"), col("_sp_p")
     has_swl, has_desc = truthy(swl_raw), truthy(desc)
-    cert, prev, job, nxt = col("_sp_cert"), col("_sp_prev"), col("_sp_job"), col("_sp_next")
+    cert, prev, job, nxt = (col(f"_sp_l.{n}") for n in ("cert", "prev", "job", "next"))
     failed = col("_sp_segs").isNull()
     page_tag = F.concat(F.lit(C.PAGE_NO_PREFIX), col("page_no").cast(STR))
     it = item(
@@ -173,6 +171,7 @@ def sparrow_outcome(df: DataFrame, out: str = "outcome", variant: str = "local")
 
 
 # ============================================================ X2/X3: Centurion
+# Header phrases of the two layouts.
 CENTURION_SINGLE = "Quantity & Description of Equipment, Serial Numbers"
 CENTURION_QTY = "Qty, Description of Equipment, Serial Numbers"
 
@@ -181,6 +180,7 @@ def centurion_header_fold(hdr, val, qty_layout: bool) -> Column:
     """Header row 2 against value row 4: description (cell 0, or its own cell in
     the quantity layout), working load, next date, certificate cell."""
     init = F.struct(F.lit(None).cast(STR).alias("desc"), F.lit(None).cast("int").alias("desc_idx"),
+                    F.lit(None).cast("int").alias("desc_at"),
                     F.lit(None).cast(STR).alias("wwl"), F.lit(None).cast(STR).alias("next"),
                     F.lit(None).cast(STR).alias("cert"))
 
@@ -198,6 +198,7 @@ def centurion_header_fold(hdr, val, qty_layout: bool) -> Column:
         return F.struct(
             F.when(b1 & dsrc.isNotNull(), text.newline_to_space(dsrc)).otherwise(s["desc"]).alias("desc"),
             F.when(b1 & dsrc.isNotNull(), i).otherwise(s["desc_idx"]).alias("desc_idx"),
+            F.when(b1, i).otherwise(s["desc_at"]).alias("desc_at"),
             F.when(b2 & v.isNotNull(), pystrip(v)).otherwise(s["wwl"]).alias("wwl"),
             F.when(b3 & dt.isNotNull(), dt).otherwise(s["next"]).alias("next"),
             F.when(b4 & v.isNotNull(), pystrip(v)).otherwise(s["cert"]).alias("cert"))
@@ -205,11 +206,14 @@ def centurion_header_fold(hdr, val, qty_layout: bool) -> Column:
     return F.aggregate(_indices(hdr), init, step)
 
 
-def centurion_outcome(df: DataFrame, out: str = "outcome", variant: str = "centurion", gate=None) -> DataFrame:
+def centurion_outcome(df: DataFrame, out: str = "outcome", id_variant: str = "centurion", gate=None,
+                      variant: str = "local") -> DataFrame:
     """X2 / X3 (page text holds ``Centurion`` and not ``Hendrik``).
 
-    Certificate number = report number (D5); serials from the whole row 5,
-    whitespace removed (F8); item errors are output (D4); a page the rules
+    ``variant`` picks the unit list and the serial rule, ``id_variant`` the ID
+    chain.  Certificate number = report number (D5); serials from the whole row
+    5, whitespace removed (F8), or, deployed, the text after the last colon of
+    the description's cell in row 5 (F9); item errors are output (D4); a page the rules
     cannot read becomes a page error (D10); quantity 1 or an expression with no
     rule keeps the raw serial text as one ID (D3)."""
     tables, col = F.col("tables"), F.col
@@ -221,28 +225,29 @@ def centurion_outcome(df: DataFrame, out: str = "outcome", variant: str = "centu
               .when(F.coalesce(F.get(hdr, 0).contains(CENTURION_QTY), F.lit(False)), F.lit("qty")))
     on = col("_ce_kind").isNotNull()
     d = stage(d,
-              _ce_serials=F.when(on, fields.serial_clean(text.row_text_nonnull(row_at(tables, 0, 5)))),
+              _ce_clean=F.when(on, fields.serial_clean(text.row_text_nonnull(row_at(tables, 0, 5)))),
               _ce_labels=F.when(on, fields.label_entries_first(cell_at(tables, 0, 0, 13))),
               _ce_block=cell_at(tables, 0, 0, 13), _ce_rows=F.size(F.get(tables, 0)),
               _ce_maker=pystrip(F.get(val, 4)), _ce_val=val)
     d = stage(d, _ce_f=F.when(col("_ce_kind") == "qty", centurion_header_fold(hdr, val, True))
               .when(on, centurion_header_fold(hdr, val, False)),
-              _ce_provider=fields.label_lookup(col("_ce_labels"), "custrefpono"),
-              _ce_cert=fields.label_lookup(col("_ce_labels"), "reportnumber"),
-              _ce_prev=fields.label_lookup(col("_ce_labels"), "dateofexamination"))
+              _ce_l=fields.label_fields(col("_ce_labels"), provider="custrefpono", cert="reportnumber",
+                                        prev="dateofexamination"))
+    deployed = fields.serial_last_segment(F.get(row_at(tables, 0, 5), col("_ce_f.desc_at")))
+    d = stage(d, _ce_serials=F.when(on, deployed) if variant == "deployed" else col("_ce_clean"))
     qty_layout = col("_ce_kind") == "qty"
     d = stage(d, _ce_q=F.when(qty_layout, fields.extract_quantity(F.get(col("_ce_val"), col("_ce_f.desc_idx")))),
-              _ce_p=swl.parse_swl(col("_ce_f.wwl"), swl.CENTURION_LOCAL if variant == "centurion_local"
-                                  else swl.CENTURION_DEPLOYED))
+              _ce_p=swl.parse_swl(col("_ce_f.wwl"), swl.CENTURION_DEPLOYED if variant == "deployed"
+                                  else swl.CENTURION_LOCAL))
     d = stage(d, _ce_expr=F.when(qty_layout & (col("_ce_q") > 1),
-                                 ids.id_expression(col("_ce_serials"), col("_ce_q"), variant)))
+                                 ids.id_expression(col("_ce_serials"), col("_ce_q"), id_variant)))
     serials, q, expr = col("_ce_serials"), col("_ce_q"), col("_ce_expr")
     segs = F.when(~qty_layout, ids.literal_ids(serials)).when(q.isNull(), F.lit(None).cast(SEGS)).when(
         q > 1, F.when(F.size(expr) == 0, ids.literal_ids(serials)).otherwise(expr)).otherwise(ids.literal_ids(serials))
     d = stage(d, _ce_segs=segs)
     desc, wwl, p, maker = col("_ce_f.desc"), col("_ce_f.wwl"), col("_ce_p"), col("_ce_maker")
     has_desc, has_wwl = truthy(desc), truthy(wwl)
-    provider, cert, prev = col("_ce_provider"), col("_ce_cert"), col("_ce_prev")
+    provider, cert, prev = (col(f"_ce_l.{n}") for n in ("provider", "cert", "prev"))
     it = item(
         table_no=F.lit(0), row_no=F.lit(4), id_raw=serials, id_segments=col("_ce_segs"),
         item_description=F.when(has_desc, F.substring_index(desc, ":", 1)),
@@ -308,6 +313,7 @@ def hendrik_outcome(df: DataFrame, out: str = "outcome", gate=None) -> DataFrame
 
 
 # ============================================================ First Integrated
+# First-row phrases of the three layouts.
 FI_REGISTER = "Name & Address of employer for Whom the examination was made"
 FI_CELLS = "Date of Thorough Examination"
 FI_DECLARATION = ("Name &AddressofManufacturer", "Name & Address of Manufacturer")
@@ -349,7 +355,8 @@ def _fi_register(d: DataFrame, variant: str, compat: bool) -> DataFrame:
             err_head=errs((~has_desc, C.DESCRIPTION_NOT_FOUND)), dict_errors=F.lit(True),
             suffix_if_any=F.array(F.concat(F.lit(C.FOR_ID_PREFIX), x["ident"])))
 
-    return stage(d, _fi_register=outcome(items=F.transform(col("_r_parsed"), to_item)))
+    return stage(d, _fi_register=F.when(F.size(col("_r_parsed")) > 0, outcome(
+        items=F.transform(col("_r_parsed"), to_item))).otherwise(outcome(error=F.lit(C.NO_IDS_ON_PAGE))))
 
 
 def _cells_in_order(tbl):
@@ -404,13 +411,17 @@ def _fi_cells(d: DataFrame, variant: str) -> DataFrame:
         certificate_no=_last_nonnull(F.transform(rep, nullif_empty)),
         previous_inspection=_last_nonnull(F.transform(dot, nullif_empty)),
         next_inspection_due_date=_last_nonnull(F.transform(nxt, nullif_empty)),
-        err_head=errs((~truthy(desc), C.DESCRIPTION_NOT_FOUND)), dict_errors=F.lit(True),
+        err_head=errs((~truthy(desc), C.DESCRIPTION_NOT_FOUND),
+                      (F.exists(col("_c_idents"), lambda x: ~truthy(text.cell_line(x["v"], 2))),
+                       C.ID_NUMBER_NOT_FOUND)),
+        dict_errors=F.lit(True),
         err_tail=F.concat(col("_c_rerr"), errs(
             (F.exists(rep, lambda v: ~truthy(v)), C.CERTIFICATE_NUMBER_NOT_FOUND),
             (F.exists(dot, lambda v: ~truthy(v)), C.PREVIOUS_NOT_FOUND_FI),
             (F.exists(nxt, lambda v: ~truthy(v)), C.NEXT_DUE_NOT_FOUND))),
         suffix_if_any=F.array(F.concat(F.lit(C.FOR_ID_PREFIX), F.coalesce(last_id, F.lit("None")))))
-    return stage(d, _fi_cells=F.when(F.size(col("_c_idt")) > 0, outcome(items=F.array(it))).otherwise(outcome()))
+    return stage(d, _fi_cells=F.when(F.size(col("_c_idt")) > 0, outcome(items=F.array(it))).otherwise(
+        outcome(error=F.lit(C.NO_IDS_ON_PAGE))))
 
 
 def _fi_declaration(d: DataFrame, variant: str) -> DataFrame:
@@ -424,6 +435,7 @@ def _fi_declaration(d: DataFrame, variant: str) -> DataFrame:
     t = col("_d_tbl")
     d = stage(d, _d_cells=F.transform(F.filter(_cells_in_order(t), lambda x: truthy(x["v"])), lambda x: F.struct(
         x["v"].alias("v"), pystrip(F.get(F.get(t, x["r"] + 1), x["c"])).alias("below"),
+        (F.coalesce(F.size(F.get(t, x["r"] + 1)), F.lit(0)) <= 0).alias("last"),
         F.when(x["v"].contains("Id Number"), F.lit("id")).when(x["v"].contains("Description"), F.lit("desc"))
         .when(x["v"].contains("WLL"), F.lit("wll")).when(x["v"].contains("Certificate Number"), F.lit("cert"))
         .when(x["v"].contains("Date of Declaration"), F.lit("decl")).alias("k"))))
@@ -431,6 +443,8 @@ def _fi_declaration(d: DataFrame, variant: str) -> DataFrame:
     kind = lambda k: F.filter(cells, lambda x: x["k"] == k)
     d = stage(d, _d_idt=F.filter(F.transform(kind("id"), lambda x: x["below"]), lambda v: v.isNotNull()),
               _d_ndesc=F.size(kind("desc")), _d_ndecl=F.size(kind("decl")),
+              _d_noid=F.exists(kind("id"), lambda x: x["last"]),
+              _d_nocert=F.exists(kind("cert"), lambda x: x["last"]),
               _d_desc=_last_nonnull(F.transform(kind("desc"), lambda x: F.when(
                   F.size(text.split_newline(x["v"])) >= 2, text.cell_line(x["v"], 1)))),
               _d_wll=_last_nonnull(F.transform(kind("wll"), lambda x: swl.capacity_search(x["below"], "tonne"))),
@@ -451,18 +465,22 @@ def _fi_declaration(d: DataFrame, variant: str) -> DataFrame:
         certificate_no=col("_d_cert"), previous_inspection=decl,
         next_inspection_due_date=dates.date_plus_180(decl),
         err_head=errs(((col("_d_ndesc") > 0) & desc.isNull(), C.DESCRIPTION_NOT_FOUND)),
-        dict_errors=F.lit(True),
-        err_tail=F.concat(col("_d_rerr"), errs(((col("_d_ndecl") > 0) & decl.isNull(), C.DECLARATION_NOT_FOUND))),
+        dict_errors=col("_d_ndesc") > 0,
+        err_tail=F.concat(col("_d_rerr"), errs(
+            (col("_d_noid"), C.ID_NUMBER_NOT_FOUND_FI3), (col("_d_nocert"), C.CERTIFICATE_NUMBER_NOT_FOUND),
+            ((col("_d_ndecl") > 0) & decl.isNull(), C.DECLARATION_NOT_FOUND))),
         suffix_if_any=F.array(F.concat(F.lit(C.FOR_ID_PREFIX), F.coalesce(last_id, F.lit("None")))))
-    return stage(d, _fi_decl=F.when(F.size(col("_d_idt")) > 0, outcome(items=F.array(it))).otherwise(outcome()))
+    return stage(d, _fi_decl=F.when(F.size(col("_d_idt")) > 0, outcome(items=F.array(it))).otherwise(
+        outcome(error=F.lit(C.NO_IDS_ON_PAGE))))
 
 
 def first_integrated_outcome(df: DataFrame, out: str = "outcome", variant: str = "local",
-                             compat: bool = False) -> DataFrame:
+                             compat: bool = False, gate=None) -> DataFrame:
     """Dispatch a First Integrated page on its first row (P5)."""
     from ..operators.grids import classify_layout
     col = F.col
-    d = stage(df, _fi_kind=classify_layout(row_at(col("tables"), 0, 0), FI_LAYOUTS))
+    kind = classify_layout(row_at(col("tables"), 0, 0), FI_LAYOUTS)
+    d = stage(df, _fi_kind=kind if gate is None else F.when(gate, kind))
     d = _fi_declaration(_fi_cells(_fi_register(d, variant, compat), variant), variant)
     n = col("page_no").cast(STR)
     o = (F.when(col("tables").isNull() | (F.size(col("tables")) == 0),
@@ -475,11 +493,12 @@ def first_integrated_outcome(df: DataFrame, out: str = "outcome", variant: str =
     return drop_prefix(drop_prefix(drop_prefix(drop_prefix(d, "_fi_"), "_r_"), "_c_"), "_d_")
 
 
-def centurion_client_outcome(df: DataFrame, out: str = "outcome", variant: str = "centurion") -> DataFrame:
+def centurion_client_outcome(df: DataFrame, out: str = "outcome", id_variant: str = "centurion",
+                             variant: str = "local", gate=None) -> DataFrame:
     """A Centurion client's page: Centurion layouts, or Hendrik when the text says so."""
     col = F.col
-    txt = col("text")
-    d = centurion_outcome(df, "_cc_c", variant,
+    txt = col("text") if gate is None else F.when(gate, col("text"))
+    d = centurion_outcome(df, "_cc_c", id_variant, variant=variant,
                           gate=F.coalesce(txt.contains("Centurion") & ~txt.contains("Hendrik"), F.lit(False)))
     d = hendrik_outcome(d, "_cc_h", gate=F.coalesce(txt.contains("Hendrik"), F.lit(False)))
     o = (F.when(F.coalesce(txt.contains("Centurion") & ~txt.contains("Hendrik"), F.lit(False)), col("_cc_c"))

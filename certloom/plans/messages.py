@@ -1,4 +1,4 @@
-"""Error catalogue.
+"""Message texts.
 
 Fixed values: the item- and page-level messages the certificate rules emit
 (texts must stay exactly as they are, users filter on them).  Where the rules
@@ -53,3 +53,4 @@ STATUS_SUCCESS = "Success"
 STATUS_FAILURE = "Failure"
 REASON_BLANK = "blank first page"
 REASON_NO_CLIENT = "no client keyword"
+REASON_NO_FIRST_PAGE = "no first page"

@@ -11,7 +11,7 @@ from __future__ import annotations
 from ..functions import fields, swl
 from ..functions.text import PY_WHITESPACE
 from . import carriers as cr
-from . import catalogue as C
+from . import messages as C
 
 SQL: dict[str, str] = {}
 
@@ -19,7 +19,7 @@ SQL: dict[str, str] = {}
 FX = """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS INT) AS qty,
   concat(CAST(CAST(l_quantity AS INT) AS VARCHAR),
-    CASE l_linenumber WHEN 1 THEN 'kgs' WHEN 2 THEN '.5te @ 90' WHEN 3 THEN ' kg' WHEN 4 THEN 'XX note'
+    CASE l_linenumber WHEN 1 THEN 'kgs' WHEN 2 THEN '.5te @ 90' WHEN 3 THEN CASE WHEN CAST(l_quantity AS INT) % 2 = 1 THEN 'KG' ELSE ' kg' END WHEN 4 THEN 'XX note'
       WHEN 5 THEN '' WHEN 6 THEN ' Tonnes ' ELSE 'KG' END) AS swl_text,
   CASE l_linenumber % 5
     WHEN 0 THEN concat('D', CAST(l_suppkey AS VARCHAR), '-1 to ', CAST(CAST(l_quantity AS INT) AS VARCHAR))
@@ -332,10 +332,11 @@ SQL["distinct_ids"] = HYPHEN + "SELECT DISTINCT l_orderkey AS doc_id, id_number
 
 # ======================================================================== grids on lineitem
 CELL_ROWS = """
-cr AS (SELECT l_orderkey, l_linenumber, arg_min([CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR),
-          CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_returnflag END, l_linestatus], (l_partkey, l_suppkey))
-          AS cells FROM lineitem GROUP BY l_orderkey, l_linenumber),
-longc AS (SELECT CAST(l_orderkey AS VARCHAR) AS doc_id, l_linenumber - 1 AS row_no, unnest(range(4)) AS col_no,
+cr AS (SELECT *, rn - CASE WHEN rn > 4 THEN 0 ELSE 1 END AS row_no FROM (SELECT l_orderkey, l_linenumber,
+          row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn,
+          [CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR),
+          CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_returnflag END, l_linestatus] AS cells FROM lineitem)),
+longc AS (SELECT CAST(l_orderkey AS VARCHAR) AS doc_id, row_no, unnest(range(4)) AS col_no,
           unnest(cells) AS cell FROM cr)
 """
 ROW_TEXT = "array_to_string(list_transform(cells, lambda c: coalesce(c, '')), ' ')"
@@ -344,16 +345,16 @@ SQL["row_text_nonnull"] = f"WITH {CELL_ROWS} SELECT l_orderkey, l_linenumber, ar
 SQL["skip_header_rows"] = (f"WITH {CELL_ROWS} SELECT * FROM (SELECT l_orderkey, l_linenumber, {ROW_TEXT} AS row_text "
                            f"FROM cr) WHERE NOT contains(row_text, ' A F')")
 SQL["assemble_grid"] = f"""WITH {CELL_ROWS},
-g AS (SELECT l_orderkey, max(l_linenumber) AS mx FROM cr GROUP BY l_orderkey),
+g AS (SELECT l_orderkey, max(row_no) + 1 AS mx FROM cr GROUP BY l_orderkey),
 r AS (SELECT l_orderkey, unnest(range(mx)) AS r FROM g),
 j AS (SELECT r.l_orderkey, r.r, CASE WHEN cr.cells IS NULL THEN '<null>' ELSE
         array_to_string(list_transform(cr.cells, lambda c: coalesce(c, '~')), ',') END AS rt
-      FROM r LEFT JOIN cr ON cr.l_orderkey = r.l_orderkey AND cr.l_linenumber - 1 = r.r)
+      FROM r LEFT JOIN cr ON cr.l_orderkey = r.l_orderkey AND cr.row_no = r.r)
 SELECT CAST(l_orderkey AS VARCHAR) AS doc_id, 1 AS page_no, 1 AS n_tables, count(*) AS n_rows,
        string_agg(rt, '|' ORDER BY r) AS grid FROM j GROUP BY l_orderkey"""
 SQL["cell_at"] = f"""WITH {CELL_ROWS}
-SELECT CAST(l_orderkey AS VARCHAR) AS doc_id, max(CASE WHEN l_linenumber = 1 THEN cells[1] END) AS c000,
-  max(CASE WHEN l_linenumber = 3 THEN cells[3] END) AS c022, max(CASE WHEN l_linenumber = 7 THEN cells[4] END) AS c063,
+SELECT CAST(l_orderkey AS VARCHAR) AS doc_id, max(CASE WHEN row_no = 0 THEN cells[1] END) AS c000,
+  max(CASE WHEN row_no = 2 THEN cells[3] END) AS c022, max(CASE WHEN row_no = 6 THEN cells[4] END) AS c063,
   CAST(NULL AS VARCHAR) AS c100 FROM cr GROUP BY l_orderkey"""
 
 
@@ -365,8 +366,8 @@ def _pick(label):
 SQL["label_pick"] = f"""WITH {CELL_ROWS}
 SELECT CAST(d.l_orderkey AS VARCHAR) AS doc_id, {_pick('1')} AS pick_1, {_pick('f')} AS pick_f
 FROM (SELECT DISTINCT l_orderkey FROM cr) d
-LEFT JOIN (SELECT * FROM cr WHERE l_linenumber = 1) h ON h.l_orderkey = d.l_orderkey
-LEFT JOIN (SELECT * FROM cr WHERE l_linenumber = 2) v ON v.l_orderkey = d.l_orderkey"""
+LEFT JOIN (SELECT * FROM cr WHERE row_no = 0) h ON h.l_orderkey = d.l_orderkey
+LEFT JOIN (SELECT * FROM cr WHERE row_no = 1) v ON v.l_orderkey = d.l_orderkey"""
 SQL["next_row_value"] = f"""WITH {CELL_ROWS}
 SELECT doc_id, row_no, col_no, cell, lead(cell) OVER (PARTITION BY doc_id, col_no ORDER BY row_no) AS next_cell
 FROM longc"""
@@ -466,7 +467,7 @@ toks AS (SELECT p_name, unnest({tokens('p_name')}) AS tok FROM descs),
 keys AS (SELECT lower(keyword) AS tok FROM dm WHERE keyword <> '' UNION SELECT lower(model) FROM dd WHERE model <> '')
 SELECT p_name FROM descs WHERE p_name NOT IN (SELECT p_name FROM toks JOIN keys USING (tok))"""
 SQL["scan_dictionary"] = """
-SELECT row_number() OVER (ORDER BY first_key) AS ord, keyword, canonical FROM (
+SELECT CAST(first_key AS INTEGER) AS ord, keyword, canonical, keyword AS model, canonical AS model_manufacturer FROM (
   SELECT string_split(p_name, ' ')[2] AS keyword, arg_min(p_brand, p_partkey) AS canonical, min(p_partkey) AS first_key
   FROM part GROUP BY 1)"""
 
@@ -672,12 +673,22 @@ SQL["extract_sparrow"] = with_fx(f""", {dict_ctes()}, {PAGED}, {SPARROW_SRC}, {i
 {last_wins_sql('sp_exp')}""")
 
 SQL["page_outcome"] = with_fx(f""", {PAGED}
-SELECT doc_id, page_no, CASE WHEN no_table THEN 'error' ELSE 'items' END AS status,
-  CASE WHEN no_table THEN 0 ELSE 1 END AS n_items, CASE WHEN no_table THEN {q(C.NO_TEXT_ON_PAGE)} END AS error
-FROM (SELECT *, l_linenumber = 6 AND qty % 2 = 0 AS no_table FROM paged)""")
-
-
-def _centurion(qty_layout: bool) -> str:
+SELECT layout, doc_id, page_no, CASE WHEN error IS NULL THEN 'items' ELSE 'error' END AS status, n_items, error FROM (
+  SELECT 'sparrow' AS layout, doc_id, page_no, CASE WHEN no_table THEN 0 ELSE 1 END AS n_items,
+    CASE WHEN no_table THEN {q(C.NO_TEXT_ON_PAGE)} END AS error
+  FROM (SELECT *, l_linenumber = 6 AND qty % 2 = 0 AS no_table FROM paged)
+  UNION ALL SELECT 'centurion', doc_id, page_no, CASE WHEN description IS NULL THEN 0 ELSE 1 END,
+    CASE WHEN description IS NULL THEN {q(C.CENTURION_NO_SERIALS)} END FROM paged
+  UNION ALL SELECT 'hendrik', doc_id, page_no, CASE WHEN description IS NULL THEN 0 ELSE 1 END,
+    CASE WHEN description IS NULL THEN {q(C.PAGE_SHAPE_ERROR)} END FROM paged
+  UNION ALL SELECT 'register', doc_id, page_no, n, CASE WHEN n = 0 THEN {q(C.NO_IDS_ON_PAGE)} END
+    FROM (SELECT *, CASE WHEN description IS NULL THEN 0 ELSE 1 END + CASE WHEN l_linenumber % 3 <> 0 THEN 1 ELSE 0 END
+          AS n FROM paged)
+  UNION ALL SELECT 'cells', doc_id, page_no, CASE WHEN description IS NULL THEN 0 ELSE 1 END,
+    CASE WHEN description IS NULL THEN {q(C.NO_IDS_ON_PAGE)} END FROM paged)""")
+
+
+def _centurion(qty_layout: bool, deployed: bool = False) -> str:
     ef = _entries_first('block')
     if qty_layout:
         cell0 = "CAST(qty AS VARCHAR) || ' ' || description"
@@ -688,6 +699,8 @@ def _centurion(qty_layout: bool) -> str:
     serials = (f"array_to_string(list_transform(string_split(regexp_replace({serial_cell}, '\\s+', '', 'g'), ','), "
                f"lambda p: CASE WHEN starts_with(p, {q(fields.SERIAL_PREFIX)}) THEN "
                f"substr(p, {len(fields.SERIAL_PREFIX) + 1}) ELSE p END), ',')")
+    if deployed:
+        serials = strip(f"string_split({serial_cell}, ':')[-1]")
     qty_expr = (f"TRY_CAST({nz(f'regexp_extract(cell0, {pat(fields.LEADING_QUANTITY)}, 1)')} AS BIGINT)"
                 if qty_layout else "NULL")
     ids = ("""ce_ids AS (SELECT rid, id_number, id_idx FROM ie_ids WHERE rid IN (SELECT rid FROM ce3 WHERE q > 1 AND n_ids > 0)
@@ -706,12 +719,12 @@ ce1 AS (SELECT *, CASE WHEN cell0 IS NOT NULL THEN replace(cell0, chr(10), ' ')
           {qty_expr} AS q FROM ce),
 ce_items AS (SELECT * FROM ce1 WHERE descr IS NOT NULL AND descr <> ''),
 ie_src AS (SELECT rid, serials AS s, q FROM ce_items WHERE q > 1),
-{id_expr_ctes('centurion')},
+{id_expr_ctes('centurion_deployed' if deployed else 'centurion')},
 {token_hits('ce_items', 'descr')}, {token_resolve()},
 ce2 AS (SELECT i.*, thr.model, {_lookup(ef, 'custrefpono')} AS provider_identification,
           {_lookup(ef, 'reportnumber')} AS certificate_no, {_lookup(ef, 'dateofexamination')} AS previous_inspection,
           coalesce(ok.ok, true) AS id_ok, coalesce(ok.n_ids, 0) AS n_ids, {truthy('wwl')} AS has_wwl,
-          {swl_cols('wwl', swl.CENTURION_DEPLOYED, 'p_')}
+          {swl_cols('wwl', swl.CENTURION_DEPLOYED if deployed else swl.CENTURION_LOCAL, 'p_')}
         FROM ce_items i LEFT JOIN thr ON thr.d = i.descr LEFT JOIN ie_ok ok ON ok.rid = i.rid),
 ce3 AS (SELECT *, {lst(*head,
                        (f"has_wwl AND NOT ({truthy('p_swl_value')})", q(C.SWL_VALUE_NOT_FOUND)),
@@ -731,6 +744,8 @@ ce_exp AS (SELECT doc_id, page_no, 4 AS row_no, ce_ids.id_number, ce_ids.id_idx,
 
 SQL["extract_centurion_single"] = _centurion(False)
 SQL["extract_centurion_qty"] = _centurion(True)
+SQL["extract_centurion_single_deployed"] = _centurion(False, deployed=True)
+SQL["extract_centurion_qty_deployed"] = _centurion(True, deployed=True)
 
 
 SINK_COLS = {"Id Number": "id_number", "RFID": None, "Item Category": None, "Item Description": "item_description",
@@ -746,16 +761,32 @@ FROM ({SQL['extract_sparrow']})"""
 SQL["sink_page_errors"] = with_fx(f""", {PAGED}
 SELECT doc_id, page_no AS "Page No", {q(C.NO_TEXT_ON_PAGE)} AS "Error" FROM paged
 WHERE l_linenumber = 6 AND qty % 2 = 0""")
+_MIXED = f"""
+SELECT 'S-' || CAST(l_orderkey AS VARCHAR) AS doc_id, 'Sparrows' AS client,
+  CASE WHEN l_orderkey % 97 = 0 THEN {q(C.REASON_NO_FIRST_PAGE)} END AS reason, count(*) AS n
+FROM lineitem GROUP BY l_orderkey HAVING l_orderkey % 97 <> 0 OR count(*) > 1
+UNION ALL SELECT DISTINCT 'C-' || CAST(l_orderkey AS VARCHAR), 'Centurion', NULL, 1 FROM lineitem
+UNION ALL SELECT DISTINCT 'H-' || CAST(l_orderkey AS VARCHAR), 'Centurion', NULL, 1 FROM lineitem
+UNION ALL SELECT DISTINCT 'F-' || CAST(l_orderkey AS VARCHAR), 'First Integrated', NULL, 1 FROM lineitem
+UNION ALL SELECT 'D-' || CAST(doc_id AS VARCHAR), NULL,
+  CASE WHEN {BLANK} THEN {q(C.REASON_BLANK)} ELSE {q(C.REASON_NO_CLIENT)} END, 1 FROM documents"""
+SQL["document_status_mixed"] = f"""
+SELECT doc_id, CASE WHEN reason IS NULL THEN client END AS client,
+  CASE WHEN reason IS NULL THEN {q(C.STATUS_SUCCESS)} ELSE {q(C.STATUS_FAILURE)} END AS status, reason,
+  '2024-01-01' AS run_date FROM ({_MIXED})"""
 SQL["sink_manifest"] = f"""
-SELECT DISTINCT doc_id, 'Rig-Ware import v2' AS A1, 'Sparrows' AS B1, 'CreateLocations=No' AS C1
-FROM ({SQL['extract_sparrow']})"""
+SELECT doc_id, 'Rig-Ware import v2' AS A1, client AS B1, 'CreateLocations=No' AS C1 FROM ({_MIXED}) WHERE reason IS NULL"""
+SQL["sink_overwrite"] = SQL["sink_items"]
+SQL["scan_documents"] = """
+SELECT source, count(*) AS n_documents, sum(length(text)) AS n_characters FROM documents WHERE text IS NOT NULL
+GROUP BY source"""
 SQL["extraction_summary"] = f"""
 SELECT 'Sparrows' AS client, (SELECT count(*) FROM ({SQL['extract_sparrow']})) AS n_items,
   (SELECT count(DISTINCT doc_id) FROM ({SQL['extract_sparrow']})) AS n_docs,
   (SELECT count(*) FROM ({SQL['sink_page_errors']})) AS n_error_pages"""
 _ITEM_COLS = "id_number, first_page, first_idx, " + ", ".join(PAYLOAD)
 SQL["certificate_pipeline"] = f"""
-SELECT 'S-' || doc_id AS doc_id, {_ITEM_COLS} FROM ({SQL['extract_sparrow']})
+SELECT 'S-' || doc_id AS doc_id, {_ITEM_COLS} FROM ({SQL['extract_sparrow']}) WHERE CAST(doc_id AS BIGINT) % 97 <> 0
 UNION ALL
 SELECT 'C-' || doc_id AS doc_id, {_ITEM_COLS} FROM ({SQL['extract_centurion_single']})"""
 SQL["union_clients"] = f"""
@@ -807,7 +838,10 @@ def _fi_register() -> str:
     ref_row = ("'Report Ref No ABC/' || lpad(CAST(l_orderkey AS VARCHAR), 6, '0') || '/' || "
                "lpad(CAST(l_partkey AS VARCHAR), 5, '0') || ' ' || 'Date of thorough examination ' || date_text")
     return with_fx(f""", {dict_ctes()}, {PAGED},
-fr AS (SELECT doc_id, page_no, coalesce({item_row}, '') || ' ' || date_text AS t, {ref_row} AS ref FROM paged),
+fr AS (SELECT doc_id, page_no, 1 AS row_no, coalesce({item_row}, '') || ' ' || date_text AS t, {ref_row} AS ref FROM paged
+       UNION ALL SELECT doc_id, page_no, 2, 'TZX' || CAST(l_partkey AS VARCHAR) || ' spare ring (' ||
+         CAST(l_suppkey AS VARCHAR) || ') ' || CAST(qty AS VARCHAR) || '.5 Kilos ' || date_text, {ref_row}
+       FROM paged WHERE l_linenumber % 3 <> 0),
 fr1 AS (SELECT *, regexp_extract(t, {pat(fields.REGISTER_ID)}, 0) AS m_id,
           regexp_extract(t, {pat(swl.REGISTER_CAPACITY)}, 0) AS m_cap,
           {nz(f"regexp_extract(ref, {pat(ANY_DATE)}, 0)")} AS prev,
@@ -825,7 +859,7 @@ fr4 AS (SELECT fr3.*, nullif(hit.s.f, '') AS manufacturer, nullif(hit.s.m, '') A
 fr5 AS (SELECT *, {lst((f"NOT ({truthy('descr')})", q(C.DESCRIPTION_NOT_FOUND)),
                        ('manufacturer IS NULL', q(C.MANUFACTURER_NOT_FOUND)),
                        ('model IS NULL', q(C.MODEL_NOT_FOUND)))} AS base FROM fr4),
-fr_exp AS (SELECT doc_id, page_no, 1 AS row_no, m_id AS id_number, 0 AS id_idx,
+fr_exp AS (SELECT doc_id, page_no, row_no, m_id AS id_number, 0 AS id_idx,
              CASE WHEN {truthy('descr')} THEN descr END AS item_description, model,
              p_swl_value AS swl_value, p_swl_unit AS swl_unit, p_swl_note AS swl_note, manufacturer,
              cert AS certificate_no, prev AS previous_inspection, next_date AS next_inspection_due_date,
@@ -876,8 +910,8 @@ hit AS (SELECT descr, arg_min({{'f': manufacturer, 'm': model}}, ord) AS hs FROM
         JOIN dd ON dd.model <> '' AND contains(lower(descr), lower(dd.model)) GROUP BY descr),
 fd5 AS (SELECT fd4.*, nullif(hit.hs.f, '') AS manufacturer, nullif(hit.hs.m, '') AS model,
           {swl_cols('cap', swl.FIRST_INTEGRATED, 'p_')} FROM fd4 LEFT JOIN hit ON hit.descr = fd4.descr),
-fd6 AS (SELECT *, list_concat({lst(('manufacturer IS NULL', q(C.MANUFACTURER_NOT_FOUND)),
-                                   ('model IS NULL', q(C.MODEL_NOT_FOUND)))},
+fd6 AS (SELECT *, list_concat({lst(('descr IS NOT NULL AND manufacturer IS NULL', q(C.MANUFACTURER_NOT_FOUND)),
+                                   ('descr IS NOT NULL AND model IS NULL', q(C.MODEL_NOT_FOUND)))},
           CASE WHEN range_error IS NOT NULL THEN [range_error] ELSE [] END) AS base,
           CASE WHEN st IS NULL THEN pre ELSE pre || {padded('st + n - 1')} END AS last_id FROM fd5),
 fd7 AS (SELECT *, unnest(range(CAST(n AS BIGINT))) AS i FROM fd6),
@@ -894,3 +928,18 @@ fd_exp AS (SELECT doc_id, page_no, 0 AS row_no, CASE WHEN st IS NULL THEN pre EL
 
 SQL["extract_fi_declaration"] = _fi_declaration("declaration")
 SQL["extract_fi_cells"] = _fi_declaration("cells")
+SQL["certificate_pipeline"] += f"""
+UNION ALL
+SELECT 'H-' || doc_id AS doc_id, {_ITEM_COLS} FROM ({SQL['extract_hendrik']})
+UNION ALL
+SELECT 'F-' || doc_id AS doc_id, {_ITEM_COLS} FROM ({SQL['extract_fi_cells']})"""
+
+
+def _sheet(src: str) -> str:
+    return f"""
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY first_page, first_idx) + 2 AS sheet_row,
+  id_number AS "Id Number", errors AS "Errors" FROM ({src})"""
+
+
+SQL["stream_ingest"] = _sheet(SQL["certificate_pipeline"])
+SQL["stream_overwrite"] = _sheet(SQL["extract_sparrow"])

@@ -1,16 +1,12 @@
 """End-to-end certificate pipeline (X8) and its stages.
 
-    pages --route (page 1 only)--> client per document ------------------+
-      |                                                                  |
-      +--join client--> one select: layout outcome per page (row-local) -+
+    pages --group by document (page 1's text only)--> client per document --+
+      |                                                                     |
+      +--join client--> one select: the outcome of each page under its -----+
+             client's layouts only, stored once
              |-> page_errors                                            (no shuffle)
              +-> items: explode -> dictionary (distinct texts, broadcast dict)
-                        -> ID expansion (chunked) -> last-wins per (doc, id)   (one shuffle)
-
-One scan of the input feeds every layout; page errors and items are split
-from the same outcome column.  ``run_pipeline`` materialises that outcome
-once (reliable checkpoint) before writing the two tables, so the input is
-never read twice.
+                        -> ID expansion (chunked, spread) -> last-wins per (doc, id) on narrow rows
 """
 
 from __future__ import annotations
@@ -23,8 +19,8 @@ from pyspark.sql import functions as F
 from ..functions.text import is_blank
 from ..operators.dictionary import Dictionary, nullif_empty, substrings_by_length, token_matches
 from ..operators.expand import DEFAULT_CHUNK, explode_ids
-from ..operators.reduce import last_wins
-from . import catalogue as C
+from ..operators.reduce import last_wins_ids
+from . import messages as C
 from .layouts import centurion_client_outcome, first_integrated_outcome, outcome, sparrow_outcome
 
 # Client keywords, in priority order (the first listed wins).
@@ -38,12 +34,22 @@ ITEM_VALUE_COLS = ["client", "item_description", "model", "swl_value", "swl_unit
 @dataclass(frozen=True)
 class Options:
     """``variant``: rule set where the two copies of the rules differ
-    (``local`` or ``deployed``).  ``compat``: reproduce known defects."""
+    (``local`` or ``deployed``): unit lists, the Centurion serial rule and, unless
+    ``id_variant`` names one, the Centurion ID chain.  ``id_variant``: by default
+    the union of both chains for ``local``, the deployed one for ``deployed``.
+    ``compat``: reproduce known defects.  ``rebalance``: spread the chunks of
+    large ID ranges over tasks."""
     variant: str = "local"
-    id_variant: str = "centurion"
+    id_variant: str | None = None
     compat: bool = False
     chunk_size: int = DEFAULT_CHUNK
-    rebalance: bool = False
+    rebalance: bool = True
+
+    def centurion_ids(self) -> str:
+        named = {"local": "centurion_local", "deployed": "centurion_deployed"}
+        if self.id_variant is None:
+            return "centurion_deployed" if self.variant == "deployed" else "centurion"
+        return named.get(self.id_variant, self.id_variant)
 
 
 # ------------------------------------------------------------------ routing
@@ -55,44 +61,42 @@ def route_keyword(text, keywords=DEFAULT_KEYWORDS):
 
 def route_documents(pages: DataFrame, keywords=DEFAULT_KEYWORDS) -> DataFrame:
     """P1+P2+P3: page 1 of each document decides its client.
-    Output (doc_id, client, blank)."""
-    first = pages.where(F.col("page_no") == 1).select("doc_id", "text")
-    return first.select("doc_id", route_keyword(F.col("text"), keywords).alias("client"),
-                        is_blank(F.col("text")).alias("blank"))
+    Output (doc_id, client, blank), one row per document; ``blank`` is null for
+    a document without a page 1."""
+    first = F.col("page_no") == 1
+    facts = pages.select("doc_id", F.when(first, route_keyword(F.col("text"), keywords)).alias("client"),
+                         F.when(first, is_blank(F.col("text"))).alias("blank"))
+    return facts.groupBy("doc_id").agg(F.max("client").alias("client"), F.max("blank").alias("blank"))
 
 
 def document_status(routes: DataFrame, run_date: str | None = None) -> DataFrame:
-    """K6: Success when a client was recognised, else Failure with a reason."""
-    ok = ~F.col("blank") & F.col("client").isNotNull()
+    """K6: one row per document: Success when a client was recognised, else
+    Failure with a reason."""
+    ok = F.coalesce(~F.col("blank"), F.lit(False)) & F.col("client").isNotNull()
     return routes.select(
         "doc_id", F.when(~F.col("blank"), F.col("client")).alias("client"),
         F.when(ok, F.lit(C.STATUS_SUCCESS)).otherwise(F.lit(C.STATUS_FAILURE)).alias("status"),
-        F.when(F.col("blank"), F.lit(C.REASON_BLANK)).when(F.col("client").isNull(), F.lit(C.REASON_NO_CLIENT))
-        .alias("reason"),
+        F.when(F.col("blank").isNull(), F.lit(C.REASON_NO_FIRST_PAGE)).when(F.col("blank"), F.lit(C.REASON_BLANK))
+        .when(F.col("client").isNull(), F.lit(C.REASON_NO_CLIENT)).alias("reason"),
         (F.lit(run_date) if run_date else F.current_date().cast("string")).alias("run_date"))
 
 
 # ------------------------------------------------------------------ extraction
-def _centurion_variant(opts: Options) -> str:
-    return "centurion_local" if opts.variant == "local" and opts.id_variant == "local" else opts.id_variant
-
-
-def with_candidates(pages: DataFrame, opts: Options = Options()) -> DataFrame:
-    """Add one outcome column per client layout family (row-local)."""
-    d = sparrow_outcome(pages, "_o_sparrows", opts.variant)
-    d = centurion_client_outcome(d, "_o_centurion", _centurion_variant(opts))
-    return first_integrated_outcome(d, "_o_first_integrated", opts.variant, opts.compat)
+def with_candidates(pages: DataFrame, opts: Options = Options(), client_col: str | None = None) -> DataFrame:
+    """Add one outcome column per client layout family (row-local); with
+    ``client_col`` a page is only read under its own client's layouts."""
+    def gate(name):
+        return None if client_col is None else F.coalesce(F.col(client_col) == name, F.lit(False))
+    d = sparrow_outcome(pages, "_o_sparrows", opts.variant, gate=gate("Sparrows"))
+    d = centurion_client_outcome(d, "_o_centurion", opts.centurion_ids(), opts.variant, gate=gate("Centurion"))
+    return first_integrated_outcome(d, "_o_first_integrated", opts.variant, opts.compat,
+                                    gate=gate("First Integrated"))
 
 
 def _pick(client_col):
     c = F.col(client_col)
-    return (F.when(c == "Sparrows", F.col("cand.sparrows")).when(c == "Centurion", F.col("cand.centurion"))
-            .when(c == "First Integrated", F.col("cand.first_integrated")).otherwise(outcome()))
-
-
-def _cand_struct():
-    return F.struct(F.col("_o_sparrows").alias("sparrows"), F.col("_o_centurion").alias("centurion"),
-                    F.col("_o_first_integrated").alias("first_integrated")).alias("cand")
+    return (F.when(c == "Sparrows", F.col("_o_sparrows")).when(c == "Centurion", F.col("_o_centurion"))
+            .when(c == "First Integrated", F.col("_o_first_integrated")).otherwise(outcome()))
 
 
 def layout_outcome(pages: DataFrame, client: str, opts: Options = Options()) -> DataFrame:
@@ -101,7 +105,7 @@ def layout_outcome(pages: DataFrame, client: str, opts: Options = Options()) ->
     if client == "Sparrows":
         d = sparrow_outcome(d, "outcome", opts.variant)
     elif client == "Centurion":
-        d = centurion_client_outcome(d, "outcome", _centurion_variant(opts))
+        d = centurion_client_outcome(d, "outcome", opts.centurion_ids(), opts.variant)
     elif client == "First Integrated":
         d = first_integrated_outcome(d, "outcome", opts.variant, opts.compat)
     else:
@@ -111,33 +115,10 @@ def layout_outcome(pages: DataFrame, client: str, opts: Options = Options()) ->
 
 def page_outcome(pages: DataFrame, client_col: str = "client", opts: Options = Options()) -> DataFrame:
     """One row per page with ``outcome struct<items, error>`` for a known client."""
-    d = with_candidates(pages, opts).select("doc_id", "page_no", client_col, _cand_struct())
+    d = with_candidates(pages, opts, client_col)
     return d.select("doc_id", "page_no", client_col, _pick(client_col).alias("outcome"))
 
 
-def candidate_outcomes(pages: DataFrame, opts: Options = Options(), keywords=DEFAULT_KEYWORDS) -> DataFrame:
-    """One pass over the pages: the routing facts of page 1 and the outcome of
-    the page under every client (a page only fits its own client's layout,
-    so the extra candidates are cheap), with text and grids dropped.  This is
-    the compact table the rest of the pipeline reads instead of the input."""
-    text = F.col("text")
-    first = F.col("page_no") == 1
-    d = with_candidates(pages, opts)
-    return d.select(
-        "doc_id", "page_no",
-        F.when(first, route_keyword(text, keywords)).alias("route_client"),
-        F.when(first, is_blank(text)).alias("route_blank"), _cand_struct())
-
-
-def choose_outcomes(cand: DataFrame, keywords=DEFAULT_KEYWORDS):
-    """Routes from page 1, then each page keeps its client's candidate."""
-    routes = cand.where(F.col("page_no") == 1).select(
-        "doc_id", F.col("route_client").alias("client"), F.col("route_blank").alias("blank"))
-    ok = routes.where(~F.col("blank") & F.col("client").isNotNull()).select("doc_id", "client")
-    outcomes = cand.join(ok, "doc_id").select("doc_id", "page_no", "client", _pick("client").alias("outcome"))
-    return routes, outcomes
-
-
 def page_errors_of(outcomes: DataFrame) -> DataFrame:
     return outcomes.where(F.col("outcome.error").isNotNull()).select(
         "doc_id", "page_no", "client", F.col("outcome.error").alias("error"))
@@ -174,7 +155,13 @@ def finish_items(items: DataFrame, dictionary: Dictionary, override: bool = True
                   F.col("d_manufacturer").alias("_dmf"), F.col("_s.manufacturer").alias("_sm"),
                   F.col("_s.model").alias("_smod"))
     m = lk.select(F.col("_text").alias("maker_desc"), F.col("m_keyword").alias("_maker_kw"))
-    j = items.join(d, "lookup_desc", "left").join(m, "maker_desc", "left")
+    # rows without a text to look up must not meet in one task: they get keys of their own
+    def spread(text):
+        own = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64("doc_id", "page_no", "row_no"), F.lit(4096)).cast("string"))
+        return F.coalesce(F.col(text), own)
+    j = items.withColumn("_dk", spread("lookup_desc")).withColumn("_mkey", spread("maker_desc"))
+    j = j.join(d.withColumnRenamed("lookup_desc", "_dk"), "_dk", "left").join(
+        m.withColumnRenamed("maker_desc", "_mkey"), "_mkey", "left").drop("_dk", "_mkey")
     mode = F.col("lookup_mode")
     from ..functions.text import pysplit, truthy
     mc = F.col("_mc")
@@ -202,28 +189,31 @@ def finish_items(items: DataFrame, dictionary: Dictionary, override: bool = True
 
 
 def expand_and_reduce(items: DataFrame, opts: Options = Options()) -> DataFrame:
-    """ID expansion then last-wins per (doc_id, id_number)."""
-    keep = ["doc_id", "page_no", "table_no", "row_no", "id_segments"] + ITEM_VALUE_COLS
-    x = explode_ids(items.select(*keep), "id_segments", chunk_size=opts.chunk_size,
-                    rebalance_cols=["doc_id", "page_no"] if opts.rebalance else None)
-    x = x.withColumn("pos", F.struct("page_no", "table_no", "row_no", "id_idx"))
-    return last_wins(x, ["doc_id", "id_number"], "pos", ITEM_VALUE_COLS)
+    """ID expansion, then last-wins per (doc_id, id_number)."""
+    place = ["doc_id", "page_no", "table_no", "row_no"]
+    x = explode_ids(items.select(*place, "id_segments"), "id_segments", chunk_size=opts.chunk_size,
+                    rebalance_cols=place if opts.rebalance else None)
+    return last_wins_ids(x, items, ITEM_VALUE_COLS)
 
 
 def extract(pages: DataFrame, dictionary: Dictionary, opts: Options = Options(), keywords=DEFAULT_KEYWORDS,
             materialize: bool = True):
     """Batch entry: returns (items, page_errors, status) DataFrames.
 
-    ``materialize`` writes the compact per-page candidates and the raw items
-    once to the checkpoint folder (``spark.checkpoint.dir``), so the input is
-    scanned exactly once however many consumers follow; without it the plan
-    stays lazy (and re-reads the input per consumer)."""
-    cand = candidate_outcomes(pages, opts, keywords)
-    if materialize:
-        from ..session import ensure_checkpoint_dir
+    ``materialize`` writes the routes, the compact page outcomes and the
+    finished items once each to the checkpoint folder
+    (``spark.checkpoint.dir``); without it the plan stays lazy (and re-reads
+    the input per consumer)."""
+    from ..session import ensure_checkpoint_dir
+
+    def stored(df):
+        if not materialize:
+            return df
         ensure_checkpoint_dir(pages.sparkSession)
-        cand = cand.checkpoint(eager=True)
-    routes, outcomes = choose_outcomes(cand, keywords)
+        return df.checkpoint(eager=True)
+    routes = stored(route_documents(pages, keywords))
+    ok = routes.where(~F.col("blank") & F.col("client").isNotNull()).select("doc_id", "client")
+    outcomes = stored(page_outcome(pages.join(ok, "doc_id"), "client", opts))
     raw = raw_items_of(outcomes)
-    items = expand_and_reduce(finish_items(raw, dictionary), opts)
+    items = expand_and_reduce(stored(finish_items(raw, dictionary)), opts)
     return items, page_errors_of(outcomes), document_status(routes)

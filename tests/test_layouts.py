@@ -151,3 +151,43 @@ def test_dictionary_fixture(spark):
            substring_lookup(df, "d", fixture_dictionary(spark)).collect()}
     assert sub["xtcb14y"] == ("Tiger", "TCB14")
     assert FIXTURE_DICTIONARY[0][0] == ("TIGER", "Tiger")
+
+
+def centurion_table(swl="5KG", serial="Item: Serial No(s): S1"):
+    block = "Report Number: C1\nDate of Examination: 01/02/2024\nCust Ref/PO No.: P1"
+    return [["13", "x"] + [N] * 11 + [block], ["x"],
+            ["Quantity & Description of Equipment, Serial Numbers", N, "Safe Working Load", "Date of next exam",
+             "Manufacturer", "Certificate No"], ["x"],
+            ["Chain TCB14: 2m", N, swl, "01/08/2024", "Maker", "C9"], [serial, N]]
+
+
+@pytest.mark.parametrize("variant,ident,unit,note", [
+    ("local", "Item:SerialNo(s):S1", "KG", None), ("deployed", "S1", None, "KG")])
+def test_centurion_variants(spark, variant, ident, unit, note):
+    rows = [("d1", "p", 1, "Centurion certificate", [centurion_table()])]
+    it, errs, _ = run(spark, rows, variant=variant)
+    assert set(it) == {ident} and not errs
+    assert it[ident]["swl_unit"] == unit and (it[ident]["swl_note"] or None) == note
+    assert ("SWL Unit not Found" in it[ident]["errors"]) == (unit is None)
+
+
+def test_first_integrated_pages_without_ids(spark):
+    declaration = [["Name & Address of Manufacturer: Z", N], ["Id Number", "WLL"], ["TZW1", "5 TONNES"],
+                   ["Certificate Number", N]]
+    rows = [("d1", "p", 1, "First Integrated", [[["Date of Thorough Examination: 01/02/2024", N]]]),
+            ("d2", "p", 1, "First Integrated", [[["Name & Address of employer for Whom the examination was made", N],
+                                                 ["nothing", N]]]),
+            ("d3", "p", 1, "First Integrated", [declaration])]
+    it, errs, _ = run(spark, rows)
+    assert sorted(e["doc_id"] for e in errs) == ["d1", "d2"]
+    assert set(it) == {"TZW1"}
+    # no Description label: no dictionary errors; the certificate label has no row below
+    assert it["TZW1"]["errors"] == ["Certificate Number not found", "for ID: TZW1"]
+
+
+def test_document_without_first_page(spark):
+    rows = [("d1", "p", 2, "Sparrows certificate", [SPARROW_TABLE]), ("d2", "p", 1, "Sparrows certificate", [])]
+    it, errs, status = run(spark, rows)
+    assert not it
+    got = {s["doc_id"]: (s["status"], s["reason"]) for s in status}
+    assert got == {"d1": ("Failure", "no first page"), "d2": ("Success", None)}

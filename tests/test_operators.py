@@ -61,3 +61,44 @@ def test_stream_replay_is_idempotent(spark):
     out = spark.read.parquet(os.path.join(base, "out", "items"))
     assert out.count() == 12
     assert sorted(r["sheet_row"] for r in out.where(F.col("doc_id") == "d0").collect()) == [3, 4, 5]
+
+
+def test_write_documents_replaces_per_document(spark, tmp_path):
+    from certloom.sources.sinks import write_documents
+    path = str(tmp_path / "items")
+
+    def write(rows, docs):
+        df = spark.createDataFrame(rows, "doc_id string, v int")
+        write_documents(df, spark.createDataFrame([(d,) for d in docs], "doc_id string"), path, "2024-01-01", buckets=3)
+        return sorted((r.doc_id, r.v) for r in spark.read.parquet(path).collect())
+
+    assert write([("d1", 1), ("d1", 2)], ["d1"]) == [("d1", 1), ("d1", 2)]
+    assert write([("d2", 5)], ["d2"]) == [("d1", 1), ("d1", 2), ("d2", 5)]  # a second run of the day
+    assert write([("d1", 9)], ["d1"]) == [("d1", 9), ("d2", 5)]  # sent again
+    assert write([], ["d1"]) == [("d2", 5)]  # nothing left of it
+
+
+def test_long_numbers_never_vanish(spark):
+    n = "1" * 39
+    texts = [f"TZW{n}-{n}", f"TZW{n}-{n[:-1]}3", "TZW1-99999999999999999999", f"TZW{n}-5", "X1/01-03"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, s string")
+    d = df.select("k", ids.id_hyphen_range("s").alias("r"))
+    out = explode_ids(d.select("k", F.col("r.segments").alias("g"), F.size("r.errors").alias("e")), "g")
+    got = {}
+    for r in out.orderBy("k", "id_idx").collect():
+        got.setdefault((r.k, r.e), []).append(r.id_number)
+    assert got == {
+        (0, 0): [f"TZW{n}"], (1, 0): [f"TZW{n}", f"TZW{n[:-1]}2", f"TZW{n[:-1]}3"], (2, 1): [texts[2]],
+        (3, 1): [f"TZW{n}"], (4, 0): ["X1/01", "X1/02", "X1/03"]}
+    parts = spark.createDataFrame([(f"MGL{n}",)], "s string").select(ids.id_parts("s", F.lit(2)).alias("g"))
+    assert [r.id_number for r in explode_ids(parts, "g").orderBy("id_idx").collect()] == [
+        f"MGL{n}", f"MGL{n[:-1]}2"]
+
+
+def test_packed_positions(spark):
+    from certloom.operators.reduce import pack_position, unpack_position
+    rows = [(1, 0, 4, 0), (1, 0, 4, 10**14), (2**31 - 1, 65535, 65535, 7), (1, 2, 0, 0)]
+    df = spark.createDataFrame(rows, "page int, tbl int, rw int, idx long")
+    out = df.select("*", pack_position("page", "tbl", "rw", "idx").alias("p")).select("*", unpack_position("p").alias("u"))
+    got = out.orderBy("p").collect()
+    assert [tuple(r.u) for r in got] == [tuple(r)[:4] for r in got] == sorted(rows)
