@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .text import col_, nullif_empty
 
+# Date formats and patterns.
 DMY_IN = "d/M/yyyy"      # accepts 1/2/2024 and 01/02/2024
 DMY_OUT = "dd/MM/yyyy"
 

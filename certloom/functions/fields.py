@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 from .swl import REGISTER_CAPACITY
 from .text import col_, nullif_empty, pystrip, split_newline, splitlines
 
-# F15 / F16 / F22 patterns.
+# The F6, F8, F15, F16 and F22 patterns.
 REGISTER_ID = r"(?U)(\(\w+\)\s*)?[A-Z]{3}\d+"
 REPORT_REF = r"[A-Z]{3}/\d{6}/\d{5}"
 REPORT_NUMBER_LABEL = r"(?i)Report\s*Number:"
 CERTIFICATE_NO = r"Certificate No\. :\s*(\d+)"
 ID_AFTER_PAREN = r"\)\s*([^\s]+)"
 SERIAL_PREFIX = "SerialNo(s):"
-LEADING_QUANTITY = r"^\s*(\d+)\s+\d*"
+LEADING_QUANTITY = r"^(?U:\s*)(\d+)(?U:\s+)\d*"
 
 
 # ---------------------------------------------------------------- quantities

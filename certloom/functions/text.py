@@ -88,16 +88,6 @@ def provider_prefix(c, prefix: str = "LOFT-") -> Column:
     return F.concat(F.lit(prefix), col_(c))
 
 
-def first_line_value_after_colon(c) -> Column:
-    return pystrip(F.get(F.split(col_(c), ":", 2), F.lit(1)))
-
-
-def last_colon_segment(c) -> Column:
-    """F9 / F11 (last): ``x.split(':')[-1].strip()``."""
-    parts = F.split(col_(c), ":")
-    return pystrip(F.get(parts, F.size(parts) - 1))
-
-
 def truthy(c) -> Column:
     """Python truthiness of an optional string: not None and not ''."""
     c = col_(c)

@@ -16,6 +16,7 @@ from ..functions import dates, fields, ids, swl, text
 from ..operators import dictionary as dct
 from ..operators import grids, reduce
 from ..operators.expand import explode_ids
+from ..sources.sinks import render_errors, render_list
 from . import carriers as cr
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,17 +38,6 @@ def _s(c):
     return c.cast("string")
 
 
-def render_py_list(arr) -> F.Column:
-    """``str(list_of_str)`` as Python prints it (single quotes unless the
-    text holds a single quote and no double quote)."""
-    def rep(e):
-        esc = F.replace(F.replace(e, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
-        dq = esc.contains("'") & ~esc.contains('"')
-        return F.when(dq, F.concat(F.lit('"'), esc, F.lit('"'))).otherwise(
-            F.concat(F.lit("'"), F.replace(esc, F.lit("'"), F.lit("\\'")), F.lit("'")))
-    return F.concat(F.lit("["), F.array_join(F.transform(arr, rep), ", "), F.lit("]"))
-
-
 # ======================================================================== F: scalars
 @query("swl_parse_tight")
 def q_swl_parse_tight(spark, sf):
@@ -553,8 +543,7 @@ def _fx_errors(spark, sf):
 
 @query("item_errors")
 def q_item_errors(spark, sf):
-    return _fx_errors(spark, sf).select(*KEYS, F.when(F.size("errors") > 0, render_py_list(F.col("errors")))
-                                        .alias("errors"))
+    return _fx_errors(spark, sf).select(*KEYS, render_errors(F.col("errors")).alias("errors"))
 
 
 @query("running_errors")
@@ -562,7 +551,7 @@ def q_running_errors(spark, sf):
     d = _fx_errors(spark, sf).withColumn("pos", F.struct("l_linenumber", "l_partkey", "l_suppkey"))
     d = reduce.running_errors(d, ["l_orderkey"], "pos")
     return d.select(*KEYS, F.size("running_errors").alias("n_errors"),
-                    render_py_list(F.col("running_errors")).alias("running_errors"))
+                    render_list(F.col("running_errors")).alias("running_errors"))
 
 
 @query("row_numbering")
@@ -645,7 +634,7 @@ def run_layout(spark, pages, client, opts=None, materialize=True):
 def item_table(items):
     return items.select("doc_id", "id_number", F.col("first_pos.page_no").alias("first_page"),
                         F.col("first_pos.id_idx").alias("first_idx"), *ITEM_OUT,
-                        F.when(F.size("errors") > 0, render_py_list(F.col("errors"))).alias("errors"))
+                        render_errors(F.col("errors")).alias("errors"))
 
 
 @query("extract_sparrow")

@@ -7,7 +7,6 @@ instead (marked "ours").
 """
 
 # Item-level messages.
-ITEM_DESCRIPTION_NOT_FOUND = "Item Description not found"
 MANUFACTURER_NOT_FOUND = "Manufacturer not found"
 MODEL_NOT_FOUND = "Model not found"
 SPARROW_NO_DESCRIPTION = ("Description not found in the page. Item Description, Manufacturer, Model columns are "
@@ -27,7 +26,6 @@ ID_EXPANSION_FAILED = ("Error in extracting identification numbers. So, appendin
 PAGE_NO_PREFIX = "page no: "
 ID_NUMBER_NOT_FOUND = "ID Number not found"
 DESCRIPTION_NOT_FOUND = "Description not found"
-NEXT_DATE_NOT_FOUND = "Next Inspection date not found"
 PREVIOUS_NOT_FOUND_FI = "Previous Inspection not found"
 CERTIFICATE_NUMBER_NOT_FOUND = "Certificate Number not found"
 ID_NUMBER_NOT_FOUND_FI3 = "Id Number not found"

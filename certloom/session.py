@@ -23,7 +23,7 @@ def apply_plan_confs(spark: SparkSession) -> SparkSession:
 
 
 def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                app_name: str = "certloom") -> SparkSession:
+                app_name: str = "certloom", conf: dict[str, str] | None = None) -> SparkSession:
     """Local session for tests, bench and examples (never used on a cluster,
     where the cluster's own session is passed in)."""
     builder = (
@@ -37,6 +37,8 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    for key, value in (conf or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     apply_plan_confs(spark)

@@ -34,14 +34,20 @@ PREAMBLE = ("Rig-Ware import v2", "CreateLocations=No")
 FIRST_DATA_ROW = 3
 
 
-def render_errors(arr) -> F.Column:
-    """``str(list)`` of the error texts, as the sheet shows them; null when empty."""
+def render_list(arr) -> F.Column:
+    """``str(list_of_str)`` as Python prints it (single quotes unless a text
+    holds a single quote and no double quote)."""
     def rep(e):
         esc = F.replace(F.replace(e, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
         dq = esc.contains("'") & ~esc.contains('"')
         return F.when(dq, F.concat(F.lit('"'), esc, F.lit('"'))).otherwise(
             F.concat(F.lit("'"), F.replace(esc, F.lit("'"), F.lit("\\'")), F.lit("'")))
-    return F.when(F.size(arr) > 0, F.concat(F.lit("["), F.array_join(F.transform(arr, rep), ", "), F.lit("]")))
+    return F.concat(F.lit("["), F.array_join(F.transform(arr, rep), ", "), F.lit("]"))
+
+
+def render_errors(arr) -> F.Column:
+    """The error texts as the sheet shows them; null when there are none."""
+    return F.when(F.size(arr) > 0, render_list(arr))
 
 
 def item_sheet(items: DataFrame, skew_safe: bool = True) -> DataFrame:
