@@ -1,20 +1,45 @@
 """DuckDB SQL for every registered query that SQL can express.
 
 Written independently of the Spark code, in plain DuckDB SQL over the same
-parquet tables.  Shared fragments (unit lists, the whitespace set, the test
-dictionary) are rendered from the same Python constants so both sides use
-identical fixed values.
+parquet tables.  Patterns and unit lists are written out here, so that a slip
+in the code's own constants shows; only the message texts, the whitespace set
+and the test dictionary are shared.
 """
 
 from __future__ import annotations
 
-from ..functions import fields, swl
+from types import SimpleNamespace
+
 from ..functions.text import PY_WHITESPACE
 from . import carriers as cr
 from . import messages as C
 
 SQL: dict[str, str] = {}
 
+# The rules' patterns and unit lists.
+_UNITS = ("kg g lb ton t m cm mm ft in m² cm² mm² ft² in² m³ cm³ mm³ ft³ in³ km/h mph m/s kph °C °F °K bar atm Pa kPa "
+          "psi N J W A V F Ω S H Hz C Bq Gy Sv cd lm lx B mol unit te").split()
+_TIGHT = r"^(\d+(?:\.\d+)?)([a-zA-Z]+)?\s*(.*)$"
+_LOOSE = r"^(\d+(?:\.\d+)?)\s*([a-zA-Z]+)?\s*(.*)$"
+_KGS = {"kgs": "kg"}
+swl = SimpleNamespace(
+    LOOSE_PATTERN=_LOOSE,
+    SPARROW=SimpleNamespace(pattern=_TIGHT, aliases=_KGS, units=_UNITS),
+    CENTURION_DEPLOYED=SimpleNamespace(pattern=_TIGHT, aliases=_KGS, units=_UNITS),
+    CENTURION_LOCAL=SimpleNamespace(pattern=_TIGHT, aliases=_KGS, units=[*_UNITS, "KG", "T", "TE", "G", "TH /FITTING"]),
+    FIRST_INTEGRATED=SimpleNamespace(
+        pattern=_LOOSE, aliases={"TONNE": "te", "TONNES": "te", "Tonnes": "te", "Kilos": "kg"},
+        units=[*_UNITS, "TONNE", "TONNES", "Kilos", "Tonnes"]),
+    REGISTER_CAPACITY=r"(?i)(\d+\.\d+)\s+(Tonnes|Kilos)\s",
+    TONNE_CAPACITY=r"(?i)(\d+(?:\.\d+)?)\s*(TONNE|TONNES)\b",
+    HENDRIK_CAPACITY=r"(\d+(\.\d+)?\s*t)")
+fields = SimpleNamespace(
+    REGISTER_ID=r"(\(\w+\)\s*)?[A-Z]{3}\d+", REPORT_REF=r"[A-Z]{3}/\d{6}/\d{5}",
+    REPORT_NUMBER_LABEL=r"(?i)Report\s*Number:", CERTIFICATE_NO=r"Certificate No\. :\s*(\d+)",
+    ID_AFTER_PAREN=r"\)\s*([^\s]+)", SERIAL_PREFIX="SerialNo(s):", LEADING_QUANTITY=r"^\s*(\d+)\s+\d*")
+DASHED_DATE, ANY_DATE, ROW_END_DATE = (
+    r"(\d{2}-\d{2}-\d{4})", r"\b(\d{2}/\d{2}/\d{4})\b", r"(\d{2}/\d{2}/\d{4})$")
+
 # The derived certificate view (portable SQL; equal in Spark and DuckDB).
 FX = """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS INT) AS qty,
@@ -49,9 +74,6 @@ def q(s: str) -> str:
 
 
 def pat(p: str) -> str:
-    """Java pattern -> RE2 pattern (drop the flags RE2 does not need)."""
-    for flag in ("(?d)", "(?U)"):
-        p = p.replace(flag, "")
     return q(p)
 
 
@@ -796,7 +818,6 @@ SELECT doc_id, {_ITEM_COLS}, 'Centurion' AS client FROM ({SQL['extract_centurion
 
 
 def _hendrik() -> str:
-    from ..functions.dates import DASHED_DATE
     return with_fx(f""", {dict_ctes()}, {PAGED},
 he AS (SELECT doc_id, page_no,
    {nz(f"regexp_extract('Id (' || CAST(l_linenumber AS VARCHAR) || ') HK-' || CAST(l_orderkey AS VARCHAR) || '-' || "
@@ -832,7 +853,6 @@ SQL["extract_hendrik"] = _hendrik()
 
 
 def _fi_register() -> str:
-    from ..functions.dates import ANY_DATE, ROW_END_DATE
     item_row = ("CASE WHEN l_linenumber % 2 = 0 THEN '(AB) ' ELSE '' END || 'TZW' || CAST(l_suppkey AS VARCHAR) || ' ' "
                 "|| description || ' (' || CAST(l_partkey AS VARCHAR) || ') ' || CAST(qty AS VARCHAR) || '.0 Tonnes'")
     ref_row = ("'Report Ref No ABC/' || lpad(CAST(l_orderkey AS VARCHAR), 6, '0') || '/' || "
