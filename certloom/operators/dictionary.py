@@ -111,12 +111,15 @@ def token_lookup(df: DataFrame, desc_col: str, dictionary: Dictionary, mode: str
     return df.join(res, desc_col, "left")
 
 
-def substrings_by_length(lower_desc, lengths):
-    """All substrings of the given lengths (a literal, small array)."""
-    return F.array_distinct(F.flatten(F.transform(F.array(*[F.lit(n) for n in lengths]), lambda n: F.transform(
-        F.when(F.length(lower_desc) >= n, F.sequence(F.lit(1), F.length(lower_desc) - n + 1))
-        .otherwise(F.array().cast("array<int>")),
-        lambda p: F.substring(lower_desc, p, n)))))
+def substring_rows(df: DataFrame, text_col: str, lengths) -> DataFrame:
+    """(text, _tok): the substrings of the lower-cased text of the given lengths
+    (a literal, small list), one row each; no row holds more than a text's
+    positions."""
+    low = F.lower(F.col(text_col))
+    d = df.select(text_col, low.alias("_low"), F.explode(F.array(*[F.lit(n) for n in lengths])).alias("_n"))
+    d = d.where(F.length("_low") >= F.col("_n"))
+    d = d.select(text_col, "_low", "_n", F.explode(F.sequence(F.lit(1), F.length("_low") - F.col("_n") + 1)).alias("_p"))
+    return d.select(text_col, F.substring(F.col("_low"), F.col("_p"), F.col("_n")).alias("_tok"))
 
 
 def substring_lookup(df: DataFrame, desc_col: str, dictionary: Dictionary) -> DataFrame:
@@ -135,7 +138,7 @@ def substring_lookup(df: DataFrame, desc_col: str, dictionary: Dictionary) -> Da
         res = descs.select(desc_col, F.lit(None).cast("string").alias("manufacturer"),
                            F.lit(None).cast("string").alias("model"))
     else:
-        subs = descs.select(desc_col, F.explode(substrings_by_length(F.lower(F.col(desc_col)), lengths)).alias("_tok"))
+        subs = substring_rows(descs, desc_col, lengths)
         hit = subs.join(side, "_tok").groupBy(desc_col).agg(
             F.min_by(F.struct("manufacturer", "model"), "ord").alias("_d"))
         res = descs.join(hit, desc_col, "left").select(

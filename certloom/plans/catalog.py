@@ -590,18 +590,23 @@ def q_union_layouts(spark, sf):
     return a.unionByName(b, allowMissingColumns=True)
 
 
+def _page_files(spark, sf):
+    from ..sources.readers import read_page_grids
+    path = _scratch(spark, "grids")
+    cr.sparrow_pages(spark, sf).write.parquet(path)
+    return read_page_grids(spark, path)
+
+
 @query("first_page")
 def q_first_page(spark, sf):
-    p = cr.sparrow_pages(spark, sf)
+    """The page number filter and the two columns reach the Parquet scan; no grid is read."""
+    p = _page_files(spark, sf)
     return p.where(F.col("page_no") == 1).select("doc_id", "page_no", "text")
 
 
 @query("scan_page_grids")
 def q_scan_page_grids(spark, sf):
-    from ..sources.readers import read_page_grids
-    path = _scratch(spark, "grids")
-    cr.sparrow_pages(spark, sf).write.parquet(path)
-    p = read_page_grids(spark, path)
+    p = _page_files(spark, sf)
     t = F.get(F.col("tables"), 0)
     return p.select("doc_id", "page_no", F.size("tables").alias("n_tables"), F.size(t).alias("n_rows"),
                     grid_text(t).alias("grid"))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
-from ..operators.dictionary import Dictionary, nullif_empty, substrings_by_length, token_matches
+from ..operators.dictionary import Dictionary, nullif_empty, substring_rows, token_matches
 from ..operators.expand import DEFAULT_CHUNK, explode_ids
 from ..operators.reduce import last_wins_ids
 from . import messages as C
@@ -138,8 +138,7 @@ def _lookup_table(items: DataFrame, dictionary: Dictionary) -> DataFrame:
     side = dictionary.model_side()
     lengths = sorted({r[0] for r in side.select(F.length("_tok")).distinct().collect()})
     if lengths:
-        subs = sub_texts.select("_text", F.explode(substrings_by_length(F.lower(F.col("_text")), lengths)).alias("_tok"))
-        sub = subs.join(side, "_tok").groupBy("_text").agg(
+        sub = substring_rows(sub_texts, "_text", lengths).join(side, "_tok").groupBy("_text").agg(
             F.min_by(F.struct("manufacturer", "model"), "ord").alias("_s"))
         hits = hits.join(sub, "_text", "left")
     else:
