@@ -12,8 +12,8 @@ Steps, each one Spark job over all documents:
 2. join the runs with them (a plain shuffle join, which AQE splits on hot anchors);
 3. group the joined runs by (anchor, content hash): equal runs need no text;
 4. fetch the text of one run per content, where an anchor has several contents, and compare them in
-   ``match`` (per group; groups over ``hot_group`` contents are compared window by window through a
-   shuffle on 128-bit window hashes instead, so no task gets an unbounded group);
+   ``match``, group by group (groups over ``hot_group`` contents are anchored again by longer grams
+   and dealt out anew, so no task gets an unbounded group);
 5. turn the repeated windows into token spans per document.
 """
 
@@ -28,6 +28,7 @@ from pyspark.sql import types as S
 
 from . import textops as T
 
+LEVELS = 4  # times that windows of a hot anchor are anchored again
 MAX_RUN = 256  # windows in one row; longer runs (periodic text) are cut, their pieces share the anchor
 
 
@@ -88,6 +89,17 @@ class Windows:
         return doc, (relative << 16) | (again.astype(np.int64) << 15) | length, v[first], seg
 
 
+    def cut(self, buf, off, doc, start, n) -> list[bytes]:
+        """The text of each run of ``n`` windows from window ``start`` of its document."""
+        raw, end = buf.tobytes(), start + n + self.size - 1
+        if self.unit == "byte":
+            base = off[doc]
+            return [raw[i:j] for i, j in zip((base + start).tolist(), (base + end).tolist(), strict=True)]
+        ws, we, woff = T.word_spans(buf, off, T.BLANKS)
+        first, last = ws[woff[doc] + start], we[woff[doc] + end - 1]
+        return [raw[i:j] for i, j in zip(first.tolist(), last.tolist(), strict=True)]
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
     """(_k long, _t text, _row struct of the other columns), and whether ``_k`` is the id: it is where
     ids are unique integers; else all rows get keys in the order (id, text)."""
@@ -134,7 +146,7 @@ def pack(docs: DataFrame) -> DataFrame:
         z = zstandard.ZstdCompressor(level=1)
         for b in batches:
             text = b.column(1).cast(pa.large_binary())
-            out = pa.array([None if x is None else z.compress(x.as_buffer()) for x in text], pa.binary())
+            out = pa.array([z.compress(x.as_buffer()) if x.is_valid else None for x in text], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), out, b.column(2)], names=["_k", "_z", "_row"])
 
     schema = S.StructType([S.StructField("_k", S.LongType()), S.StructField("_z", S.BinaryType()),
@@ -157,12 +169,17 @@ def repeated_runs(docs: DataFrame, how: Windows, across_documents: bool) -> Data
     return T.materialize(scan_runs(docs, how, True).join(often, "h"))
 
 
+def _shared(g: DataFrame) -> DataFrame:
+    """(h, n_seg) of the anchors with several contents, or one that may repeat a window in itself."""
+    recurs = F.max(F.shiftright("p", 15).bitwiseAND(F.lit(1)))
+    return g.groupBy("h").agg(F.count("*").alias("n_seg"), recurs.alias("r")).where("n_seg > 1 or r > 0")
+
+
 def contents(runs: DataFrame, hot_group: int) -> tuple[DataFrame, DataFrame]:
     """One row per (h, seg): copies and first place; and those whose anchor has other contents."""
     g = runs.groupBy("h", "seg").agg(F.count("*").alias("c"), F.min(F.struct("k", "p")).alias("f"))
     g = T.materialize(g.select("h", "seg", "c", "f.k", "f.p"))
-    recurs = F.max(F.shiftright("p", 15).bitwiseAND(F.lit(1)))
-    per = g.groupBy("h").agg(F.count("*").alias("n_seg"), recurs.alias("r")).where("n_seg > 1 or r > 0")
+    per = T.materialize(_shared(g))  # read back, so that AQE may split this join on a hot anchor
     return g, g.join(per, "h").withColumn("hot", F.col("n_seg") > hot_group)
 
 
@@ -177,16 +194,12 @@ def fetch(docs_packed: DataFrame, wanted: DataFrame, how: Windows) -> DataFrame:
         rows = T.Rows(schema)
         for b in batches:
             for key, z, w in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
-                raw = unpack(z.as_py())
+                buf = np.frombuffer(unpack(z.as_py()), np.uint8)
                 h, seg, p, hot = (w.values.field(i).to_pylist() for i in range(4))
-                if how.unit == "word":
-                    buf = np.frombuffer(raw, np.uint8)
-                    ws, we, _ = T.word_spans(buf, np.array([0, len(buf)]), T.BLANKS)
-                for i, place in enumerate(p):
-                    start = place >> 16
-                    end = start + (place & 0x7FFF) + how.size - 1
-                    body = raw[ws[start]:we[end - 1]] if how.unit == "word" else raw[start:end]
-                    rows.add(len(body), h[i], seg[i], key, place, hot[i], body)
+                place = np.array(p)
+                bodies = how.cut(buf, np.array([0, len(buf)]), np.zeros(len(p), np.int64), place >> 16, place & 0x7FFF)
+                for row in zip(h, seg, p, hot, bodies, strict=True):
+                    rows.add(len(row[4]), row[0], row[1], key, *row[2:])
                 yield from rows.take()
         yield from rows.take(last=True)
 
@@ -221,43 +234,64 @@ def grouped(batches, limit: int):
             yield t
 
 
-def compare(bodies: DataFrame, match, how: Windows, by_document: bool) -> DataFrame:
-    """(h, seg, a, b, earlier): windows [a, b) of a content that also occur in another content of the
-    same anchor; ``earlier`` says that one of those comes first (in an earlier document, if
-    ``by_document``)."""
+def compare(bodies: DataFrame, match, how: Windows, by_document: bool, hot_group: int, level: int = 0) -> DataFrame:
+    """(h, seg, w): windows [a, b) of a content that also occur in another content of the same anchor;
+    ``earlier`` says that one of those comes first (in an earlier document, if ``by_document``)."""
+    bodies = T.materialize(bodies)
     cold = bodies.where(~F.col("hot")).select("h", "seg", "k", "p", "body")
-    cold = cold.repartition("h").sortWithinPartitions("h", "k", "p").mapInArrow(match, GROUP_DDL)
-    return cold.unionByName(_compare_windows(bodies.where("hot"), how, by_document))
-
-
-def _compare_windows(hot: DataFrame, how: Windows, by_document: bool) -> DataFrame:
-    """The same for groups with too many contents for one task: windows meet by their own hash."""
+    found = cold.repartition("h").sortWithinPartitions("h", "k", "p").mapInArrow(match, GROUP_DDL)
+    found = found.groupBy("h", "seg").agg(F.collect_list(F.struct("a", "b", "earlier")).alias("w"))  # <= MAX_RUN
+    if level < LEVELS and bodies.where("hot").limit(1).count():
+        found = found.unionByName(_compare_finer(bodies.where("hot"), match, how, by_document, hot_group, level + 1))
+    return found
+
+
+def _compare_finer(hot: DataFrame, match, how: Windows, by_document: bool, hot_group: int, level: int) -> DataFrame:
+    """The same for anchors with more contents than one task should get: their windows are anchored
+    again by longer grams, which fewer contents share (at the last level by the whole window, so that a
+    group is one window's copies).  Equal stretches are again compared once and copies only counted."""
+    finer = Windows(how.unit, how.size, how.k + (how.size - how.k) * level // LEVELS)
     names = ("h", "seg", "k", "p")
-    schema = pa.schema([(c, pa.int64()) for c in (*names, "x", "y")] + [("i", pa.int32())])
+    schema = pa.schema([(c, pa.int64()) for c in (*names, "h2", "seg2", "o", "q")] + [("body", pa.binary())])
 
-    def windows(batches):
+    def split(batches):
         for b in batches:
             for a, buf, off in T.text_slices(b.column(4)):
-                _, _, toff, values = how.tokens(buf, off)
-                n = np.maximum(np.diff(toff) - how.size + 1, 0)
-                s = T.ranges(toff[:-1], n)
-                if not len(s):
-                    continue
-                row = a + np.repeat(np.arange(len(n)), n)
-                x = T.span_hash(T.span_sums(values), s, s + how.size)
-                y = T.span_hash(T.span_sums(T.mix(values ^ T.U64(0x5A5A5A5A))), s, s + how.size)
-                cols = {c: b.column(i).to_numpy()[row] for i, c in enumerate(names)}
-                yield T.batch(schema, **cols, x=x.view(np.int64), y=y.view(np.int64),
-                              i=(s - np.repeat(toff[:-1], n)).astype(np.int32))
-
-    w = hot.select(*names, "body").mapInArrow(windows, "h long, seg long, k long, p long, x long, y long, i int")
-    per = T.materialize(w.groupBy("h", "x", "y").agg(
-        F.min(F.struct("k", "p", "i")).alias("lo"), F.count("*").alias("n")).where("n > 1"))
-    earlier = F.col("lo.k") < F.col("k")
+                doc, place, h2, seg2 = finer.runs(buf, off)
+                if len(h2):
+                    cols = {c: b.column(i).to_numpy()[a + doc] for i, c in enumerate(names)}
+                    start = place >> 16
+                    at = ((cols["p"] >> 16) + start) << 16 | (place & 0xFFFF)
+                    yield T.batch(schema, **cols, h2=h2.view(np.int64), seg2=seg2.view(np.int64), o=start, q=at,
+                                  body=finer.cut(buf, off, doc, start, place & 0x7FFF))
+
+    rows = T.materialize(hot.select(*names, "body").mapInArrow(
+        split, "h long, seg long, k long, p long, h2 long, seg2 long, o long, q long, body binary"))
+    known = T.materialize(rows.groupBy("h2", "seg2").agg(
+        F.count("*").alias("c"), F.min(F.struct("k", "q")).alias("f")).select("h2", "seg2", "c", "f.k", "f.q"))
+    per = T.materialize(_shared(known.select(F.col("h2").alias("h"), F.col("q").alias("p"))))
+    chosen = known.join(per.withColumnRenamed("h", "h2"), "h2")
+    chosen = rows.join(chosen.select("h2", "seg2", "k", "q", "n_seg"), ["h2", "seg2", "k", "q"])
+    limit = hot_group if level < LEVELS else (1 << 62)
+    found = compare(chosen.select(F.col("h2").alias("h"), F.col("seg2").alias("seg"), "k", F.col("q").alias("p"),
+                                  (F.col("n_seg") > limit).alias("hot"), "body"),
+                    match, how, by_document, hot_group, level)
+    found = found.withColumnsRenamed({"h": "h2", "seg": "seg2"})
+    state = known.withColumnRenamed("k", "k0").withColumnRenamed("q", "q0").join(found, ["h2", "seg2"], "left")
+    state = T.materialize(state.where("c > 1 or w is not null"))
+    later = F.col("k") > F.col("k0")
     if not by_document:
-        earlier = F.col("lo") < F.struct("k", "p", "i")
-    return w.join(per, ["h", "x", "y"]).select(
-        "h", "seg", F.col("i").alias("a"), (F.col("i") + 1).alias("b"), earlier.alias("earlier"))
+        later = later | ((F.col("k") == F.col("k0")) & (F.col("q") > F.col("q0")))
+    n = F.col("q").bitwiseAND(F.lit(0x7FFF)).cast("int")
+    whole = F.array(F.struct(F.lit(0).alias("a"), n.alias("b"), later.alias("earlier")))
+    nothing = F.array().cast("array<struct<a:int,b:int,earlier:boolean>>")
+    spans = F.concat(F.when(F.col("c") > 1, whole).otherwise(nothing),
+                     F.when(later, nothing).otherwise(F.coalesce("w", nothing)))
+    moved = F.transform(spans, lambda x: F.struct(
+        (x["a"] + F.col("o")).cast("int").alias("a"), (x["b"] + F.col("o")).cast("int").alias("b"),
+        x["earlier"].alias("earlier")))
+    out = rows.drop("body").join(state, ["h2", "seg2"]).select("h", "seg", moved.alias("w"))
+    return out.groupBy("h", "seg").agg(F.flatten(F.collect_list("w")).alias("w"))  # at most MAX_RUN windows
 
 
 def repeated_spans(docs: DataFrame, packed: DataFrame, how: Windows, match, *, by_document: bool,
@@ -266,9 +300,10 @@ def repeated_spans(docs: DataFrame, packed: DataFrame, how: Windows, match, *, b
     only windows with an earlier copy count, else those with any other copy."""
     runs = repeated_runs(docs, how, by_document)
     known, shared = contents(runs, hot_group)
-    found = compare(fetch(packed, shared, how), match, how, by_document)
-    found = T.materialize(found if not first_stays else found.where("earlier"))
-    per = found.groupBy("h", "seg").agg(F.collect_list(F.struct("a", "b")).alias("w"))  # <= MAX_RUN windows
+    found = compare(fetch(packed, shared, how), match, how, by_document, hot_group)
+    wanted = F.filter("w", lambda x: x["earlier"]) if first_stays else F.col("w")
+    per = found.select("h", "seg", F.transform(wanted, lambda x: F.struct(
+        x["a"].alias("a"), x["b"].alias("b"))).alias("w")).where(F.size("w") > 0)
     state = known.join(per, ["h", "seg"], "left").where("c > 1 or w is not null")
     state = T.materialize(state.select("h", "seg", "c", F.col("k").alias("k0"), F.col("p").alias("p0"), "w"))
     j = runs.join(state, ["h", "seg"])

@@ -79,7 +79,7 @@ class SuffixAutomaton:
             yield n
 
 
-def _shards(size: int, limit: int = 4 << 20):
+def _shards(size: int, limit: int = 1 << 20):
     def match(batches):
         for t in A.grouped(batches, limit):
             h, seg, k = (t.column(c).to_numpy() for c in ("h", "seg", "k"))

@@ -52,10 +52,22 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     prepare(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/llm-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_WRITTEN: list[str] = []
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete the tables that :func:`materialize` wrote; call it when no result is read any more."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    while _WRITTEN:
+        path = hadoop.Path(_WRITTEN.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def separators(*ranges: tuple[int, int]) -> np.ndarray:
     table = np.zeros(256, bool)
     for a, b in ranges:
