@@ -24,7 +24,7 @@ from pyspark.sql import types as S
 from . import textops as T
 from .quality_rules import rule_statistics
 
-DIM, SIZES, ROWS = 8192, (3,), 64
+DIM, SIZES, ROWS, LENGTH = 8192, (3,), 64, 4.0
 _BYTES = np.arange(256, dtype=np.uint8)
 GOOD, BAD, NONE = 2, 1, 0
 
@@ -90,9 +90,9 @@ class LabelModel:
 
 
 def features(buf, off) -> np.ndarray:
-    """Unit vectors of log n-gram counts."""
+    """Vectors of log n-gram counts, all of length ``LENGTH``."""
     x = np.log1p(T.hashed_grams(buf, off, DIM, _BYTES, SIZES))
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    return x * (LENGTH / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
 class Scorer:
@@ -126,7 +126,7 @@ def _posteriors(docs: DataFrame) -> LabelModel:
     return LabelModel(np.array([r.p for r in rows], np.int64), np.array([r.n for r in rows], np.int64))
 
 
-def fit(docs: DataFrame, text_col: str = "text", epochs: int = 3, rate: float = 0.3) -> tuple[LabelModel, Scorer]:
+def fit(docs: DataFrame, text_col: str = "text", epochs: int = 6, rate: float = 0.3) -> tuple[LabelModel, Scorer]:
     T.prepare(docs.sparkSession)
     d = docs.select(F.col(f"`{text_col}`").alias("_t"))
     labels = _posteriors(d)
