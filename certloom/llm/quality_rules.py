@@ -7,7 +7,7 @@ labelled rows) scores how quickly a document's statistics are isolated, and the
 calibrated on all labelled rows: the one that finds most bad rows while at most ``max_false`` of the
 good ones are rejected.
 
-The forest is fitted on at most ``max_fit_rows`` labelled rows (chosen by a hash of the id); counts,
+The forest is fitted on about ``max_fit_rows`` labelled rows (chosen by a hash of the id); counts,
 statistics, calibration and verdicts cover all rows.
 
 Defined results: null text has no words, so it fails the base rules, as empty text does; rows that
@@ -187,14 +187,17 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def fit(stats: DataFrame, labels: DataFrame, label_id: str = "doc_id", quality_col: str = "quality",
-        max_fit_rows: int = 20_000, max_false: float = 0.002) -> Model:
+        max_fit_rows: int = 5_000, max_false: float = 0.002) -> Model:
     """Fit on ``stats`` (see :func:`statistics`) and labels (id, quality 1 good / 0 bad)."""
     given = labels.select(F.col(f"`{label_id}`").alias("_id"), F.col(f"`{quality_col}`").alias("_good"))
     known = T.materialize(stats.join(given.where(F.col("_good").isin(0, 1)), "_id"))
     passed = known.where((F.col("n_words") >= MIN_WORDS)
                          & (100 * F.col("n_repeat_words") <= MAX_REPEAT * F.col("n_words")))
-    rows = (passed.where("_good = 1").select(*STATS).orderBy(F.xxhash64("_id"), *STATS).limit(max_fit_rows)
-            .toPandas().to_numpy(np.int64).reshape(-1, len(STATS)))
+    good_rows = passed.where("_good = 1").select("_id", *STATS)
+    share = F.lit(min(1.0, max_fit_rows / max(good_rows.count(), 1)))
+    place = F.pmod(F.xxhash64("_id", *STATS), F.lit(1_000_003)) / 1_000_003
+    rows = good_rows.where(place < share).orderBy("_id", *STATS).select(*STATS).toPandas().to_numpy(np.int64)
+    rows = rows.reshape(-1, len(STATS))  # about max_fit_rows of them
     if len(rows) < 2:
         return Model(None, 1.0)
     forest = IsolationForest(rates(rows))
