@@ -120,8 +120,9 @@ def page_outcome(pages: DataFrame, client_col: str = "client", opts: Options = O
 
 
 def page_errors_of(outcomes: DataFrame) -> DataFrame:
+    """One row per page and error; a page that arrived twice says it once."""
     return outcomes.where(F.col("outcome.error").isNotNull()).select(
-        "doc_id", "page_no", "client", F.col("outcome.error").alias("error"))
+        "doc_id", "page_no", "client", F.col("outcome.error").alias("error")).distinct()
 
 
 def raw_items_of(outcomes: DataFrame) -> DataFrame:
