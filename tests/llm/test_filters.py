@@ -1,9 +1,12 @@
 """op1, op2, op4, op7, op9 and op10: brute force, planted cases and held-out accuracy."""
 
+import re
+
 import brute
 import numpy as np
 import pytest
 from conftest import SF
+from pyspark.sql import functions as F
 
 from certloom.llm import (
     decontamination, language_id, license_scan, quality_classifier, quality_rules, sql, url_filter)
@@ -145,6 +148,20 @@ def test_urls(spark):
     assert sorted(map(key, got)) == sorted(map(key, want))
 
 
+@pytest.mark.parametrize(("sf", "n"), [("sf0.01", 19), ("sf0.1", 136)])
+def test_urls_all_kinds(spark, sf, n):
+    """The operator with a list of six site names under any ending."""
+    pages = spark.read.parquet(f"/root/testdata/{sf}/pages.parquet").select("page_id", "url")
+    url = url_filter.canonical(pages["url"])
+    sites = r"(^|\.)(casino-win|spam-farm|cheap-pills|free-bets|adult-x|ads-track)\.example\.[a-z]+$"
+    listed = pages.select(url.alias("url")).where(F.regexp_extract("url", r"^[^/?]*", 0).rlike(sites))
+    rules = spark.createDataFrame(list(url_filter.RULES), "host string, path string, verdict string")
+    got = {r.page_id: r.listed for r in url_filter.judge_urls(pages, rules, listed).collect()}
+    host = lambda u: re.match(r"(?s)(?:.*?://([^/?#:]*))?", u or "").group(1) or ""
+    assert got == {r.page_id: bool(re.search(sites, host(r.url).lower())) for r in pages.collect()}
+    assert sum(got.values()) == n
+
+
 def test_urls_empty(spark):
     pages = spark.createDataFrame([(1, "http://a.com/x")], "page_id long, url string")
     rules = spark.createDataFrame([], "host string, path string, verdict string")
