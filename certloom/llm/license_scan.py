@@ -13,12 +13,14 @@ is bounded; documents are scanned whole, one by one, and never shuffled.
 
 Defined results: null and empty texts have no words and no match; a template of fewer than ``window``
 words is found by its whole hash; overlapping matches of one template keep the best (the earlier of
-equals); rows that repeat an id, or have none, are scanned each by itself; other columns pass through
+equals); an opening part (``PART_OF``) is not reported where the whole text is; rows that repeat an id, or have none, are scanned each by itself; other columns pass through
 whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from importlib.resources import files
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,23 +32,47 @@ from .decontamination import ItemIndex, winnow
 
 MAX_TEMPLATE_WORDS = 1_000_000
 
-# Public license statements and short license texts.
+# Public license statements, notices and opening parts; the whole texts are files in
+# ``licenses``.
 TEMPLATES = {
     "mit-statement": "Released under the MIT License.",
     "apache-2.0-statement": "Licensed under the Apache License, Version 2.0.",
     "gpl-3-statement": "This work is licensed under the GNU General Public License, version 3.",
+    "gpl-2-statement": "This work is licensed under the GNU General Public License, version 2.",
+    "lgpl-3-statement": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "agpl-3-statement": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "mpl-2.0-statement": "Licensed under the Mozilla Public License, Version 2.0.",
+    "cc0-1.0-statement": "Licensed under CC0 1.0.",
+    "cc-by-4.0-statement": "Licensed under CC BY 4.0.",
+    "cc-by-sa-4.0-statement": "Licensed under CC BY-SA 4.0.",
+    "cc-by-nd-4.0-statement": "Licensed under CC BY-ND 4.0.",
     "cc-by-nc-4.0-statement": "Licensed under CC BY-NC 4.0.",
-    "mit": (
+    "cc-by-nc-sa-4.0-statement": "Licensed under CC BY-NC-SA 4.0.",
+    "cc-by-nc-nd-4.0-statement": "Licensed under CC BY-NC-ND 4.0.",
+    "cc-by-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "cc-by-sa-4.0-notice": (
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    "cc-by-nd-4.0-notice": (
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    "cc-by-nc-4.0-notice": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    "cc-by-nc-sa-4.0-notice": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International "
+        "License."),
+    "cc-by-nc-nd-4.0-notice": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International "
+        "License."),
+    "mit-grant": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
         "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
         "Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
         "conditions: The above copyright notice and this permission notice shall be included in all copies or "
         "substantial portions of the Software."),
-    "isc": (
+    "isc-grant": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
         "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
-    "bsd-2-clause": (
+    "bsd-conditions": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
         "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
         "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
@@ -60,7 +86,31 @@ TEMPLATES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version."),
-}
+    "gpl-2-notice": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version."),
+    "lgpl-2.1-notice": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your "
+        "option) any later version."),
+    "lgpl-3-notice": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version."),
+    "agpl-3-notice": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version."),
+    "mpl-2.0-notice": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+} | {f.name.removesuffix(".txt"): f.read_text("utf-8") for f in sorted(
+    files(__package__).joinpath("licenses").iterdir(), key=lambda f: f.name) if f.name.endswith(".txt")}
+#: Opening parts, not reported inside the whole text.
+PART_OF = {"mit-grant": ("mit",), "isc-grant": ("isc",), "bsd-conditions": ("bsd-2-clause", "bsd-3-clause")}
+#: Lines that claim rights without naming a license; the registered query reports them too.
+RESERVED = {"all-rights-reserved": "All rights reserved."}
 
 
 class TemplateIndex(ItemIndex):
@@ -126,13 +176,26 @@ class TemplateIndex(ItemIndex):
         top = best[:, :width].max(axis=1)
         return top >> shift1, origin + ((top >> shift2) & mask), origin + mask - (top & mask) + 1
 
+    def possible(self, values, woff, rows, doc, diagonal, item: int):
+        """The rows whose reach holds as many words of the template as a match needs."""
+        words = self.words[self.off[item]:self.off[item + 1]]
+        need = self.min_coverage * len(words)
+        lo = np.maximum(woff[doc[rows]], diagonal[rows] - self.band)
+        hi = np.minimum(woff[doc[rows] + 1], diagonal[rows] + len(words) + self.band)
+        rows, lo, hi = (x[hi - lo >= need] for x in (rows, lo, hi))
+        if not len(rows):
+            return rows
+        first = lo.min()
+        known = np.concatenate(([0], np.cumsum(np.isin(values[first:hi.max()], words))))
+        return rows[known[hi - first] - known[lo - first] >= need]
+
     def matches(self, values, woff):
         """Per document: [(template, matched, coverage, first word, end word)] relative to it."""
         out = [[] for _ in range(len(woff) - 1)]
         doc, item, diagonal = self.candidates(values, woff)
         for t in np.unique(item).tolist():
             size = int(self.off[t + 1] - self.off[t])
-            rows = np.flatnonzero(item == t)
+            rows = self.possible(values, woff, np.flatnonzero(item == t), doc, diagonal, t)
             for lo in range(0, len(rows), 4096):
                 r = rows[lo:lo + 4096]
                 n, first, end = self.align(values, woff[doc[r]], woff[doc[r] + 1], t, diagonal[r])
@@ -144,6 +207,8 @@ class TemplateIndex(ItemIndex):
             if len(found) > 1:
                 kept = []
                 for m in sorted(found, key=lambda m: (m[0], -m[2], m[3], m[4])):
+                    if any(x[0] in PART_OF.get(m[0], ()) and m[3] < x[4] and x[3] < m[4] for x in found):
+                        continue
                     if not any(m[0] == x[0] and m[3] < x[4] and x[3] < m[4] for x in kept):
                         kept.append(m)
                 out[d] = sorted(kept, key=lambda m: (m[3], m[4], m[0]))
@@ -190,7 +255,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, text
 
 def digest(docs: DataFrame) -> DataFrame:
     """One row per document: words, matches, the license names found and the words they cover."""
-    d = scan_licenses(docs.select("doc_id", "text"))
+    d = scan_licenses(docs.select("doc_id", "text"), TEMPLATES | RESERVED)
     m = F.col("license.matches")
     return d.select(
         "doc_id", "license.n_words", F.size(m).cast("long").alias("n_matches"),

@@ -226,3 +226,24 @@ def test_licenses_documents(documents, odd, nothing):
     assert license_scan.scan_licenses(odd).columns == [*odd.columns, "license"]
     assert license_scan.scan_licenses(odd).count() == odd.count()
     assert license_scan.scan_licenses(nothing).count() == 0
+
+
+def test_licenses_whole_texts(spark):
+    """Whole texts give one match over all their words, opening parts and reserved rights are found."""
+    from pathlib import Path
+    whole = {f.stem: f.read_text() for f in (Path(license_scan.__file__).parent / "licenses").glob("*.txt")}
+    assert {"mit", "isc", "bsd-2-clause", "bsd-3-clause", "apache-2.0", "gpl-2", "gpl-3", "lgpl-2.1", "lgpl-3",
+            "mpl-2.0", "cc0-1.0", "cc-by-sa-4.0", "unlicense"} <= set(whole)
+    assert "FITNESS" in whole["mit"] and "PERFORMANCE" in whole["isc"].upper() and "DAMAGE" in whole["bsd-2-clause"]
+    docs = [*whole.items(), ("part", license_scan.TEMPLATES["mit-grant"]), ("reserved", "one two all RIGHTS reserved.")]
+    df = spark.createDataFrame([(i, "some words before\n" + t + "\nand after") for i, t in docs],
+                               "doc_id string, text string")
+    out = {r.doc_id: r for r in license_scan.scan_licenses(df).collect()}
+    for name, text in whole.items():
+        m = {x.template: x for x in out[name].license.matches}
+        assert m[name].coverage == 1.0 and m[name].matched == len(brute.alnum_words(text))
+        assert m[name].end_byte - m[name].first_byte >= 0.98 * len(text.strip().encode())
+        assert set(m) & set(whole) == {name} and not set(m) & set(license_scan.PART_OF)
+    assert [x.template for x in out["part"].license.matches] == ["mit-grant"]
+    got = {r.doc_id: r.licenses for r in license_scan.digest(df).collect()}
+    assert got["reserved"] == "all-rights-reserved" and got["mit"] == "mit"
