@@ -6,7 +6,10 @@ share a run of ``window`` words share a fingerprint.  The templates' fingerprint
 index; each hit gives a template and a diagonal (where the template would start in the document).
 Hits of one template on diagonals closer than the band are one candidate, which is aligned word by
 word inside the band around its diagonal.  A match reports the template, the share of its words that
-align in order (``coverage``, at least ``min_coverage``) and the word and byte span.
+align in order (``coverage``, at least ``min_coverage``) and the word and byte span.  Coverage alone does
+not tell GPL-2 from GPL-3, so a match must also hold the template's deciding words, one after the other
+with nothing between: all words of a template of fewer than ``SHORT``, else its ``deciding`` phrases.
+"Licence" counts as "license" there.
 
 Templates are an argument of at most ``MAX_TEMPLATE_WORDS`` words in all, so the index that tasks get
 is bounded; documents are scanned whole, one by one, and never shuffled.
@@ -28,9 +31,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
 from . import textops as T
-from .decontamination import ItemIndex, winnow
+from .decontamination import ItemIndex, winnow, words_of
 
 MAX_TEMPLATE_WORDS = 1_000_000
+SHORT = 20
 
 # Public license statements, notices and opening parts; the whole texts are files in
 # ``licenses``.
@@ -109,19 +113,71 @@ TEMPLATES = {
     files(__package__).joinpath("licenses").iterdir(), key=lambda f: f.name) if f.name.endswith(".txt")}
 #: Opening parts, not reported inside the whole text.
 PART_OF = {"mit-grant": ("mit",), "isc-grant": ("isc",), "bsd-conditions": ("bsd-2-clause", "bsd-3-clause")}
+#: Phrases of the longer templates that name license, version and kind.
+DECIDING = {
+    "apache-2.0": ("Apache License Version 2.0, January 2004",),
+    "apache-2.0-notice": ("Licensed under the Apache License, Version 2.0", "licenses/LICENSE-2.0"),
+    "artistic-1": ("The Artistic License Preamble",),
+    "cc-by-sa-4.0": ("Attribution-ShareAlike 4.0 International",),
+    "cc0-1.0": ("CC0 1.0 Universal",),
+    "gfdl-1.2": ("GNU Free Documentation License Version 1.2",),
+    "gfdl-1.3": ("GNU Free Documentation License Version 1.3",),
+    "gpl-1": ("GNU GENERAL PUBLIC LICENSE Version 1",),
+    "gpl-2": ("GNU GENERAL PUBLIC LICENSE Version 2",),
+    "gpl-3": ("GNU GENERAL PUBLIC LICENSE Version 3",),
+    "gpl-2-notice": ("GNU General Public License as published", "version 2 of the License"),
+    "gpl-3-notice": ("GNU General Public License as published", "version 3 of the License"),
+    "lgpl-2": ("GNU LIBRARY GENERAL PUBLIC LICENSE Version 2, June",),
+    "lgpl-2.1": ("GNU LESSER GENERAL PUBLIC LICENSE Version 2.1",),
+    "lgpl-3": ("GNU LESSER GENERAL PUBLIC LICENSE Version 3",),
+    "lgpl-2.1-notice": ("GNU Lesser General Public License as published", "version 2.1 of the License"),
+    "lgpl-3-notice": ("GNU Lesser General Public License as published", "version 3 of the License"),
+    "agpl-3-notice": ("GNU Affero General Public License as published", "version 3 of the License"),
+    "mpl-1.1": ("MOZILLA PUBLIC LICENSE Version 1.1",),
+    "mpl-2.0": ("Mozilla Public License Version 2.0",),
+    "mpl-2.0-notice": ("Mozilla Public License, v. 2.0",),
+}
 #: Lines that claim rights without naming a license; the registered query reports them too.
 RESERVED = {"all-rights-reserved": "All rights reserved."}
 
 
+def _words(text: str) -> np.ndarray:
+    return words_of(*T.text_buffer(pa.array([text], pa.string())))[0]
+
+
+LICENSE, LICENCE = _words("license licence")
+
+
+def _folded(words: np.ndarray) -> np.ndarray:
+    return np.where(words == LICENCE, LICENSE, words)
+
+
 class TemplateIndex(ItemIndex):
     """Inverted index of template fingerprints, and the alignment."""
 
-    def __init__(self, templates: dict[str, str], window: int, k: int, band: int, min_coverage: float):
+    def __init__(self, templates: dict[str, str], window: int, k: int, band: int, min_coverage: float,
+                 deciding: dict[str, tuple[str, ...]]):
         names = sorted(templates)
         super().__init__(names, [templates[n] for n in names], window, k)
         if len(self.words) > MAX_TEMPLATE_WORDS:
             raise ValueError(f"more than {MAX_TEMPLATE_WORDS} template words")
         self.band, self.min_coverage = band, min_coverage
+        self.phrases = []
+        for i, n in enumerate(names):
+            whole = self.words[self.off[i]:self.off[i + 1]]
+            told = [_words(x) for x in deciding.get(n, ())] + ([whole] if len(whole) < SHORT else [])
+            self.phrases.append([_folded(x) for x in told])
+
+    def decided(self, words, item: int) -> bool:
+        """Whether every deciding phrase of the template is in ``words``."""
+        words = _folded(words)
+        for phrase in self.phrases[item]:
+            at = np.arange(max(len(words) - len(phrase) + 1, 0))
+            for j, x in enumerate(phrase):
+                at = at[words[at + j] == x]
+            if not len(at):
+                return False
+        return True
 
     def candidates(self, values, woff):
         """(document, template, diagonal) sorted; the diagonal is a word index of the document."""
@@ -201,6 +257,9 @@ class TemplateIndex(ItemIndex):
                 n, first, end = self.align(values, woff[doc[r]], woff[doc[r] + 1], t, diagonal[r])
                 for i in np.flatnonzero(n >= self.min_coverage * size).tolist():
                     d = int(doc[r[i]])
+                    # a last or first "licence" does not align
+                    if not self.decided(values[max(first[i] - 1, woff[d]):min(end[i] + 1, woff[d + 1])], t):
+                        continue
                     out[d].append((self.ids[t], int(n[i]), int(n[i]) / size, int(first[i] - woff[d]),
                                    int(end[i] - woff[d])))
         for d, found in enumerate(out):
@@ -219,11 +278,13 @@ MATCH = "struct<template:string,matched:bigint,coverage:double,first_word:bigint
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, text_col: str = "text", window: int = 4,
-                  k: int = 3, band: int = 8, min_coverage: float = 0.8, out_col: str = "license") -> DataFrame:
+                  k: int = 3, band: int = 8, min_coverage: float = 0.8, out_col: str = "license",
+                  deciding: dict[str, tuple[str, ...]] = DECIDING) -> DataFrame:
     """``docs`` plus ``license``: a struct of ``n_words`` and ``matches`` (template, matched words,
     coverage, word span and byte span)."""
     T.prepare(docs.sparkSession)
-    index = TemplateIndex(TEMPLATES if templates is None else templates, window, k, band, min_coverage)
+    index = TemplateIndex(TEMPLATES if templates is None else templates, window, k, band, min_coverage,
+                          deciding)
     shared = docs.sparkSession.sparkContext.broadcast(index)
     source = docs.select(F.col(f"`{text_col}`").alias("_t"),
                          F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))

@@ -247,3 +247,27 @@ def test_licenses_whole_texts(spark):
     assert [x.template for x in out["part"].license.matches] == ["mit-grant"]
     got = {r.doc_id: r.licenses for r in license_scan.digest(df).collect()}
     assert got["reserved"] == "all-rights-reserved" and got["mit"] == "mit"
+
+
+def test_licenses_near_misses(spark):
+    """One deciding word more, less or other is another license, or none that is known."""
+    gpl = license_scan.TEMPLATES["gpl-3-notice"]
+    want = {
+        "Licensed under CC BY-SA 4.0.": "cc-by-sa-4.0-statement", "Licensed under CC BY 4.0.": "cc-by-4.0-statement",
+        "Licensed under CC BY-NC-SA 4.0.": "cc-by-nc-sa-4.0-statement", "Licensed under CC BY-NC 3.0.": "",
+        "Licensed under CC BY-NC 4.0.": "cc-by-nc-4.0-statement", "Licensed under the Apache License, Version 1.1.": "",
+        "This work is licensed under the GNU General Public License, version 2.": "gpl-2-statement",
+        "This work is licensed under the GNU General Public Licence, version 3.": "gpl-3-statement",
+        "This work is licensed under the GNU General Public License, version 1, not version 3.": "",
+        gpl: "gpl-3-notice", gpl.replace("version 3", "version 2"): "gpl-2-notice",
+        gpl.replace("GNU", "GNU Affero"): "agpl-3-notice", gpl.replace("version 3", "version 4"): "",
+        gpl.replace("free software", "good free software"): "gpl-3-notice",
+        license_scan.TEMPLATES["gpl-3"].replace("GNU GENERAL PUBLIC LICENSE\n", "GNU AFFERO GENERAL PUBLIC LICENSE\n"):
+            "gpl-3-notice",  # at its end
+    }
+    df = spark.createDataFrame([(i, "before\n" + t + " after") for i, t in enumerate(want)], "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in license_scan.digest(df).collect()}
+    assert [got[i] for i in range(len(want))] == list(want.values())
+    own = spark.createDataFrame([(0, "one two three four five"), (1, "one two three four six")], "doc_id long, text string")
+    found = license_scan.scan_licenses(own, {"t": "one two three four six"}).collect()
+    assert {r.doc_id: len(r.license.matches) for r in found} == {0: 0, 1: 1}
