@@ -120,7 +120,8 @@ class ItemIndex:
 
 def _shard_indexes(benchmark: DataFrame, item_col: str, text_col: str, size: int, k: int, max_shard_bytes: int):
     items = benchmark.select(F.coalesce(F.col(f"`{item_col}`").cast("string"), F.lit("")).alias("i"),
-                             F.col(f"`{text_col}`").alias("t")).where(F.octet_length("t") > 0)
+                             F.col(f"`{text_col}`").alias("t")).where(
+                                 F.octet_length("t") > 0).distinct()  # copies would meet in one shard
     total = items.agg(F.sum(F.octet_length("t") + F.octet_length("i") + 16)).first()[0] or 0
     n = -(-total // max_shard_bytes)
     for shard in range(n):

@@ -53,6 +53,18 @@ def test_contamination_small(spark, items, shard):
     assert got == {i: brute.contamination(t, pairs) for i, t in docs}
 
 
+def test_contamination_repeated_item(spark):
+    """Copies of one item fill no shard."""
+    rows = [(1, ITEM)] * 200 + [(i, f"{ITEM} {i}") for i in range(2, 40)]
+    bench, limit = spark.createDataFrame(rows, "item_id long, text string"), 1000
+    shards = [x.ids for x in decontamination._shard_indexes(bench, "item_id", "text", 13, 5, limit)]
+    assert sorted(i for x in shards for i in x) == sorted(str(i) for i in range(1, 40))
+    assert max(map(len, shards)) <= 2 * limit // len(ITEM)
+    docs = spark.createDataFrame([(0, "a b " + ITEM), (1, "nothing")], "doc_id long, text string")
+    got = decontamination.find_contamination(docs, bench, max_shard_bytes=limit).orderBy("doc_id").collect()
+    assert [r.contamination.items for r in got] == [sorted(str(i) for i in range(1, 40)), []]
+
+
 def test_contamination_odd(spark, odd, nothing, items):
     assert decontamination.find_contamination(odd, items).columns == [*odd.columns, "contamination"]
     assert decontamination.find_contamination(odd, items).count() == odd.count()
