@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    decontamination, language_id, license_scan, packing, quality_classifier, quality_rules, simhash_dedup,
-    sql, substring_dedup, suffix_dedup, url_filter)
+    decontamination, filter_audit, language_id, lexical_search, license_scan, packing, quality_classifier,
+    quality_rules, simhash_dedup, sql, substring_dedup, suffix_dedup, toxicity, url_filter)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,7 +53,20 @@ def op10_benchmark_decontamination(spark, sf_dir):
     return decontamination.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_ranked_lexical_search(spark, sf_dir):
+    return lexical_search.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_toxicity(spark, sf_dir):
+    return toxicity.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_filter_interaction_audit(spark, sf_dir):
+    return filter_audit.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_license_scans, op2_quality_classifier, op3_suffix_array_dedup, op4_quality_rules, op5_substring_dedup,
-    op6_simhash_near_dedup, op7_language_id, op8_best_fit_packing, op9_url_filters, op10_benchmark_decontamination)}
+    op6_simhash_near_dedup, op7_language_id, op8_best_fit_packing, op9_url_filters, op10_benchmark_decontamination,
+    op11_ranked_lexical_search, op12_toxicity, op13_filter_interaction_audit)}
 ORACLE_SQL = sql.ORACLE_SQL

@@ -1,7 +1,7 @@
 """DuckDB SQL for the queries that SQL can express, written from their contracts.
 
 The other operators are tested against brute force (``tests/llm``): op3 and op6 need byte strings and
-XXH64, op8 a tokenizer, and op1, op2, op4 and op7 fit models or align.
+XXH64, op8 a tokenizer, and op1, op2, op4, op7 and op12 fit models or align.
 """
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -59,4 +59,51 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN covered ON d.doc_id = covered.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
 """
 
-ORACLE_SQL = {"op5_substring_dedup": OP5, "op9_url_filters": OP9, "op10_benchmark_decontamination": OP10}
+OP11 = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+q AS (SELECT item_id, x, count(*) AS c FROM (SELECT item_id, unnest(regexp_extract_all(
+          translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS x
+          FROM benchmark) GROUP BY ALL),
+s AS (SELECT count(*) FILTER (len(ws) > 0) AS n_docs, CAST(sum(len(ws)) AS BIGINT) AS n_terms FROM d),
+m AS (SELECT doc_id, 75 + ((25 * len(ws) * n_docs) // n_terms) AS m FROM d, s WHERE len(ws) > 0),
+t AS (SELECT doc_id, x, count(*) AS tf FROM (SELECT doc_id, unnest(ws) AS x FROM d) SEMI JOIN q USING (x) GROUP BY ALL),
+w AS (SELECT x, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT x, count(*) AS df FROM t GROUP BY x), s),
+r AS (SELECT item_id, doc_id, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+      FROM q JOIN t USING (x) JOIN w USING (x) JOIN m USING (doc_id) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM r WHERE score > 0 QUALIFY rank <= 20
+"""
+
+OP13 = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+f AS (SELECT part, len(ws) < 100 AS a, 100 * len(list_distinct(ws)) < 80 * len(ws) AS b,
+             100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) AS c,
+             regexp_matches(t, '[#$%&*|]') AS d, doc_id > min(doc_id) OVER (PARTITION BY t) AS e,
+             coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic
+      FROM d LEFT JOIN labels USING (doc_id)),
+g AS (SELECT part, a, b, c, d, e, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+      FROM f GROUP BY ALL),
+h AS (SELECT *, CASE WHEN a THEN 'A' ELSE '' END || CASE WHEN b THEN 'B' ELSE '' END || CASE WHEN c THEN 'C' ELSE '' END
+                || CASE WHEN d THEN 'D' ELSE '' END || CASE WHEN e THEN 'E' ELSE '' END AS fails FROM g),
+l(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (SELECT p.x || q.x || r.x || s.x || t.x AS filter_order FROM l p, l q, l r, l s, l t
+      WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+hit AS (SELECT part, filter_order, n, good, toxic, fails,
+               (SELECT min(position(u.x IN filter_order)) FROM l u WHERE contains(fails, u.x)) AS hit_at FROM h, o),
+z AS (SELECT part, filter_order, k AS step, substr(filter_order, k, 1) AS x,
+             coalesce(sum(n) FILTER (hit_at IS NULL OR hit_at > k), 0) AS kept, coalesce(sum(n) FILTER (hit_at = k), 0) AS removed,
+             coalesce(sum(n) FILTER (hit_at < k AND contains(fails, substr(filter_order, k, 1))), 0) AS redundant,
+             coalesce(sum(n) FILTER (fails = substr(filter_order, k, 1)), 0) AS unique_fails,
+             coalesce(sum(good) FILTER (hit_at = k), 0) AS good_lost, coalesce(sum(toxic) FILTER (hit_at = k), 0) AS toxic_lost
+      FROM hit, (SELECT unnest(range(1, 6)) AS k) GROUP BY part, filter_order, k)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley FROM z
+"""
+
+ORACLE_SQL = {"op5_substring_dedup": OP5, "op9_url_filters": OP9, "op10_benchmark_decontamination": OP10,
+              "op11_ranked_lexical_search": OP11, "op13_filter_interaction_audit": OP13}

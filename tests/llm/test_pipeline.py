@@ -43,5 +43,5 @@ def test_stages_odd(spark, odd, nothing):
 
 def test_registered():
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries.REGISTRY)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.ORACLE_SQL) <= set(queries.REGISTRY)
