@@ -7,7 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .swl import REGISTER_CAPACITY
-from .text import col_, nullif_empty, pystrip, split_newline, splitlines
+from .text import LINE_BREAKS, PY_WHITESPACE, col_, nullif_empty, pystrip, split_newline, splitlines
 
 # The F6, F8, F15, F16 and F22 patterns.
 REGISTER_ID = r"(?U)(\(\w+\)\s*)?[A-Z]{3}\d+"
@@ -96,6 +96,36 @@ def label_fields(entries, **keys: str) -> Column:
         F.when(e["key"] == F.lit(k), e["value"]).otherwise(acc[n]).alias(n) for n, k in keys.items()]))
 
 
+def _letters(key: str, between: str) -> str:
+    """A lower-case key with any case of its letters (the Kelvin sign lower-cases to k)."""
+    return between.join("[" + c + c.upper() + ("\\x{212a}" if c == "k" else "") + "]" for c in key)
+
+
+def _label_pattern(key: str, rule: str) -> str:
+    """Group 1 is the raw value of the last line whose key is ``key``: a greedy start tries the last line first."""
+    if rule == "last":
+        blank = "[" + "".join("\\x{%x}" % ord(c) for c in PY_WHITESPACE if c != "\n") + "]*"
+        name = blank + _letters(key, " *") + blank
+        return rf"(?s)^(?:.*\n)?(?:{name}:(?:[^\n]*:)?|(?={name}(?:\n|\z)))([^:\n]*)(?:\n|\z)"
+    if rule == "first":
+        line, skip = LINE_BREAKS, "[ /.]*"
+        return rf"(?s)^(?:.*[{line}])?{skip}{_letters(key, skip)}{skip}:([^{line}]*)"
+    raise ValueError(f"unknown label rule {rule!r}")
+
+
+def label_value(block, key: str, rule: str) -> Column:
+    """``label_lookup`` of one key straight from the block, with one anchored pattern instead of a list of entries:
+    the rules of ``label_entries_last`` (``last``) or ``label_entries_first`` (``first``); null if absent."""
+    b, p = col_(block), _label_pattern(key, rule)
+    raw = F.regexp_extract(b, p, 1)
+    return F.when(raw != F.lit(""), pystrip(raw)).when(b.rlike(p), F.lit(""))
+
+
+def label_values(block, rule: str, **keys: str) -> Column:
+    """Several :func:`label_value` as a struct."""
+    return F.struct(*[label_value(block, k, rule).alias(n) for n, k in keys.items()])
+
+
 def label_value_last(line) -> Column:
     """F11 (last): value = last colon segment."""
     parts = F.split(col_(line), ":")

@@ -246,6 +246,12 @@ def render_id(g, i) -> Column:
     return F.when(g["start"].isNull(), g["prefix"]).otherwise(F.concat(g["prefix"], num, g["suffix"]))
 
 
+def last_id(segs) -> Column:
+    """The last ID an expression names, by arithmetic (a range of any length is not listed); null without IDs."""
+    named = F.filter(col_(segs), lambda g: g["n"] > 0)
+    return F.get(F.transform(F.slice(named, -1, 1), lambda g: render_id(g, g["n"] - 1)), 0)
+
+
 def render_ids(segs) -> Column:
     """Small-expression convenience: the whole ID list as one array.  The
     distributed path is ``operators.expand.explode_ids``."""

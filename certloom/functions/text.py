@@ -19,7 +19,8 @@ PY_WHITESPACE = (
 )
 _WS_CLASS = "[" + "".join("\\x{%x}" % ord(ch) for ch in PY_WHITESPACE) + "]"
 # The line boundaries of Python's str.splitlines().
-_SPLITLINES = "\\r\\n|[\\n\\r\\x{b}\\x{c}\\x{1c}\\x{1d}\\x{1e}\\x{85}\\x{2028}\\x{2029}]"
+LINE_BREAKS = "\\n\\r\\x{b}\\x{c}\\x{1c}\\x{1d}\\x{1e}\\x{85}\\x{2028}\\x{2029}"
+_SPLITLINES = "\\r\\n|[" + LINE_BREAKS + "]"
 
 
 def col_(c) -> Column:

@@ -20,38 +20,40 @@ def last_wins(df: DataFrame, keys, pos_col: str, value_cols, first_pos_col: str
     return agg.select(*keys, first_pos_col, *[F.col("_last." + c).alias(c) for c in value_cols])
 
 
-IDX = 10**15  # IDs of one expression, in a packed position
+DIGITS = (10, 10, 10, 8)  # page, table and row are ints, an expression has under 10**8 segments
 
 
-def pack_position(page, table, row, idx) -> F.Column:
-    """One DECIMAL(38,0) that orders like (page, table, row, idx), so that its
-    minimum and maximum are hash-aggregated."""
-    place = F.shiftleft(F.col(page).cast("bigint"), 32) + F.shiftleft(F.col(table).cast("bigint"), 16) + F.col(row)
-    return (place.cast("decimal(19,0)") * F.lit(IDX).cast("decimal(16,0)") + F.col(idx)).cast("decimal(38,0)")
+def pack_position(page, table, row, segment) -> F.Column:
+    """One DECIMAL(38,0) that orders like (page, table, row, segment), so that its minimum and maximum are
+    hash-aggregated.  Each part has decimal digits of its own, enough for any non-negative int."""
+    place, out = sum(DIGITS), None
+    for part, digits in zip((page, table, row, segment), DIGITS, strict=True):
+        place -= digits
+        scaled = (F.col(part).cast(f"decimal({digits},0)") * F.lit(str(10**place)).cast(f"decimal({place + 1},0)")).cast(
+            "decimal(38,0)")
+        out = scaled if out is None else (out + scaled).cast("decimal(38,0)")
+    return out
 
 
-def unpack_position(pos) -> F.Column:
-    """``struct<page_no, table_no, row_no, id_idx>``."""
-    whole = F.floor(F.col(pos) / F.lit(IDX).cast("decimal(16,0)")).cast("bigint")
-    idx = (F.col(pos) - whole.cast("decimal(19,0)") * F.lit(IDX).cast("decimal(16,0)")).cast("bigint")
-    return F.struct(F.shiftright(whole, 32).cast("int").alias("page_no"),
-                    F.shiftright(whole, 16).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("table_no"),
-                    whole.bitwiseAND(F.lit(0xFFFF)).cast("int").alias("row_no"), idx.alias("id_idx"))
+def position_part(pos: str, which: int) -> F.Column:
+    """The page (0), table (1) or row (2) of a packed position."""
+    text = F.lpad(F.col(pos).cast("string"), sum(DIGITS), "0")
+    return text.substr(sum(DIGITS[:which]) + 1, DIGITS[which]).cast("int")
 
 
 def last_wins_ids(ids: DataFrame, items: DataFrame, value_cols, item_key=("doc_id", "page_no", "table_no", "row_no")):
-    """A1 after the ID fan-out: ``ids`` has (doc_id, id_number, page_no, table_no,
-    row_no, id_idx), ``items`` one row per ``item_key`` with the values.  Only
-    keys and packed positions are shuffled and aggregated; the winning item's
-    values are joined afterwards.  Page and row numbers fit 31 and 16 bits."""
-    agg = ids.select("doc_id", "id_number", pack_position("page_no", "table_no", "row_no", "id_idx").alias("_p")) \
-        .groupBy("doc_id", "id_number").agg(F.max("_p").alias("_hi"), F.min("_p").alias("_lo"))
-    won = agg.select("doc_id", "id_number", unpack_position("_lo").alias("first_pos"),
-                     unpack_position("_hi").alias("_w"))
-    won = won.select("doc_id", "id_number", "first_pos", "_w.page_no", "_w.table_no", "_w.row_no")
-    # a page that arrived twice gives the same item twice
-    values = items.select(*item_key, *value_cols).dropDuplicates(list(item_key))
-    return won.join(values, list(item_key)).select(
+    """A1 after the ID fan-out: ``ids`` has (doc_id, id_number, page_no, table_no, row_no, id_idx, segment),
+    ``items`` one row per ``item_key`` with the values.  Only keys and packed positions are shuffled and
+    aggregated; the winning item's values are joined afterwards.  Any non-negative int is a table or row number."""
+    agg = ids.select("doc_id", "id_number", "id_idx", pack_position("page_no", "table_no", "row_no", "segment").alias(
+        "_p")).groupBy("doc_id", "id_number").agg(
+            F.max("_p").alias("_hi"), F.min("_p").alias("_lo"), F.min_by("id_idx", "_p").alias("_idx"))
+    parts = ("page_no", "table_no", "row_no")
+    won = agg.select(
+        "doc_id", "id_number",
+        F.struct(*[position_part("_lo", i).alias(n) for i, n in enumerate(parts)], F.col("_idx").alias("id_idx")).alias(
+            "first_pos"), *[position_part("_hi", i).alias(n) for i, n in enumerate(parts)])
+    return won.join(items.select(*item_key, *value_cols), list(item_key)).select(
         "doc_id", "id_number", "first_pos", *value_cols)
 
 
@@ -67,40 +69,33 @@ def distinct_ids(df: DataFrame, keys=("doc_id", "id_number")) -> DataFrame:
 
 
 def number_rows(df: DataFrame, part_col: str, order_col: str, out_col: str = "row_no", start: int = 1,
-                skew_safe: bool = True, stored: bool = False) -> DataFrame:
+                block: F.Column | None = None, skew_safe: bool = True, stored: bool = False) -> DataFrame:
     """``row_number() over (partition by part order by order)`` + offset.
 
-    ``skew_safe=False`` is the plain window (one task per partition key, so a
-    document holding a third of all rows lands in one task).  The default is
-    skew-safe: a global range sort spreads even one huge key over many tasks;
-    each task numbers its slice with ``monotonically_increasing_id``; a small
-    per-(key, task) count table gives each slice its offset.  The tagged rows
-    are checkpointed once so both uses (counts and numbering) see the same
-    slices.  The order column must be unique within a key.  ``stored``: the
-    input is already stored, so reading it twice runs nothing twice."""
+    ``skew_safe=False`` is the plain window (one task per partition key, so a document holding a third of all
+    rows lands in one task).  The default numbers by prefix sums: ``block`` is a column that never falls along
+    the order and holds a bounded number of rows (a page, or a stretch of a page); rows are numbered within
+    their block, and a small table of counts per (key, block) gives each block its offset.  One shuffle of the
+    rows, on (key, block); the counts are combined before theirs and join without another one.  The order column
+    must be unique within a key.  Without ``block`` the order's first field is taken.  ``stored``: the input is
+    already stored, so reading it twice runs nothing twice."""
+    order = Window.partitionBy(part_col).orderBy(order_col)
     if not skew_safe:
-        w = Window.partitionBy(part_col).orderBy(order_col)
-        return df.withColumn(out_col, F.row_number().over(w) + (start - 1))
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    # The range sort samples its input and then reads it again: store the
-    # input once so the upstream plan runs a single time.
+        return df.withColumn(out_col, F.row_number().over(order) + (start - 1))
     if not stored:
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
-    sorted_df = df.repartitionByRange(F.col(part_col), F.col(order_col)).sortWithinPartitions(part_col, order_col)
-    tagged = sorted_df.withColumn("_mid", F.monotonically_increasing_id())
-    tagged = tagged.withColumn("_task", F.shiftright("_mid", 33)).withColumn(
-        "_local", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
-    # Both branches below must see the same slices and ids: store them once
-    # (reliable checkpoint) instead of letting each branch re-sample the range
-    # bounds or re-run a task after a lost executor.
-    tagged = tagged.checkpoint(eager=True)
-    stats = tagged.groupBy(part_col, "_task").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_local").alias("_lo"))
-    w = Window.partitionBy(part_col).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    out = tagged.join(stats.select(part_col, "_task", "_before", "_lo"), [part_col, "_task"])
-    return out.withColumn(out_col, (F.col("_before") + F.col("_local") - F.col("_lo") + start).cast("bigint")) \
-        .drop("_mid", "_task", "_local", "_before", "_lo")
+    if block is None:
+        kind = df.schema[order_col].dataType
+        block = F.col(order_col)[kind.names[0]] if hasattr(kind, "names") else F.col(order_col)
+    tagged = df.withColumn("_block", block)
+    before = Window.partitionBy(part_col).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    counts = tagged.groupBy(part_col, "_block").agg(F.count(F.lit(1)).alias("_n")).select(
+        part_col, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    within = Window.partitionBy(part_col, "_block").orderBy(order_col)
+    out = tagged.withColumn("_place", F.row_number().over(within)).join(counts, [part_col, "_block"])
+    return out.select(*df.columns, (F.col("_before") + F.col("_place") + (start - 1)).cast("bigint").alias(out_col))
 
 
 def running_errors(df: DataFrame, part_cols, order_col: str, errors_col: str = "errors",

@@ -137,20 +137,18 @@ def q_label_value_first(spark, sf):
 
 @query("label_map")
 def q_label_map(spark, sf):
-    d = _fx(spark, sf).select(*KEYS, fields.label_entries_last(F.col("header_block")).alias("e"),
-                              fields.label_entries_first(F.col("header_block")).alias("e2"))
-    d = d.select(*KEYS, fields.label_fields(
-        F.col("e"), report_number="reportnumber", examined="dateofthoroughexamination", job_number="jobnumber",
-        next_due="duedateofnextthoroughexamination").alias("l"),
-        fields.label_fields(F.col("e2"), job_number="jobnumber").alias("l2"))
-    return d.select(*KEYS, "l.report_number", "l.examined", "l.job_number",
-                    F.col("l2.job_number").alias("job_number_first"), "l.next_due")
+    block = F.col("header_block")
+    return _fx(spark, sf).select(
+        *KEYS, *[fields.label_value(block, key, "last").alias(name) for name, key in (
+            ("report_number", "reportnumber"), ("examined", "dateofthoroughexamination"), ("job_number", "jobnumber"))],
+        fields.label_value(block, "jobnumber", "first").alias("job_number_first"),
+        fields.label_value(block, "duedateofnextthoroughexamination", "last").alias("next_due"))
 
 
 @query("provider_prefix")
 def q_provider_prefix(spark, sf):
-    e = fields.label_entries_last(F.col("header_block"))
-    return _fx(spark, sf).select(*KEYS, text.provider_prefix(fields.label_lookup(e, "jobnumber")).alias("provider"))
+    job = fields.label_value(F.col("header_block"), "jobnumber", "last")
+    return _fx(spark, sf).select(*KEYS, text.provider_prefix(job).alias("provider"))
 
 
 @query("cell_line")
@@ -513,11 +511,17 @@ def _li(spark, sf):
 
 @query("items_last_wins")
 def q_items_last_wins(spark, sf):
-    li = _li(spark, sf).withColumn("pos", F.struct("l_partkey", "l_suppkey"))
-    r = reduce.last_wins(li, ["l_orderkey", "l_linenumber"], "pos",
-                         ["l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate"])
-    return r.select("l_orderkey", "l_linenumber", F.col("first_pos.l_partkey").alias("first_partkey"),
-                    F.col("first_pos.l_suppkey").alias("first_suppkey"), "l_quantity", "l_extendedprice",
+    """A1 as the pipeline runs it: a line is an ID of its order, its part is the page and its supplier the row."""
+    li = _li(spark, sf).select(
+        F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("id_number"), F.col("l_partkey").alias("page_no"),
+        F.col("l_linenumber").alias("table_no"), F.col("l_suppkey").alias("row_no"), F.lit(0).cast("bigint").alias("id_idx"),
+        F.lit(0).alias("segment"), "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate")
+    # a line that is there twice is one row of the grid
+    items = li.dropDuplicates(["doc_id", "page_no", "table_no", "row_no"])
+    r = reduce.last_wins_ids(li, items, ["l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate"])
+    return r.select(F.col("doc_id").alias("l_orderkey"), F.col("id_number").alias("l_linenumber"),
+                    F.col("first_pos.page_no").cast("bigint").alias("first_partkey"),
+                    F.col("first_pos.row_no").cast("bigint").alias("first_suppkey"), "l_quantity", "l_extendedprice",
                     "l_returnflag", _s(F.col("l_shipdate")).alias("l_shipdate"))
 
 
@@ -532,12 +536,11 @@ def q_page_last_nonnull(spark, sf):
 
 def _fx_errors(spark, sf):
     p = swl.parse_swl("swl_text", swl.SPARROW)
-    e = fields.label_entries_last(F.col("header_block"))
+    due = fields.label_value(F.col("header_block"), "duedateofnextthoroughexamination", "last")
     errs = F.array_compact(F.array(
         F.when(~text.truthy(p["value"]), F.lit("SWL Value not found")),
         F.when(~text.truthy(p["unit"]), F.lit("SWL Unit not found")),
-        F.when(fields.label_lookup(e, "duedateofnextthoroughexamination").isNull(),
-               F.lit("Next Inspection Due Date not found"))))
+        F.when(due.isNull(), F.lit("Next Inspection Due Date not found"))))
     return _fx(spark, sf).select(*KEYS, errs.alias("errors"))
 
 
@@ -705,16 +708,21 @@ def q_extraction_summary(spark, sf):
 
 @query("sink_overwrite")
 def q_sink_overwrite(spark, sf):
-    """K4: three writes of one run date: the even documents with wrong rows, the
-    odd ones, then the even ones again as they are.  Every document ends with
-    its own rows, once."""
-    from ..sources.sinks import item_sheet, write_documents
+    """K4: three commits of one run date: the even documents with wrong rows, the
+    odd ones, then, after a compaction, the even ones again as they are.  Every
+    document ends with its own rows, once."""
+    from ..sources import commits
+    from ..sources.sinks import item_sheet, read_sheet, target
     base = _scratch(spark, "sink-overwrite")
+    folder = target(base, "2024-01-01")
     sheet = item_sheet(_sparrow_run(spark, sf)[0]).checkpoint(eager=True)
     odd = F.col("doc_id").cast("bigint") % 2 == 1
-    for part in (sheet.where(~odd).withColumn("Id Number", F.lit("old")), sheet.where(odd), sheet.where(~odd)):
-        write_documents(part, part.select("doc_id"), base, "2024-01-01")
-    return spark.read.parquet(base).drop("client", "bucket", "run_date")
+    for part in (sheet.where(~odd).withColumn("Id Number", F.lit("old")), sheet.where(odd)):
+        commits.write_commit({"items": part}, part.select("doc_id"), folder)
+    commits.compact(spark, folder)
+    even = sheet.where(~odd)
+    commits.write_commit({"items": even}, even.select("doc_id"), folder)
+    return read_sheet(spark, base, "2024-01-01", "items").drop("client", "run_date")
 
 
 def mixed_pages(spark, sf):
@@ -784,35 +792,44 @@ def q_document_status_mixed(spark, sf):
 
 @query("stream_ingest")
 def q_stream_ingest(spark, sf):
-    """Newly arrived page files -> items, via the batch pipeline per micro-batch."""
+    """Newly arrived page files -> items, via the batch pipeline per micro-batch.
+    The pages of a document are dealt over the files, so most documents come in
+    several batches."""
+    from ..sources.sinks import read_sheet
     from ..streaming.ingest import start_ingest
     base = _scratch(spark, "stream")
-    # each document's pages land in one file, as one PDF would
-    mixed_pages(spark, sf).repartition(2, "doc_id").write.parquet(f"{base}/in")
+    mixed_pages(spark, sf).repartition(3, "doc_id", "page_no").write.parquet(f"{base}/in")
     start_ingest(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", cr.fixture_dictionary(spark), "2024-01-01",
                  max_files_per_trigger=1).awaitTermination()
-    return spark.read.parquet(f"{base}/out/items").select("doc_id", "sheet_row", "Id Number", "Errors")
+    return read_sheet(spark, f"{base}/out", "2024-01-01", "items").select("doc_id", "sheet_row", "Id Number", "Errors")
 
 
 @query("stream_overwrite")
 def q_stream_overwrite(spark, sf):
-    """Some documents arrive first without their later pages and again, whole,
-    in a later batch; then a new query with a new checkpoint reads all files
-    again.  The target ends as after one clean run."""
+    """Some documents arrive first with other IDs and values, then as they are, their pages over two files; then
+    a new query with a new checkpoint reads all files again, into the same target, and a third one, into a new
+    target, meets both versions in one batch.  Both targets end as after one clean run; the rows that are in both
+    are returned."""
+    from ..sources.sinks import read_sheet
     from ..streaming.ingest import start_ingest
     base = _scratch(spark, "stream")
     pages = cr.sparrow_pages(spark, sf)
-    early = pages.where((F.col("doc_id").cast("bigint") % 10 == 0) & (F.col("page_no") == 1))
+    changed = F.transform("tables", lambda t: F.transform(t, lambda r, i: F.when(
+        i == 4, F.transform(r, lambda c: F.concat(F.lit("OLD"), c))).otherwise(r)))
+    early = pages.where(F.col("doc_id").cast("bigint") % 10 == 0).withColumn("tables", changed)
 
-    def run(checkpoint, files=None):
-        start_ingest(spark, f"{base}/in", f"{base}/out", f"{base}/{checkpoint}", cr.fixture_dictionary(spark),
+    def run(checkpoint, out, files=None):
+        start_ingest(spark, f"{base}/in", f"{base}/{out}", f"{base}/{checkpoint}", cr.fixture_dictionary(spark),
                      "2024-01-01", max_files_per_trigger=files).awaitTermination()
     early.coalesce(1).write.parquet(f"{base}/in")
-    run("first")
-    pages.repartition(2, "doc_id").write.mode("append").parquet(f"{base}/in")
-    run("first", 1)
-    run("second")
-    return spark.read.parquet(f"{base}/out/items").select("doc_id", "sheet_row", "Id Number", "Errors")
+    run("first", "out")
+    pages.repartition(2, "doc_id", "page_no").write.mode("append").parquet(f"{base}/in")
+    run("first", "out", 1)
+    run("second", "out")
+    run("third", "other")
+    both = [read_sheet(spark, f"{base}/{out}", "2024-01-01", "items").select("doc_id", "sheet_row", "Id Number", "Errors")
+            for out in ("out", "other")]
+    return both[0].intersectAll(both[1])
 
 
 @query("extract_centurion_single_deployed")

@@ -128,13 +128,11 @@ def sparrow_outcome(df: DataFrame, out: str = "outcome", variant: str = "local",
     d = stage(df, _sp_block=cell_at(tables, 0, 0, 0), _sp_rows=F.size(F.get(tables, 0)),
               _sp_f=sparrow_header_fold(row_at(tables, 0, 3), row_at(tables, 0, 4)))
     d = stage(d, _sp_p=swl.parse_swl(col("_sp_f.swl"), swl.SPARROW),
-              _sp_labels=fields.label_entries_last(col("_sp_block")),
+              _sp_l=fields.label_values(col("_sp_block"), "last", cert="reportnumber", prev="dateofthoroughexamination",
+                                        job="jobnumber", next="duedateofnextthoroughexamination"),
               _sp_segs=F.when(col("_sp_f.qty").isNull(), F.lit(None).cast(SEGS)).when(
                   col("_sp_f.qty") > 1, ids.id_expression(col("_sp_f.ident"), col("_sp_f.qty"), "sparrow")
               ).otherwise(ids.literal_ids(col("_sp_f.ident"))))
-    d = stage(d, _sp_l=fields.label_fields(
-        col("_sp_labels"), cert="reportnumber", prev="dateofthoroughexamination", job="jobnumber",
-        next="duedateofnextthoroughexamination"))
     ident, desc, swl_raw, p = col("_sp_f.ident"), col("_sp_f.desc"), col("_sp_f.swl"), col("_sp_p")
     has_swl, has_desc = truthy(swl_raw), truthy(desc)
     cert, prev, job, nxt = (col(f"_sp_l.{n}") for n in ("cert", "prev", "job", "next"))
@@ -226,13 +224,12 @@ def centurion_outcome(df: DataFrame, out: str = "outcome", id_variant: str = "ce
     on = col("_ce_kind").isNotNull()
     d = stage(d,
               _ce_clean=F.when(on, fields.serial_clean(text.row_text_nonnull(row_at(tables, 0, 5)))),
-              _ce_labels=F.when(on, fields.label_entries_first(cell_at(tables, 0, 0, 13))),
               _ce_block=cell_at(tables, 0, 0, 13), _ce_rows=F.size(F.get(tables, 0)),
               _ce_maker=pystrip(F.get(val, 4)), _ce_val=val)
     d = stage(d, _ce_f=F.when(col("_ce_kind") == "qty", centurion_header_fold(hdr, val, True))
               .when(on, centurion_header_fold(hdr, val, False)),
-              _ce_l=fields.label_fields(col("_ce_labels"), provider="custrefpono", cert="reportnumber",
-                                        prev="dateofexamination"))
+              _ce_l=fields.label_values(F.when(on, col("_ce_block")), "first", provider="custrefpono",
+                                        cert="reportnumber", prev="dateofexamination"))
     deployed = fields.serial_last_segment(F.get(row_at(tables, 0, 5), col("_ce_f.desc_at")))
     d = stage(d, _ce_serials=F.when(on, deployed) if variant == "deployed" else col("_ce_clean"))
     qty_layout = col("_ce_kind") == "qty"
@@ -399,10 +396,9 @@ def _fi_cells(d: DataFrame, variant: str) -> DataFrame:
     d = stage(d, _c_ranges=_fi_ranges(col("_c_idt")))
     d = stage(d, _c_segs=F.flatten(F.transform(col("_c_ranges"), lambda r: r["segments"])),
               _c_rerr=F.flatten(F.transform(col("_c_ranges"), lambda r: r["errors"])))
-    d = stage(d, _c_last=ids.render_ids(F.slice(col("_c_segs"), -1, 1)))
+    d = stage(d, _c_last=ids.last_id(col("_c_segs")))
     desc, p = col("_c_desc"), col("_c_p")
     rep, dot, nxt = col("_c_rep"), col("_c_dot"), col("_c_next")
-    last_id = F.get(col("_c_last"), F.size(col("_c_last")) - 1)
     it = item(
         table_no=F.lit(0), row_no=F.lit(0), id_raw=F.get(col("_c_idt"), F.size(col("_c_idt")) - 1),
         id_segments=col("_c_segs"),
@@ -419,7 +415,7 @@ def _fi_cells(d: DataFrame, variant: str) -> DataFrame:
             (F.exists(rep, lambda v: ~truthy(v)), C.CERTIFICATE_NUMBER_NOT_FOUND),
             (F.exists(dot, lambda v: ~truthy(v)), C.PREVIOUS_NOT_FOUND_FI),
             (F.exists(nxt, lambda v: ~truthy(v)), C.NEXT_DUE_NOT_FOUND))),
-        suffix_if_any=F.array(F.concat(F.lit(C.FOR_ID_PREFIX), F.coalesce(last_id, F.lit("None")))))
+        suffix_if_any=F.array(F.concat(F.lit(C.FOR_ID_PREFIX), F.coalesce(col("_c_last"), F.lit("None")))))
     return stage(d, _fi_cells=F.when(F.size(col("_c_idt")) > 0, outcome(items=F.array(it))).otherwise(
         outcome(error=F.lit(C.NO_IDS_ON_PAGE))))
 
@@ -454,9 +450,8 @@ def _fi_declaration(d: DataFrame, variant: str) -> DataFrame:
     d = stage(d, _d_ranges=_fi_ranges(col("_d_idt")), _d_p=swl.parse_swl(col("_d_wll"), swl.FIRST_INTEGRATED))
     d = stage(d, _d_segs=F.flatten(F.transform(col("_d_ranges"), lambda r: r["segments"])),
               _d_rerr=F.flatten(F.transform(col("_d_ranges"), lambda r: r["errors"])))
-    d = stage(d, _d_last=ids.render_ids(F.slice(col("_d_segs"), -1, 1)))
+    d = stage(d, _d_last=ids.last_id(col("_d_segs")))
     desc, p, decl = col("_d_desc"), col("_d_p"), col("_d_decl")
-    last_id = F.get(col("_d_last"), F.size(col("_d_last")) - 1)
     it = item(
         table_no=F.lit(0), row_no=F.lit(0), id_raw=F.get(col("_d_idt"), F.size(col("_d_idt")) - 1),
         id_segments=col("_d_segs"),
@@ -469,7 +464,7 @@ def _fi_declaration(d: DataFrame, variant: str) -> DataFrame:
         err_tail=F.concat(col("_d_rerr"), errs(
             (col("_d_noid"), C.ID_NUMBER_NOT_FOUND_FI3), (col("_d_nocert"), C.CERTIFICATE_NUMBER_NOT_FOUND),
             ((col("_d_ndecl") > 0) & decl.isNull(), C.DECLARATION_NOT_FOUND))),
-        suffix_if_any=F.array(F.concat(F.lit(C.FOR_ID_PREFIX), F.coalesce(last_id, F.lit("None")))))
+        suffix_if_any=F.array(F.concat(F.lit(C.FOR_ID_PREFIX), F.coalesce(col("_d_last"), F.lit("None")))))
     return stage(d, _fi_decl=F.when(F.size(col("_d_idt")) > 0, outcome(items=F.array(it))).otherwise(
         outcome(error=F.lit(C.NO_IDS_ON_PAGE))))
 

@@ -119,10 +119,21 @@ def page_outcome(pages: DataFrame, client_col: str = "client", opts: Options = O
     return d.select("doc_id", "page_no", client_col, _pick(client_col).alias("outcome"))
 
 
+def one_outcome_per_page(outcomes: DataFrame) -> DataFrame:
+    """Stored outcomes with one row per page.  Pages that arrived twice are found on the keys alone; only where
+    there are any is an outcome chosen, by its content, whatever the order of the rows."""
+    keys = outcomes.groupBy("doc_id", "page_no").count().where(F.col("count") > 1)
+    if keys.isEmpty():
+        return outcomes
+    tagged = outcomes.withColumn("_h", F.xxhash64(F.to_json("outcome"), "client"))
+    return tagged.groupBy("doc_id", "page_no").agg(F.max_by(F.struct("client", "outcome"), "_h").alias("_o")).select(
+        "doc_id", "page_no", "_o.client", "_o.outcome")
+
+
 def page_errors_of(outcomes: DataFrame) -> DataFrame:
-    """One row per page and error; a page that arrived twice says it once."""
+    """One row per page with an error."""
     return outcomes.where(F.col("outcome.error").isNotNull()).select(
-        "doc_id", "page_no", "client", F.col("outcome.error").alias("error")).distinct()
+        "doc_id", "page_no", "client", F.col("outcome.error").alias("error"))
 
 
 def raw_items_of(outcomes: DataFrame) -> DataFrame:
@@ -192,7 +203,7 @@ def expand_and_reduce(items: DataFrame, opts: Options = Options()) -> DataFrame:
     """ID expansion, then last-wins per (doc_id, id_number)."""
     place = ["doc_id", "page_no", "table_no", "row_no"]
     x = explode_ids(items.select(*place, "id_segments"), "id_segments", chunk_size=opts.chunk_size,
-                    rebalance_cols=place if opts.rebalance else None)
+                    rebalance_cols=place if opts.rebalance else None, segment_col="segment")
     return last_wins_ids(x, items, ITEM_VALUE_COLS)
 
 
@@ -213,7 +224,7 @@ def extract(pages: DataFrame, dictionary: Dictionary, opts: Options = Options(),
         return df.checkpoint(eager=True)
     routes = stored(route_documents(pages, keywords))
     ok = routes.where(~F.col("blank") & F.col("client").isNotNull()).select("doc_id", "client")
-    outcomes = stored(page_outcome(pages.join(ok, "doc_id"), "client", opts))
+    outcomes = one_outcome_per_page(stored(page_outcome(pages.join(ok, "doc_id"), "client", opts)))
     raw = raw_items_of(outcomes)
     items = expand_and_reduce(stored(finish_items(raw, dictionary)), opts)
     return items, page_errors_of(outcomes), document_status(routes)

@@ -1,18 +1,19 @@
 """Sinks: K1-K6.
 
-The item table keeps its 18 fixed display columns (in order).  Targets are
-partitioned by run date and a hash bucket of the document, and overwritten per
-document: a write replaces the rows of the documents it processed and keeps
-those of all others, so a replayed or re-sent file, a second batch or a second
-run of the same day neither loses nor doubles anything.
+The item table keeps its 18 fixed display columns (in order).  Each run date
+has an append-only target (``sources.commits``): a write adds one commit with
+all tables of the documents it processed, and a reader sees each document's
+last one, so a replayed or re-sent file, a second batch or a second run of the
+same day neither loses nor doubles anything.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.reduce import number_rows
+from .commits import Commit, read_table, write_commit
 
 # The output columns of the item sheet, in sheet order
 # (note the trailing space of "Detailed Location ").
@@ -50,19 +51,19 @@ def render_errors(arr) -> F.Column:
     return F.when(F.size(arr) > 0, render_list(arr))
 
 
+#: IDs of one expression that are numbered in one task.
+NUMBER_BLOCK = 1 << 16
+
+
 def item_sheet(items: DataFrame, skew_safe: bool = True) -> DataFrame:
     """The 18 display columns plus ``doc_id``, ``client`` and the
-    sheet row number (3, 4, ... in first-seen order within each document)."""
+    sheet row number (3, 4, ... in first-seen order within each document).  The items are stored once and
+    shuffled once, by document, grid row and stretch of ``NUMBER_BLOCK`` IDs."""
     d = items.withColumn("errors_text", render_errors(F.col("errors")))
-    if skew_safe:  # only the keys are range-sorted and numbered; the wide rows are stored once and joined
-        from ..session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(items.sparkSession)
-        d = d.checkpoint(eager=True)
-        rows = number_rows(d.select("doc_id", "id_number", "first_pos"), "doc_id", "first_pos", "sheet_row",
-                           start=FIRST_DATA_ROW, stored=True)
-        d = d.join(rows.select("doc_id", "id_number", "sheet_row"), ["doc_id", "id_number"])
-    else:
-        d = number_rows(d, "doc_id", "first_pos", "sheet_row", start=FIRST_DATA_ROW, skew_safe=False)
+    pos = F.col("first_pos")
+    block = F.struct(pos["page_no"].alias("p"), pos["table_no"].alias("t"), pos["row_no"].alias("r"),
+                     F.floor(pos["id_idx"] / NUMBER_BLOCK).cast("bigint").alias("i"))
+    d = number_rows(d, "doc_id", "first_pos", "sheet_row", start=FIRST_DATA_ROW, block=block, skew_safe=skew_safe)
     cols = [(F.col(SOURCE_OF[c]) if c in SOURCE_OF else F.lit(None).cast("string")).alias(c)
             for c in DISPLAY_COLUMNS]
     return d.select("doc_id", "client", "sheet_row", *cols)
@@ -89,51 +90,19 @@ def output_name(path, ext: str = "xlsx", compat: bool = False) -> F.Column:
     return F.regexp_replace(p, r"\.pdf$", "." + ext)
 
 
-DOCUMENT_BUCKETS = 64
-
-
-def _path(spark, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def write_documents(df: DataFrame, documents: DataFrame, path: str, run_date: str,
-                    buckets: int = DOCUMENT_BUCKETS) -> None:
-    """K4: write ``df`` (with ``doc_id``) so that the target of ``run_date``
-    holds exactly these rows for every document of ``documents`` (one with no
-    row left loses its old ones) and keeps all other documents' rows.
-
-    The touched buckets are merged with what they hold, stored once under
-    ``spark.checkpoint.dir`` and then replaced by dynamic partition overwrite,
-    so a failure before the final commit leaves the target as it was and the
-    write can be repeated.  Documents never get folders of their own."""
-    from ..session import ensure_checkpoint_dir
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int")
-    new = df.withColumn("run_date", F.lit(run_date)).withColumn("bucket", bucket)
-    done = documents.select("doc_id").distinct()
-    fs, target = _path(spark, path)
-    if fs.exists(target):
-        old = spark.read.schema(new.schema).parquet(path).where(F.col("run_date") == run_date)
-        touched = done.select(bucket.alias("bucket")).distinct()
-        old = old.join(F.broadcast(touched), "bucket", "left_semi").join(done, "doc_id", "left_anti")
-        new = new.unionByName(old.select(*new.columns))
-    new = new.checkpoint(eager=True)  # the target may not be read while it is replaced
-    (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run_date", "bucket").parquet(path))
-    # buckets whose last rows went have no new partition: drop the old one (at most ``buckets`` of them)
-    left = {r.bucket for r in new.select("bucket").distinct().collect()}
-    for b in {r.bucket for r in done.select(bucket.alias("bucket")).distinct().collect()} - left:
-        fs.delete(_path(spark, f"{path}/run_date={run_date}/bucket={b}")[1], True)
-
-
-def write_all(items: DataFrame, page_errors: DataFrame, status: DataFrame, out_dir: str, run_date: str) -> None:
-    """K1-K6 in one call: item sheet, page errors, manifest, document status, each
-    replaced for the documents of ``status`` (every processed document has a
-    status row)."""
-    documents = status.select("doc_id")
-    write_documents(item_sheet(items), documents, f"{out_dir}/items", run_date)
-    write_documents(page_error_sheet(page_errors), documents, f"{out_dir}/page_errors", run_date)
-    write_documents(manifest(status), documents, f"{out_dir}/manifest", run_date)
-    write_documents(status.drop("run_date"), documents, f"{out_dir}/document_status", run_date)
+def write_all(items: DataFrame, page_errors: DataFrame, status: DataFrame, out_dir: str, run_date: str) -> Commit:
+    """K1-K6 in one commit of the run date's target: item sheet, page errors, manifest and document status of the
+    documents of ``status`` (every processed document has a status row)."""
+    tables = {"items": item_sheet(items), "page_errors": page_error_sheet(page_errors), "manifest": manifest(status),
+              "document_status": status.drop("run_date")}
+    return write_commit(tables, status.select("doc_id"), target(out_dir, run_date))
+
+
+def target(out_dir: str, run_date: str) -> str:
+    """K4: the folder of one run date."""
+    return f"{out_dir.rstrip('/')}/{run_date}"
+
+
+def read_sheet(spark: SparkSession, out_dir: str, run_date: str, table: str) -> DataFrame:
+    """The current rows of ``items``, ``page_errors``, ``manifest`` or ``document_status`` of a run date."""
+    return read_table(spark, target(out_dir, run_date), table).withColumn("run_date", F.lit(run_date))

@@ -48,6 +48,7 @@ def test_skew_safe_numbering_matches_window(spark):
 def test_stream_replay_is_idempotent(spark):
     from certloom.plans.carriers import fixture_dictionary
     from certloom.sources.readers import PAGE_GRIDS_SCHEMA
+    from certloom.sources.sinks import read_sheet
     from certloom.streaming.ingest import start_ingest
     base = tempfile.mkdtemp(prefix="certloom-stream-", dir="/tmp")
     table = [["Report Number: R1\nDate of Thorough Examination: 01/02/2024\nJob Number: 7"], ["x"], ["x"],
@@ -58,26 +59,11 @@ def test_stream_replay_is_idempotent(spark):
     for ck in ("c1", "c2"):
         start_ingest(spark, os.path.join(base, "in"), os.path.join(base, "out"), os.path.join(base, ck),
                      fixture_dictionary(spark), "2024-01-01").awaitTermination()
-    out = spark.read.parquet(os.path.join(base, "out", "items"))
+    out = read_sheet(spark, os.path.join(base, "out"), "2024-01-01", "items")
     assert out.count() == 12
     assert sorted(r["sheet_row"] for r in out.where(F.col("doc_id") == "d0").collect()) == [3, 4, 5]
 
 
-def test_write_documents_replaces_per_document(spark, tmp_path):
-    from certloom.sources.sinks import write_documents
-    path = str(tmp_path / "items")
-
-    def write(rows, docs):
-        df = spark.createDataFrame(rows, "doc_id string, v int")
-        write_documents(df, spark.createDataFrame([(d,) for d in docs], "doc_id string"), path, "2024-01-01", buckets=3)
-        return sorted((r.doc_id, r.v) for r in spark.read.parquet(path).collect())
-
-    assert write([("d1", 1), ("d1", 2)], ["d1"]) == [("d1", 1), ("d1", 2)]
-    assert write([("d2", 5)], ["d2"]) == [("d1", 1), ("d1", 2), ("d2", 5)]  # a second run of the day
-    assert write([("d1", 9)], ["d1"]) == [("d1", 9), ("d2", 5)]  # sent again
-    assert write([], ["d1"]) == [("d2", 5)]  # nothing left of it
-
-
 def test_long_numbers_never_vanish(spark):
     n = "1" * 39
     texts = [f"TZW{n}-{n}", f"TZW{n}-{n[:-1]}3", "TZW1-99999999999999999999", f"TZW{n}-5", "X1/01-03"]
@@ -96,9 +82,69 @@ def test_long_numbers_never_vanish(spark):
 
 
 def test_packed_positions(spark):
-    from certloom.operators.reduce import pack_position, unpack_position
-    rows = [(1, 0, 4, 0), (1, 0, 4, 10**14), (2**31 - 1, 65535, 65535, 7), (1, 2, 0, 0)]
-    df = spark.createDataFrame(rows, "page int, tbl int, rw int, idx long")
-    out = df.select("*", pack_position("page", "tbl", "rw", "idx").alias("p")).select("*", unpack_position("p").alias("u"))
-    got = out.orderBy("p").collect()
-    assert [tuple(r.u) for r in got] == [tuple(r)[:4] for r in got] == sorted(rows)
+    from certloom.operators.reduce import pack_position, position_part
+    big = 2**31 - 1
+    rows = [(1, 0, 4, 0), (1, 0, 4, 99_999_999), (1, 0, 70_000, 0), (1, 70_000, 0, 3), (big, big, big, 7), (1, 2, 0, 0)]
+    df = spark.createDataFrame(rows, "page int, tbl int, rw int, seg int")
+    out = df.withColumn("p", pack_position("page", "tbl", "rw", "seg"))
+    got = out.select("page", "tbl", "rw", "seg", *[position_part("p", i).alias(f"x{i}") for i in range(3)]).orderBy("p")
+    assert [tuple(r) for r in got.collect()] == [r + r[:3] for r in sorted(rows)]
+
+
+def test_last_wins_on_far_rows(spark):
+    """Rows past 65,535, IDs named twice in one item, and a document of a million IDs."""
+    from certloom.operators.reduce import last_wins_ids
+    place = "doc_id string, page_no int, table_no int, row_no int"
+    items = spark.createDataFrame(
+        [("d", 1, 0, 70_000, "x"), ("d", 1, 0, 5, "y"), ("d", 1, 1, 0, "z"), ("h", 1, 0, 0, "v")], place + ", v string")
+    segments = spark.createDataFrame(
+        [("d", 1, 0, 70_000, "A1,A1,B"), ("d", 1, 0, 5, "A1"), ("d", 1, 1, 0, "C")], place + ", s string")
+    listed = segments.select(*items.columns[:4], ids.id_comma("s").alias("g"))
+    million = spark.createDataFrame([("h", 1, 0, 0)], place).select("*", F.array(ids.segment(
+        F.lit("R"), F.lit(1), F.lit(1_000_000))).alias("g"))
+    x = explode_ids(listed.unionByName(million), "g", rebalance_cols=items.columns[:4], segment_col="segment")
+    out = last_wins_ids(x, items, ["v"])
+    small = {(r.id_number, r.v, r.first_pos.row_no, r.first_pos.id_idx) for r in out.where("doc_id = 'd'").collect()}
+    assert small == {("A1", "x", 5, 0), ("B", "x", 70_000, 2), ("C", "z", 0, 0)}
+    assert out.where("doc_id = 'h'").agg(F.count("*"), F.max("first_pos.id_idx")).first()[:] == (1_000_000, 999_999)
+
+
+def test_only_large_ranges_are_shuffled(spark):
+    df = spark.createDataFrame([(1, "A1-3"), (2, "B7"), (3, "C1-9000")], "k int, s string").select(
+        "k", ids.id_hyphen_range("s")["segments"].alias("g"))
+    one = explode_ids(df.where("k < 3"), "g", chunk_size=4, rebalance_cols=["k"]).collect()
+    assert sorted((r.k, r.id_number) for r in one) == [(1, "A1"), (1, "A2"), (1, "A3"), (2, "B7")]
+    many = explode_ids(df, "g", chunk_size=4, rebalance_cols=["k"])
+    assert many.count() == 9004 and many.select("id_number").distinct().count() == 9004
+
+
+def test_offsets_of_many_pieces(spark):
+    """Each segment's offset, past a block of segments, with empty segments and in linear time."""
+    import time
+    n = 50_000
+    df = spark.createDataFrame([(1, ",".join(f"P{i}x{i % 3}" for i in range(n))), (2, "Ax2,Bx3"), (3, ",".join("Qx2" for _ in range(600)))],
+                               "k int, s string").select("k", ids.id_multiplier("s").alias("g"))
+    start = time.time()
+    got = explode_ids(df, "g").groupBy("k").agg(F.count("*").alias("n"), F.countDistinct("id_idx").alias("d"),
+                                                F.max("id_idx").alias("m")).orderBy("k").collect()
+    total = sum(i % 3 for i in range(n))
+    assert [tuple(r) for r in got] == [(1, total, total, total - 1), (2, 5, 5, 4), (3, 1200, 1200, 1199)]
+    assert time.time() - start < 60
+
+
+def test_last_id_without_listing(spark):
+    df = spark.createDataFrame([("TZW1-5000000000",), ("X1/01-04",), ("plain",)], "s string")
+    got = [r[0] for r in df.select(ids.last_id(ids.id_hyphen_range("s")["segments"])).collect()]
+    assert got == ["TZW5000000000", "X1/04", "plain"]
+    assert spark.range(1).select(ids.last_id(F.array().cast(f"array<{ids.SEGMENT_TYPE}>"))).first()[0] is None
+
+
+def test_numbering_over_blocks(spark):
+    """A hot document whose rows are on many pages, one of them large."""
+    df = spark.range(0, 20_000).select(F.lit("hot").alias("doc"), F.struct(
+        F.when(F.col("id") < 9000, F.lit(3)).otherwise(F.col("id") % 50 + 4).alias("page"), F.col("id").alias("i")).alias("pos"))
+    df = df.unionByName(df.where("pos.i % 7 = 0").withColumn("doc", F.lit("small"))).repartition(8)
+    block = F.struct(F.col("pos.page").alias("p"), F.floor(F.col("pos.i") / 1000).alias("b"))
+    a = number_rows(df, "doc", "pos", "rn", start=3, block=block)
+    b = number_rows(df, "doc", "pos", "rn2", start=3, skew_safe=False)
+    assert a.join(b, ["doc", "pos"]).where("rn = rn2").count() == df.count()

@@ -96,3 +96,23 @@ def test_text_helpers(spark):
     assert evaluate(spark, text.pystrip, [" \t x \n"]) == ["x"]
     assert evaluate(spark, text.pysplit, ["  A b\tc  "]) == [["A", "b", "c"]]
     assert evaluate(spark, text.splitlines, ["a\r\nb\n"]) == [["a", "b"]]
+
+
+LABEL_BLOCKS = [
+    None, "", "Report Number: R1", "report number : a : b\nREPORTNUMBER:c ", "Report Number", " re port num ber :\nx:y",
+    "Report Number:\nJob Number: 7:8", "a:b\r\nReport Number: 1\r\nReport No.: 2", "Cust Ref/PO No.: P9\u2028Report Number:z",
+    "\tReport Number\t: v\t\n\n", "xReport Number: 1", "Report Number x: 1", "Report\tNumber: 1", "Report Number:a\nReport Number",
+    "Cust./Ref PO No: q:r\x0bcustrefpono:last", "Job Number: \u212a", "Report Number:1\n", "Jo\nb Number: 3", ":\n::", "\u212aey: 5"]
+
+
+def test_label_values_equal_the_entries(spark):
+    """One anchored pattern a key gives what the list of entries gives."""
+    from certloom.functions import fields
+    df = spark.createDataFrame(list(enumerate(LABEL_BLOCKS)), "k int, b string")
+    for key in ("reportnumber", "jobnumber", "custrefpono", "key", "x"):
+        d = df.select("k", fields.label_lookup(fields.label_entries_last("b"), key).alias("l0"),
+                      fields.label_value("b", key, "last").alias("l1"),
+                      fields.label_lookup(fields.label_entries_first("b"), key).alias("f0"),
+                      fields.label_value("b", key, "first").alias("f1"))
+        for r in d.collect():
+            assert (r.l0, r.f0) == (r.l1, r.f1), (key, LABEL_BLOCKS[r.k], r)
