@@ -71,15 +71,38 @@ def _swl_struct(raw, profile):
     return swl.parse_swl(raw, profile)
 
 
-def stage(df: DataFrame, **cols) -> DataFrame:
+class Steps:
+    """Stands in for a page table while a layout is set up and keeps the columns it stages and drops, so that they are
+    built once a session: a micro-batch then only applies them."""
+
+    def __init__(self, columns):
+        self.columns, self.steps = list(columns), []
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        for staged, names in self.steps:
+            df = df.select("*", *names) if staged else df.drop(*names)
+        return df
+
+
+def stage(df: DataFrame | Steps, **cols) -> DataFrame | Steps:
     """Add named intermediate columns.  Staging keeps each intermediate a
     column reference, so later expressions never copy a big sub-expression
     (Catalyst keeps the projections apart because they are not cheap)."""
-    return df.select("*", *[c.alias(n) for n, c in cols.items()])
-
-
-def drop_prefix(df: DataFrame, prefix: str) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith(prefix)])
+    named = [c.alias(n) for n, c in cols.items()]
+    if isinstance(df, Steps):
+        df.steps.append((True, named))
+        df.columns += list(cols)
+        return df
+    return df.select("*", *named)
+
+
+def drop_prefix(df: DataFrame | Steps, prefix: str) -> DataFrame | Steps:
+    names = [c for c in df.columns if c.startswith(prefix)]
+    if isinstance(df, Steps):
+        df.steps.append((False, names))
+        df.columns = [c for c in df.columns if c not in names]
+        return df
+    return df.drop(*names)
 
 
 def _last_nonnull(arr) -> Column:

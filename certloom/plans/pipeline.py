@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from ..operators.dictionary import Dictionary, nullif_empty, substring_rows, tok
 from ..operators.expand import DEFAULT_CHUNK, explode_ids
 from ..operators.reduce import last_wins_ids
 from . import messages as C
-from .layouts import centurion_client_outcome, first_integrated_outcome, outcome, sparrow_outcome
+from .layouts import Steps, centurion_client_outcome, first_integrated_outcome, outcome, sparrow_outcome
 
 # Client keywords, in priority order (the first listed wins).
 DEFAULT_KEYWORDS = ("Sparrows", "Centurion", "First Integrated")
@@ -85,9 +86,14 @@ def document_status(routes: DataFrame, run_date: str | None = None) -> DataFrame
 def with_candidates(pages: DataFrame, opts: Options = Options(), client_col: str | None = None) -> DataFrame:
     """Add one outcome column per client layout family (row-local); with
     ``client_col`` a page is only read under its own client's layouts."""
+    return _candidate_steps(pages.sparkSession.sparkContext.applicationId, opts, client_col).apply(pages)
+
+
+@lru_cache(maxsize=8)
+def _candidate_steps(application: str, opts: Options, client_col: str | None) -> Steps:
     def gate(name):
         return None if client_col is None else F.coalesce(F.col(client_col) == name, F.lit(False))
-    d = sparrow_outcome(pages, "_o_sparrows", opts.variant, gate=gate("Sparrows"))
+    d = sparrow_outcome(Steps(()), "_o_sparrows", opts.variant, gate=gate("Sparrows"))
     d = centurion_client_outcome(d, "_o_centurion", opts.centurion_ids(), opts.variant, gate=gate("Centurion"))
     return first_integrated_outcome(d, "_o_first_integrated", opts.variant, opts.compat,
                                     gate=gate("First Integrated"))
