@@ -111,15 +111,52 @@ def token_lookup(df: DataFrame, desc_col: str, dictionary: Dictionary, mode: str
     return df.join(res, desc_col, "left")
 
 
-def substring_rows(df: DataFrame, text_col: str, lengths) -> DataFrame:
-    """(text, _tok): the substrings of the lower-cased text of the given lengths
-    (a literal, small list), one row each; no row holds more than a text's
-    positions."""
-    low = F.lower(F.col(text_col))
-    d = df.select(text_col, low.alias("_low"), F.explode(F.array(*[F.lit(n) for n in lengths])).alias("_n"))
-    d = d.where(F.length("_low") >= F.col("_n"))
-    d = d.select(text_col, "_low", "_n", F.explode(F.sequence(F.lit(1), F.length("_low") - F.col("_n") + 1)).alias("_p"))
-    return d.select(text_col, F.substring(F.col("_low"), F.col("_p"), F.col("_n")).alias("_tok"))
+GRAM, PIECE = 3, 256
+
+
+def gram_index(side: DataFrame) -> DataFrame:
+    """(_gram, _tok, ...): each keyword under its rarest gram of ``GRAM`` characters among all keywords (a shorter
+    keyword under itself), so that few texts meet it that do not hold it."""
+    words = side.select("_tok").distinct()
+    n = F.length("_tok")
+    grams = words.select("_tok", F.explode(F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.greatest(n - GRAM + 1, F.lit(1))), lambda i: F.col("_tok").substr(i, F.lit(GRAM))))).alias(
+            "_gram"))
+    spread = grams.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = grams.join(spread, "_gram").groupBy("_tok").agg(F.min(F.struct("_n", "_gram"))["_gram"].alias("_gram"))
+    return side.join(rarest, "_tok")
+
+
+def text_grams(texts: DataFrame, text_col: str, sizes) -> DataFrame:
+    """(_id, _gram): the distinct grams of each lower-cased text, of ``GRAM`` characters and of the shorter sizes that
+    keywords have.  Texts are cut into pieces that overlap by ``GRAM - 1`` characters by one pattern, so the time
+    follows a text's length."""
+    pieces = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(
+        f"(?s)(?=(.{{1,{PIECE + GRAM - 1}}})).{{1,{PIECE}}}"), F.lit(1))
+    rows = texts.select("_id", F.explode(pieces).alias("_piece"))
+    piece = F.col("_piece")
+
+    def of(n):
+        last = F.greatest(F.length(piece) - n + 1, F.lit(1))
+        return F.transform(F.sequence(F.lit(1), last), lambda i: piece.substr(i, F.lit(n)))
+    grams = F.array_distinct(F.flatten(F.array(*[of(n) for n in sizes])))
+    return rows.select("_id", F.explode(grams).alias("_gram")).distinct()
+
+
+def substring_hits(texts: DataFrame, text_col: str, dictionary: Dictionary) -> DataFrame:
+    """J2 for distinct texts: (text, _s struct<manufacturer, model>) of the first model-sheet row whose model occurs in
+    the text.  Grams of the texts meet the keywords' rarest grams in an equi join; only these candidates are
+    verified, and the text itself is shuffled once, under a hash."""
+    side = dictionary.model_side()
+    sizes = sorted({min(r[0], GRAM) for r in side.select(F.length("_tok")).distinct().collect()})  # at most GRAM
+    named = texts.select(text_col, F.sha2(F.col(text_col), 256).alias("_id"))
+    if not sizes:
+        return texts.select(text_col, F.lit(None).cast("struct<manufacturer:string,model:string>").alias("_s")).limit(0)
+    index = sized_broadcast(gram_index(side), known_rows=dictionary.model_rows)
+    found = text_grams(named, text_col, sizes).join(index, "_gram").select("_id", "_tok", "ord", "manufacturer", "model")
+    held = found.join(named, "_id").where(F.lower(F.col(text_col)).contains(F.col("_tok")))
+    first = held.groupBy("_id").agg(F.min_by(F.struct("manufacturer", "model"), "ord").alias("_s"))
+    return named.join(first, "_id").select(text_col, "_s")
 
 
 def substring_lookup(df: DataFrame, desc_col: str, dictionary: Dictionary) -> DataFrame:
@@ -127,23 +164,11 @@ def substring_lookup(df: DataFrame, desc_col: str, dictionary: Dictionary) -> Da
     model, lower-cased, occurs anywhere in the lower-cased description; its
     manufacturer is taken as is.  Adds ``manufacturer`` and ``model``.
 
-    A theta join done as an equi join: each distinct description emits its
-    substrings of every length that occurs among the dictionary keywords
-    (a literal list, collected from the size-checked dictionary), and those meet
-    the dictionary in a broadcast hash join; no pair enumeration."""
-    side = dictionary.model_side()
-    lengths = sorted({r[0] for r in side.select(F.length("_tok")).distinct().collect()})
+    A theta join done as an equi join over distinct descriptions (:func:`substring_hits`)."""
     descs = df.select(desc_col).where(F.col(desc_col).isNotNull()).distinct()
-    if not lengths:
-        res = descs.select(desc_col, F.lit(None).cast("string").alias("manufacturer"),
-                           F.lit(None).cast("string").alias("model"))
-    else:
-        subs = substring_rows(descs, desc_col, lengths)
-        hit = subs.join(side, "_tok").groupBy(desc_col).agg(
-            F.min_by(F.struct("manufacturer", "model"), "ord").alias("_d"))
-        res = descs.join(hit, desc_col, "left").select(
-            desc_col, nullif_empty(F.col("_d.manufacturer")).alias("manufacturer"),
-            nullif_empty(F.col("_d.model")).alias("model"))
+    res = substring_hits(descs, desc_col, dictionary).select(
+        desc_col, nullif_empty(F.col("_s.manufacturer")).alias("manufacturer"),
+        nullif_empty(F.col("_s.model")).alias("model"))
     return df.join(res, desc_col, "left")
 
 

@@ -665,9 +665,11 @@ def q_page_outcome(spark, sf):
     from .pipeline import layout_outcome
     inputs = {"sparrow": ("Sparrows", cr.sparrow_pages(spark, sf)),
               "centurion": ("Centurion", cr.centurion_pages(spark, sf, False)),
+              "centurion_qty": ("Centurion", cr.centurion_pages(spark, sf, True)),
               "hendrik": ("Centurion", cr.hendrik_pages(spark, sf)),
               "register": ("First Integrated", cr.first_integrated_pages(spark, sf, "register")),
-              "cells": ("First Integrated", cr.first_integrated_pages(spark, sf, "cells"))}
+              "cells": ("First Integrated", cr.first_integrated_pages(spark, sf, "cells")),
+              "declaration": ("First Integrated", cr.first_integrated_pages(spark, sf, "declaration"))}
     out = None
     for name, (client, pages) in inputs.items():
         o = layout_outcome(pages, client).select(F.lit(name).alias("layout"), "doc_id", "page_no", "outcome")
@@ -733,8 +735,9 @@ def mixed_pages(spark, sf):
     def tagged(tag, pages):
         return pages.withColumn("doc_id", F.concat(F.lit(tag), "doc_id"))
     s = tagged("S-", cr.sparrow_pages(spark, sf).where(~lost))
-    for tag, pages in (("C-", cr.centurion_pages(spark, sf, False)), ("H-", cr.hendrik_pages(spark, sf)),
-                       ("F-", cr.first_integrated_pages(spark, sf, "cells"))):
+    for tag, pages in (("C-", cr.centurion_pages(spark, sf, False)), ("Q-", cr.centurion_pages(spark, sf, True)),
+                       ("H-", cr.hendrik_pages(spark, sf)), *((k, cr.first_integrated_pages(spark, sf, v)) for k, v in (
+                           ("R-", "register"), ("F-", "cells"), ("P-", "declaration")))):
         s = s.unionByName(tagged(tag, pages))
     d = cr.table(spark, sf, "documents").select(F.concat(F.lit("D-"), _s(F.col("doc_id"))).alias("doc_id"),
                                                 F.lit("documents").alias("path"), F.lit(1).alias("page_no"),
@@ -745,8 +748,11 @@ def mixed_pages(spark, sf):
 
 @query("certificate_pipeline")
 def q_certificate_pipeline(spark, sf):
+    """X8 over all seven layouts, from a page table bucketed by document: no grid is shuffled."""
+    from ..sources.page_store import bucketed_pages
     from .pipeline import extract
-    items, _, _ = extract(mixed_pages(spark, sf), cr.fixture_dictionary(spark))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    items, _, _ = extract(bucketed_pages(mixed_pages(spark, sf), buckets), cr.fixture_dictionary(spark))
     return item_table(items)
 
 

@@ -706,6 +706,9 @@ SELECT layout, doc_id, page_no, CASE WHEN error IS NULL THEN 'items' ELSE 'error
   UNION ALL SELECT 'register', doc_id, page_no, n, CASE WHEN n = 0 THEN {q(C.NO_IDS_ON_PAGE)} END
     FROM (SELECT *, CASE WHEN description IS NULL THEN 0 ELSE 1 END + CASE WHEN l_linenumber % 3 <> 0 THEN 1 ELSE 0 END
           AS n FROM paged)
+  UNION ALL SELECT 'declaration', doc_id, page_no, 1, NULL FROM paged
+  UNION ALL SELECT 'centurion_qty', doc_id, page_no, CASE WHEN description IS NULL THEN 0 ELSE 1 END,
+    CASE WHEN description IS NULL THEN {q(C.CENTURION_NO_SERIALS)} END FROM paged
   UNION ALL SELECT 'cells', doc_id, page_no, CASE WHEN description IS NULL THEN 0 ELSE 1 END,
     CASE WHEN description IS NULL THEN {q(C.NO_IDS_ON_PAGE)} END FROM paged)""")
 
@@ -787,9 +790,9 @@ _MIXED = f"""
 SELECT 'S-' || CAST(l_orderkey AS VARCHAR) AS doc_id, 'Sparrows' AS client,
   CASE WHEN l_orderkey % 97 = 0 THEN {q(C.REASON_NO_FIRST_PAGE)} END AS reason, count(*) AS n
 FROM lineitem GROUP BY l_orderkey HAVING l_orderkey % 97 <> 0 OR count(*) > 1
-UNION ALL SELECT DISTINCT 'C-' || CAST(l_orderkey AS VARCHAR), 'Centurion', NULL, 1 FROM lineitem
-UNION ALL SELECT DISTINCT 'H-' || CAST(l_orderkey AS VARCHAR), 'Centurion', NULL, 1 FROM lineitem
-UNION ALL SELECT DISTINCT 'F-' || CAST(l_orderkey AS VARCHAR), 'First Integrated', NULL, 1 FROM lineitem
+UNION ALL SELECT DISTINCT tag || CAST(l_orderkey AS VARCHAR), client, NULL, 1 FROM lineitem, (VALUES ('C-', 'Centurion'),
+  ('Q-', 'Centurion'), ('H-', 'Centurion'), ('R-', 'First Integrated'), ('F-', 'First Integrated'),
+  ('P-', 'First Integrated')) AS k(tag, client)
 UNION ALL SELECT 'D-' || CAST(doc_id AS VARCHAR), NULL,
   CASE WHEN {BLANK} THEN {q(C.REASON_BLANK)} ELSE {q(C.REASON_NO_CLIENT)} END, 1 FROM documents"""
 SQL["document_status_mixed"] = f"""
@@ -952,7 +955,13 @@ SQL["certificate_pipeline"] += f"""
 UNION ALL
 SELECT 'H-' || doc_id AS doc_id, {_ITEM_COLS} FROM ({SQL['extract_hendrik']})
 UNION ALL
-SELECT 'F-' || doc_id AS doc_id, {_ITEM_COLS} FROM ({SQL['extract_fi_cells']})"""
+SELECT 'F-' || doc_id AS doc_id, {_ITEM_COLS} FROM ({SQL['extract_fi_cells']})
+UNION ALL
+SELECT 'Q-' || doc_id AS doc_id, {_ITEM_COLS} FROM ({SQL['extract_centurion_qty']})
+UNION ALL
+SELECT 'R-' || doc_id AS doc_id, {_ITEM_COLS} FROM ({SQL['extract_fi_register']})
+UNION ALL
+SELECT 'P-' || doc_id AS doc_id, {_ITEM_COLS} FROM ({SQL['extract_fi_declaration']})"""
 
 
 def _sheet(src: str) -> str:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
-from ..operators.dictionary import Dictionary, nullif_empty, substring_rows, token_matches
+from ..operators.dictionary import Dictionary, nullif_empty, substring_hits, token_matches
 from ..operators.expand import DEFAULT_CHUNK, explode_ids
 from ..operators.reduce import last_wins_ids
 from . import messages as C
@@ -153,14 +153,7 @@ def _lookup_table(items: DataFrame, dictionary: Dictionary) -> DataFrame:
     hits = token_matches(texts, "_text", dictionary)
     sub_texts = items.where(F.col("lookup_mode") == "substring").select(
         F.col("lookup_desc").alias("_text")).where(F.col("_text").isNotNull()).distinct()
-    side = dictionary.model_side()
-    lengths = sorted({r[0] for r in side.select(F.length("_tok")).distinct().collect()})
-    if lengths:
-        sub = substring_rows(sub_texts, "_text", lengths).join(side, "_tok").groupBy("_text").agg(
-            F.min_by(F.struct("manufacturer", "model"), "ord").alias("_s"))
-        hits = hits.join(sub, "_text", "left")
-    else:
-        hits = hits.withColumn("_s", F.lit(None).cast("struct<manufacturer:string,model:string>"))
+    hits = hits.join(substring_hits(sub_texts, "_text", dictionary), "_text", "left")
     return hits
 
 

@@ -1,5 +1,13 @@
 """Driver contract: entry() runs, every query is registered with a name-matched oracle or is rows-only."""
 
+import os
+import shutil
+import subprocess
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
 def test_contract_keys():
@@ -11,6 +19,18 @@ def test_contract_keys():
     assert len(catalog.REGISTRY) >= 80
 
 
+@pytest.mark.parametrize("also", [(), ("corpus_pipeline.py",)])
+def test_without_the_training_data_folder(tmp_path, also):
+    """A copy without certloom/llm (and without the pipeline's module) still lists all other queries."""
+    copy = tmp_path / "repo"
+    shutil.copytree(ROOT, copy, ignore=lambda folder, names: [
+        n for n in names if n in (".git", "__pycache__", "llm", "spark-warehouse", *also)])
+    code = ("import __spark_entry__ as E; q, s = E.queries(), E.oracle_sql(); assert set(s) <= set(q); "
+            "assert len(q) >= 80 and not any(k.startswith('op') and k[2].isdigit() or k == 'pipeline' for k in q)")
+    done = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+
+
 def test_entry_runs(spark):
     import __spark_entry__ as E
     df = E.entry(spark)

@@ -148,3 +148,19 @@ def test_numbering_over_blocks(spark):
     a = number_rows(df, "doc", "pos", "rn", start=3, block=block)
     b = number_rows(df, "doc", "pos", "rn2", start=3, skew_safe=False)
     assert a.join(b, ["doc", "pos"]).where("rn = rn2").count() == df.count()
+
+
+def test_substring_lookup_with_many_keywords(spark):
+    """A long text and 10,000 keywords: rows follow the distinct grams, and only near candidates are verified."""
+    from certloom.operators.dictionary import Dictionary, gram_index, substring_lookup, text_grams
+    models = [(f"KW{i:05d}X", f"M{i}") for i in range(10_000)] + [("ab", "Two"), ("q", "One"), ("", "None"), ("Kw00007", "Late")]
+    d = Dictionary.from_rows(spark, [], models)
+    long = " ".join(f"word{i % 500} kw{i % 40:05d}y" for i in range(20_000))
+    texts = [(1, long), (2, long + " KW09999x"), (3, "kw00007x"), (4, "xxABxx"), (5, None), (6, ""), (7, "nothing"), (8, "Q")]
+    df = spark.createDataFrame(texts, "k int, t string")
+    got = {r.k: (r.manufacturer, r.model) for r in substring_lookup(df, "t", d).collect()}
+    assert got == {1: ("Late", "Kw00007"), 2: ("M9999", "KW09999X"), 3: ("M7", "KW00007X"), 4: ("Two", "ab"), 5: (None, None),
+                   6: (None, None), 7: (None, None), 8: ("One", "q")}
+    rows = text_grams(df.where("k = 1").withColumn("_id", F.lit("x")), "t", [1, 2, 3]).count()
+    assert rows < 5_000 < len(long)  # one row a distinct gram, not one a position and length
+    assert gram_index(d.model_side()).count() == 10_003
