@@ -29,8 +29,8 @@ rules(h, b, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'
 best AS (SELECT p.url, p.host, p.path, max(struct_pack(n := length(h || b), r := h || b, v := v)) AS x
          FROM (SELECT DISTINCT url, host, path FROM p) p
          JOIN rules ON (host = h OR host LIKE '%.' || h) AND starts_with(path, b) GROUP BY ALL),
-site AS (SELECT DISTINCT url, regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^(www|m)\.', '')
-             IN ('casino-win.example.com', 'spam-farm.example.com') AS listed FROM p)
+site AS (SELECT DISTINCT url, regexp_matches(regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^(www|m)\.', ''),
+             '^(casino-win|spam-farm|cheap-pills|free-bets|adult-x|ads-track)\.example\.(com|org|net)$') AS listed FROM p)
 SELECT p.page_id, p.host, p.path, x.r AS rule, coalesce(listed, false) AS listed,
        coalesce(x.v, CASE WHEN listed THEN 'block' END, 'allow') AS verdict
 FROM p LEFT JOIN best ON p.url IS NOT DISTINCT FROM best.url

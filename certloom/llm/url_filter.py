@@ -147,7 +147,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame, url_col: s
 # The rules and the listed sites of the registered query.
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block"))
-LISTED_SITES = ("casino-win.example.com", "spam-farm.example.com")
+LISTED_SITES = ("casino-win", "spam-farm", "cheap-pills", "free-bets", "adult-x", "ads-track")
+LISTED_ENDINGS = ("example.com", "example.org", "example.net")
 
 
 def digest(pages: DataFrame) -> DataFrame:
@@ -155,5 +156,6 @@ def digest(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     rules = spark.createDataFrame(list(RULES), "host string, path string, verdict string")
     url = canonical(F.col("url"))
-    listed = pages.select(url.alias("url")).where(F.regexp_extract("url", r"^[^/?]*", 0).isin(*LISTED_SITES))
+    listed = pages.select(url.alias("url")).where(F.regexp_extract("url", r"^[^/?]*", 0).isin(
+        *[f"{name}.{ending}" for name in LISTED_SITES for ending in LISTED_ENDINGS]))
     return judge_urls(pages.select("page_id", "url"), rules, listed)

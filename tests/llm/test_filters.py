@@ -174,6 +174,13 @@ def test_urls_all_kinds(spark, sf, n):
     assert sum(got.values()) == n
 
 
+def test_urls_query_lists_something(spark):
+    """The registered query's list is not empty on small tables."""
+    for sf, n in (("sf0.001", 3), ("sf0.01", 19)):
+        pages = spark.read.parquet(f"/root/testdata/{sf}/pages.parquet")
+        assert url_filter.digest(pages).where("listed and verdict is not null").count() == n
+
+
 def test_urls_empty(spark):
     pages = spark.createDataFrame([(1, "http://a.com/x")], "page_id long, url string")
     rules = spark.createDataFrame([], "host string, path string, verdict string")
