@@ -964,11 +964,20 @@ UNION ALL
 SELECT 'P-' || doc_id AS doc_id, {_ITEM_COLS} FROM ({SQL['extract_fi_declaration']})"""
 
 
+def _with_row(src: str) -> str:
+    """The same items with the grid row of their first appearance (register pages hold several items)."""
+    for a, b in (("w.first_page, w.first_idx", "w.first_page, w.first_row, w.first_idx"),
+                 ("'first_page': page_no, 'first_idx'", "'first_page': page_no, 'first_row': row_no, 'first_idx'"),
+                 ("id_number, first_page, first_idx", "id_number, first_page, first_row, first_idx")):
+        src = src.replace(a, b)
+    return src
+
+
 def _sheet(src: str) -> str:
     return f"""
-SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY first_page, first_idx) + 2 AS sheet_row,
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY first_page, first_row, first_idx) + 2 AS sheet_row,
   id_number AS "Id Number", errors AS "Errors" FROM ({src})"""
 
 
-SQL["stream_ingest"] = _sheet(SQL["certificate_pipeline"])
-SQL["stream_overwrite"] = _sheet(SQL["extract_sparrow"])
+SQL["stream_ingest"] = _sheet(_with_row(SQL["certificate_pipeline"]))
+SQL["stream_overwrite"] = _sheet(_with_row(SQL["extract_sparrow"]))
