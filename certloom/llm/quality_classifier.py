@@ -2,15 +2,19 @@
 
 Overlapping heuristic labellers vote good, bad or nothing on the rule statistics of each document.
 Expectation-maximisation over the counts of vote patterns (at most 3 ** labellers of them, counted
-over all documents) estimates each labeller's accuracy on good and on bad documents; the posterior of a document's pattern is its soft label.  A linear scorer over hashed
-byte n-grams is then trained on the soft labels of all documents: each task
-runs mini-batch steps over its rows, and the tasks' weights are averaged by rows.
-
-No given label is used.  Three scans of the texts, no shuffle of them.
-
-Defined results: null text counts as empty and gets the posterior and score of a text without words;
-rows that repeat an id are scored each by itself; an id may be null; other columns pass through
-whatever their names; an empty table gives an empty result.
+over all documents) estimates each labeller's accuracy on good and on bad documents; the posterior of
+a document's pattern is its soft label.  A linear scorer over hashed byte n-grams is then trained on the
+soft labels of all documents in ``rounds`` rounds: a round broadcasts a few weight vectors (steps of
+several lengths along one quasi-Newton direction) and sums the loss and gradient of each over all
+rows; the best one is where the next round starts.  The sums do not depend on how the rows are
+partitioned, nor does the result, but for the last digits of doubles.
+
+No given label is used.  The texts are read once, into a table of vote patterns and sparse gram counts
+(a few bytes a distinct gram) that the rounds and the scoring read; nothing but sums is shuffled.
+
+Defined results: null text counts as empty and gets the posterior and score of a text without words; rows that
+repeat an id are scored each by itself; an id may be null; other columns pass through whatever their names,
+but one named like a result column gives way to it; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from pyspark.sql import types as S
 from . import textops as T
 from .quality_rules import rule_statistics
 
-DIM, SIZES, ROWS, LENGTH = 8192, (3,), 64, 4.0
+DIM, SIZES, ROWS, LENGTH = 8192, (3,), 64, 4.0  # DIM: at most 2 ** 15, places are shorts
 _BYTES = np.arange(256, dtype=np.uint8)
 GOOD, BAD, NONE = 2, 1, 0
 
@@ -86,96 +90,206 @@ class LabelModel:
         self.known = dict(zip(patterns.tolist(), good.tolist(), strict=True))
 
     def posterior(self, v: np.ndarray) -> np.ndarray:
-        return np.array([self.known[p] for p in pattern(v).tolist()])
+        return self.posterior_of(pattern(v))
 
+    def posterior_of(self, patterns) -> np.ndarray:
+        return np.array([self.known[p] for p in patterns.tolist()])
 
-def features(buf, off) -> np.ndarray:
-    """Vectors of log n-gram counts, all of length ``LENGTH``."""
-    x = np.log1p(T.hashed_grams(buf, off, DIM, _BYTES, SIZES))
-    return x * (LENGTH / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
+class Grams:
+    """Sparse vectors of log n-gram counts, all of length ``LENGTH``, of the rows of a batch: lists of gaps
+    between the grams' places and of their counts."""
 
-class Scorer:
-    def __init__(self, weights: np.ndarray | None = None):
-        self.w = np.zeros(DIM + 1, np.float32) if weights is None else weights.astype(np.float32)
-        self.seen = np.full(DIM + 1, 1e-3, np.float32)
+    def __init__(self, gaps: pa.ListArray, counts: pa.ListArray):
+        self.rows = len(gaps)
+        size = np.diff(gaps.offsets.to_numpy())
+        self.row = np.repeat(np.arange(self.rows), size)
+        at = np.cumsum(gaps.flatten().to_numpy(), dtype=np.int64)
+        first = (np.cumsum(size) - size)[size > 0]
+        before = np.zeros(self.rows, np.int64)
+        before[size > 0] = np.concatenate(([0], at))[first]
+        self.at = at - before[self.row]
+        value = np.log1p(counts.flatten().to_numpy().astype(float))
+        norm = np.sqrt(np.bincount(self.row, value ** 2, self.rows))
+        self.value = value * (LENGTH / np.maximum(norm, 1e-9))[self.row]
+
+    def margins(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.value * w[self.at], self.rows) + w[DIM]
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(x @ self.w[:DIM] + self.w[DIM], -30, 30).astype(float)))
+    def totals(self, x: np.ndarray) -> np.ndarray:
+        """Sum of the vectors, each times its ``x``."""
+        return np.bincount(self.at, self.value * x[self.row], DIM)
 
-    def step(self, x: np.ndarray, y: np.ndarray, rate: float) -> None:
-        miss = (self.score(x) - y).astype(np.float32)
-        g = np.append(miss @ x, miss.sum()) / len(y)
-        self.seen += g * g
-        self.w -= rate * g / np.sqrt(self.seen)
 
+def gram_lists(column) -> tuple[pa.ListArray, pa.ListArray]:
+    """The lists of :class:`Grams` for a text column."""
+    gaps, counts, size = [], [], []
+    for _, buf, off in T.row_slices(column, ROWS):
+        x = T.hashed_grams(buf, off, DIM, _BYTES, SIZES)
+        row, at = np.nonzero(x)
+        gap = np.diff(at, prepend=0)
+        new = np.flatnonzero(np.diff(row, prepend=-1))
+        gap[new] = at[new]
+        gaps.append(gap.astype(np.int16))
+        counts.append(x[row, at].astype(np.int32))
+        size.append(np.bincount(row, minlength=len(off) - 1))
+    ends = np.concatenate(([0], np.cumsum(np.concatenate(size)))).astype(np.int32)
+    return (pa.ListArray.from_arrays(ends, np.concatenate(gaps)), pa.ListArray.from_arrays(ends, np.concatenate(counts)))
 
-def _posteriors(docs: DataFrame) -> LabelModel:
-    schema = pa.schema([("p", pa.int64()), ("n", pa.int64())])
+
+def sigmoid(m: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(m, -30, 30)))
+
+
+class Scorer:
+    def __init__(self, weights: np.ndarray):
+        self.w = weights
+
+    def score(self, x: Grams) -> np.ndarray:
+        return sigmoid(x.margins(self.w))
+
+
+def sums(x: Grams, y: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """For each column of ``weights``: gradient (DIM + 1) and logistic loss, summed over the rows; the last
+    column holds the sums of squared features and the number of rows."""
+    out = np.empty((DIM + 2, weights.shape[1] + 1))
+    for i, w in enumerate(weights.T):
+        m = x.margins(w)
+        miss = sigmoid(m) - y
+        out[:DIM, i], out[DIM, i] = x.totals(miss), miss.sum()
+        out[DIM + 1, i] = (np.logaddexp(0, m) - y * m).sum()
+    out[:DIM, -1], out[DIM:, -1] = np.bincount(x.at, x.value ** 2, DIM), len(y)
+    return out
+
+
+class Descent:
+    """Limited-memory quasi-Newton steps on the mean loss plus ``ridge`` / 2 times the squared weights;
+    each step picks the best of several lengths."""
+
+    STEPS = 2.0 ** -np.arange(0, 9, 2)
+
+    def __init__(self, ridge: float = 1e-4):
+        self.ridge = np.append(np.full(DIM, ridge), 0.0)
+        self.w, self.direction = np.zeros(DIM + 1), np.zeros(DIM + 1)
+        self.best, self.gradient, self.pairs, self.scale = np.inf, None, [], None
+
+    def candidates(self) -> np.ndarray:
+        if self.gradient is None:
+            return self.w[:, None]
+        return self.w[:, None] + self.STEPS * self.direction[:, None]
+
+    def take(self, total: np.ndarray) -> None:
+        """``total`` are the :func:`sums` of the candidates over all rows."""
+        n, tried = total[DIM + 1, -1], self.candidates()
+        if not n:
+            return
+        loss = total[DIM + 1, :-1] / n + (self.ridge[:, None] * tried ** 2).sum(axis=0) / 2
+        gradient = total[:DIM + 1, :-1] / n + self.ridge[:, None] * tried
+        i = int(np.argmin(loss))
+        if self.gradient is None:
+            self.scale = 1 / (total[:DIM + 1, -1] / (4 * n) + self.ridge + 1e-6)
+        elif loss[i] >= self.best:  # no length is better: start again at shorter ones
+            self.direction = self.direction * self.STEPS[-1] / 2
+            return
+        else:
+            s, g = tried[:, i] - self.w, gradient[:, i] - self.gradient
+            if s @ g > 0:
+                self.pairs.append((s, g))
+        self.w, self.gradient, self.best = tried[:, i], gradient[:, i], loss[i]
+        self.direction = -self._scaled(self.gradient)
+
+    def _scaled(self, g: np.ndarray) -> np.ndarray:
+        past = []
+        for s, y in reversed(self.pairs):
+            a = (s @ g) / (s @ y)
+            past.append(a)
+            g = g - a * y
+        g = g * self.scale
+        if self.pairs:
+            s, y = self.pairs[-1]
+            g = g * ((s @ y) / (y @ (self.scale * y)))
+        for (s, y), a in zip(self.pairs, reversed(past), strict=True):
+            g = g + s * (a - (y @ g) / (s @ y))
+        return g
+
+
+def _training_table(docs: DataFrame, text_col: str) -> DataFrame:
+    """(_row struct of the other columns, p vote pattern, g gaps, n counts) of every row, written once."""
+    T.prepare(docs.sparkSession)
+    rest = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c != text_col])
+    source = docs.select(F.col(f"`{text_col}`").alias("_t"), rest.alias("_row"))
+    schema = S.StructType([source.schema["_row"], S.StructField("p", S.LongType()),
+                           S.StructField("g", S.ArrayType(S.ShortType())),
+                           S.StructField("n", S.ArrayType(S.IntegerType()))])
 
     def scan(batches):
-        total = np.zeros(3 ** len(LABELLERS), np.int64)
         for b in batches:
-            for _, buf, off in T.text_slices(b.column(0)):
-                total += np.bincount(pattern(votes(rule_statistics(buf, off))), minlength=len(total))
-        p = np.flatnonzero(total)
-        yield T.batch(schema, p=p, n=total[p])
+            if b.num_rows:
+                p = [pattern(votes(rule_statistics(buf, off))) for _, buf, off in T.row_slices(b.column(0), ROWS)]
+                yield pa.RecordBatch.from_arrays([b.column(1), pa.array(np.concatenate(p)), *gram_lists(b.column(0))],
+                                                 names=schema.names)
 
-    rows = docs.select("_t").mapInArrow(scan, "p long, n long").groupBy("p").agg(F.sum("n").alias("n")).orderBy(
-        "p").collect()  # at most 3 ** labellers
-    return LabelModel(np.array([r.p for r in rows], np.int64), np.array([r.n for r in rows], np.int64))
+    return T.materialize(source.mapInArrow(scan, schema))
 
 
-def fit(docs: DataFrame, text_col: str = "text", epochs: int = 6, rate: float = 0.3) -> tuple[LabelModel, Scorer]:
-    T.prepare(docs.sparkSession)
-    d = docs.select(F.col(f"`{text_col}`").alias("_t"))
-    labels = _posteriors(d)
-    shared = docs.sparkSession.sparkContext.broadcast(labels)
-    schema = pa.schema([("i", pa.int32()), ("w", pa.float64()), ("n", pa.int64())])
+def fit(docs: DataFrame, text_col: str = "text", rounds: int = 16) -> tuple[LabelModel, Scorer]:
+    """The label model and the scorer, of all rows of ``docs``."""
+    return _fit(_training_table(docs.select(text_col), text_col), rounds)
+
+
+def _fit(table: DataFrame, rounds: int) -> tuple[LabelModel, Scorer]:
+    rows = table.groupBy("p").agg(F.count("*").alias("n")).orderBy("p").collect()  # at most 3 ** labellers
+    labels = LabelModel(np.array([r.p for r in rows], np.int64), np.array([r.n for r in rows], np.int64))
+    descent = Descent()
+    for _ in range(rounds if rows else 0):
+        descent.take(_summed(table, labels, descent.candidates()))
+    return labels, Scorer(descent.w)
 
-    def train(batches):
-        scorer, n = Scorer(), 0
+
+def _summed(table: DataFrame, labels: LabelModel, weights: np.ndarray) -> np.ndarray:
+    """:func:`sums` over all rows."""
+    shared = table.sparkSession.sparkContext.broadcast((labels, weights))
+    n = weights.shape[1] + 1
+
+    def scan(batches):
+        labels, weights = shared.value
+        total, seen = np.zeros((DIM + 2, n)), False
         for b in batches:
-            for _, buf, off in T.row_slices(b.column(0), ROWS):
-                x, y = features(buf, off), shared.value.posterior(votes(rule_statistics(buf, off)))
-                for _ in range(epochs):
-                    scorer.step(x, y, rate)
-                n += len(y)
-        if n:
-            i = np.arange(DIM + 1, dtype=np.int32)
-            yield T.batch(schema, i=i, w=scorer.w.astype(float) * n, n=np.full(DIM + 1, n))
-
-    rows = d.mapInArrow(train, "i int, w double, n long").groupBy("i").agg(
-        (F.sum("w") / F.sum("n")).alias("w")).collect()  # DIM + 1 rows
-    weights = np.zeros(DIM + 1)
+            if b.num_rows:
+                total += sums(Grams(b.column(1), b.column(2)), labels.posterior_of(b.column(0)), weights)
+                seen = True
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(DIM + 2, dtype=np.int32)),
+                                              pa.array(list(total), pa.list_(pa.float64()))], names=["i", "v"])
+
+    rows = table.select("p", "g", "n").mapInArrow(scan, "i int, v array<double>").groupBy("i").agg(
+        *[F.sum(F.col("v")[j]).alias(f"v{j}") for j in range(n)]).collect()  # DIM + 2 rows
+    shared.unpersist()
+    out = np.zeros((DIM + 2, n))
     for r in rows:
-        weights[r.i] = r.w
-    return labels, Scorer(weights)
+        out[r[0]] = r[1:]
+    return out
 
 
-def classify(docs: DataFrame, text_col: str = "text", threshold: float = 0.5, out_col: str = "quality") -> DataFrame:
+def classify(docs: DataFrame, text_col: str = "text", threshold: float = 0.5, out_col: str = "quality",
+             rounds: int = 16) -> DataFrame:
     """``docs`` without the text plus ``quality``: p_weak (posterior of the votes), score (of the
-    trained scorer) and kept (score at least ``threshold``)."""
-    labels, scorer = fit(docs, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast((labels, scorer))
-    keep = [c for c in docs.columns if c != text_col]
-    source = docs.select(F.col(f"`{text_col}`").alias("_t"), F.struct(F.lit(0).alias("_"), *[
-        F.col(f"`{c}`") for c in keep]).alias("_row"))
-    schema = S.StructType([source.schema["_row"], S.StructField("p_weak", S.DoubleType()),
+    trained scorer) and kept (score at least ``threshold``).  """
+    keep = T.beside(docs.columns, text_col, out_col)
+    table = _training_table(docs.select(text_col, *[F.col(f"`{c}`") for c in keep]), text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(_fit(table, rounds))
+    schema = S.StructType([table.schema["_row"], S.StructField("p_weak", S.DoubleType()),
                            S.StructField("score", S.DoubleType())])
 
     def scan(batches):
         labels, scorer = shared.value
         for b in batches:
-            weak, score = [], []
-            for _, buf, off in T.row_slices(b.column(0), ROWS):
-                weak.append(labels.posterior(votes(rule_statistics(buf, off))))
-                score.append(scorer.score(features(buf, off)))
-            if weak:
-                yield pa.RecordBatch.from_arrays([b.column(1), pa.array(np.concatenate(weak)),
-                                                  pa.array(np.concatenate(score))], names=schema.names)
-
-    out = source.mapInArrow(scan, schema)
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), pa.array(labels.posterior_of(b.column(1))),
+                     pa.array(scorer.score(Grams(b.column(2), b.column(3))))], names=schema.names)
+
+    out = table.mapInArrow(scan, schema)
     return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in keep],
                       F.struct("p_weak", "score", (F.col("score") >= threshold).alias("kept")).alias(out_col))
 
