@@ -68,6 +68,11 @@ def clean_up(spark: SparkSession) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def beside(columns: list[str], *new: str) -> list[str]:
+    """The columns that stay beside result columns: those of the same name, in any case, are replaced."""
+    return [c for c in columns if c.lower() not in {n.lower() for n in new}]
+
+
 def separators(*ranges: tuple[int, int]) -> np.ndarray:
     table = np.zeros(256, bool)
     for a, b in ranges:
@@ -190,6 +195,21 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(x[:n], x[w - step:w - step + n]) if step < w else x[:n]
 
 
+MIN_BLOCK = 1 << 20
+
+
+def leftmost_min(x: np.ndarray, w: int) -> np.ndarray:
+    """Index of the smallest of every ``w`` consecutive hashes, by their upper 36 bits; the leftmost of
+    equal ones.  The same bits decide however many values there are."""
+    bits = U64(28)  # for the place within a block
+    out = np.empty(max(len(x) - w + 1, 0), np.int64)
+    for a in range(0, len(out), MIN_BLOCK):
+        part = x[a:a + MIN_BLOCK + w - 1]
+        low = sliding_min((part >> bits << bits) | np.arange(len(part), dtype=U64), w)
+        out[a:a + MIN_BLOCK] = (low & ((U64(1) << bits) - U64(1))).astype(np.int64) + a
+    return out
+
+
 def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Concatenated [start, start + count) integer ranges."""
     counts = np.asarray(counts, np.int64)
