@@ -45,6 +45,38 @@ class Windows:
         ws, we, woff = T.word_spans(buf, off, T.BLANKS)
         return ws, we, woff, T.word_hashes(buf, ws, we)
 
+    def slices(self, column, limit: int = T.SLICE_BYTES):
+        """(first row, first token, byte buffer, offsets): the slices of a column.  A text longer than
+        ``limit`` comes in pieces that overlap, so that each of its windows is whole in just one."""
+        for a, buf, off in T.text_slices(column, limit):
+            if len(off) > 2 or len(buf) <= limit:
+                yield a, 0, buf, off
+                continue
+            for first, part in self._pieces(buf, limit):
+                yield a, first, part, np.array([0, len(part)])
+
+    def _pieces(self, buf, limit):
+        if self.unit == "byte":
+            for lo in range(0, max(len(buf) - self.size + 1, 1), limit):
+                yield lo, buf[lo:lo + limit + self.size - 1]
+            return
+        lo, first, reach = 0, 0, limit
+        while True:
+            hi = lo + reach
+            while hi < len(buf) and not T.BLANKS[buf[hi]]:
+                at = np.flatnonzero(T.BLANKS[buf[hi:hi + limit]])
+                hi += int(at[0]) if len(at) else limit
+            hi = min(hi, len(buf))
+            ws, _, _ = T.word_spans(buf[lo:hi], np.array([0, hi - lo]), T.BLANKS)
+            if hi < len(buf) and len(ws) < self.size:
+                reach *= 2
+                continue
+            yield first, buf[lo:hi]
+            if hi == len(buf):
+                return
+            done = len(ws) - self.size + 1
+            lo, first, reach = lo + int(ws[done]), first + done, limit
+
     def runs(self, buf, off):
         """(document index, packed place, anchor, content hash) of each run.  The place holds the first
         window within the document, whether the anchor gram recurs in the run (periodic text may repeat
@@ -54,20 +86,17 @@ class Windows:
         empty = [np.zeros(0, np.int64)] * 2 + [np.zeros(0, T.U64)] * 2
         if n < size:
             return empty
-        sums = T.span_sums(values)
         at = np.arange(n - k + 1)
-        grams = T.span_hash(sums, at, at + k)
+        grams = T.span_hash(T.span_sums(values), at, at + k)
         if self.unit == "word":  # rare grams make better anchors: prefer long ones
             length = np.minimum(we[k - 1:] - ws[:n - k + 1], 255).astype(T.U64)
             grams = ((T.U64(255) - length) << T.U64(56)) | (grams >> T.U64(8))
-        # the low bits hold the place: the leftmost of equal grams is the anchor
-        bits = T.U64(28 if n < 1 << 28 else 40)
-        low = T.sliding_min((grams >> bits << bits) | at.astype(T.U64), size - k + 1)
+        lowest = T.leftmost_min(grams, size - k + 1)
         counts = np.maximum(np.diff(toff) - size + 1, 0)
         s = T.ranges(toff[:-1], counts)
         if not len(s):
             return empty
-        place = (low[s] & ((T.U64(1) << bits) - T.U64(1))).astype(np.int64)
+        place = lowest[s]
         v = grams[place]
         moved = np.ones(len(s), bool)
         moved[1:] = place[1:] != place[:-1]
@@ -88,7 +117,6 @@ class Windows:
         relative = start - toff[doc]
         return doc, (relative << 16) | (again.astype(np.int64) << 15) | length, v[first], seg
 
-
     def cut(self, buf, off, doc, start, n) -> list[bytes]:
         """The text of each run of ``n`` windows from window ``start`` of its document."""
         raw, end = buf.tobytes(), start + n + self.size - 1
@@ -125,12 +153,12 @@ def scan_runs(docs: DataFrame, how: Windows, full: bool, across_documents: bool
     def scan(batches):
         for b in batches:
             keys = b.column(0).to_numpy(zero_copy_only=False)
-            for a, buf, off in T.text_slices(b.column(1)):
+            for a, first, buf, off in how.slices(b.column(1)):
                 doc, place, h, seg = how.runs(buf, off)
                 if len(h):
                     cols = {"h": h.view(np.int64)}
                     if full:
-                        cols |= {"k": keys[a + doc], "seg": seg.view(np.int64), "p": place}
+                        cols |= {"k": keys[a + doc], "seg": seg.view(np.int64), "p": place + (first << 16)}
                     else:
                         cols["k"] = keys[a + doc] if across_documents else 1 + (place >> 15 & 1)
                     yield T.batch(schema, **cols)

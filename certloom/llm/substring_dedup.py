@@ -8,10 +8,10 @@ automaton of the earlier documents for matching statistics (longest match ending
 added to it.  Equal windows have equal anchors, so each window meets all its possible copies; spans
 of ``size`` words or more that occur earlier are removed, the first copy stays.
 
-Defined results: null text has no words and stays null; empty texts and texts under ``size`` words
-lose nothing; rows that repeat a document id, or have none, are ordered by (id, text) and count as
-documents of their own; other columns pass through whatever their names; an empty table gives an
-empty result.
+Defined results: null text has no words and stays null; empty texts and texts under ``size`` words lose
+nothing; rows that repeat a document id, or have none, are ordered by (id, text) and count as documents of
+their own; other columns pass through whatever their names, but one named like a result column gives way to
+it; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -156,7 +156,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     joined = packed.join(spans.hint("shuffle_hash"), "_k", "left").select("_k", "_z", "spans", "_row")
     out = joined.mapInArrow(cut, schema)
-    cols = [F.col("_t").alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
+    cols = [F.col("_t").alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c)
+            for c in T.beside(docs.columns, out_col)]
     repeats = F.struct(F.col("_n").alias("n_words"), F.col("_cut").alias("n_removed"), F.col("_spans").alias("spans"))
     return out.select(*cols, repeats.alias(out_col))
 

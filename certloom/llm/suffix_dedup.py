@@ -8,10 +8,10 @@ the other side give later matches.  Factors are compared up to ``size`` bytes, t
 matters.  ``keep="first"`` removes later copies and keeps the first; ``keep="none"`` removes every
 byte of a repeated window, the first copy too.
 
-Defined results: null text counts as empty; texts under ``size`` bytes lose nothing;
-rows that repeat an id, or have none, are ordered by (id, text) and count as documents of their own;
-other columns pass through whatever their names; an empty table gives an empty result.  A cut may
-fall inside a UTF-8 character, so the kept text is a binary column.
+Defined results: null text counts as empty; texts under ``size`` bytes lose nothing; rows that repeat an id,
+or have none, are ordered by (id, text) and count as documents of their own; other columns pass through
+whatever their names, but one named like a result column gives way to it; an empty table gives an empty
+result. A cut may fall inside a UTF-8 character, so the kept text is a binary column.
 """
 
 from __future__ import annotations
@@ -165,7 +165,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     joined = packed.join(spans.hint("shuffle_hash"), "_k", "left").select("_z", "spans", "_row")
     out = joined.mapInArrow(cut, schema)
-    cols = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c != text_col]
+    cols = [F.col(f"_row.`{c}`").alias(c) for c in T.beside(docs.columns, text_col, out_col)]
     repeats = F.struct(F.col("_n").alias("n_bytes"), F.col("_cut").alias("n_removed"),
                        F.col("_spans").alias("spans"), F.col("_kept").alias("kept"))
     return out.select(*cols, repeats.alias(out_col))
