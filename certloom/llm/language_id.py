@@ -8,10 +8,11 @@ and is ``rejected`` where that cosine is under the floor its language's own docu
 Frequencies cover all training rows.  Centroids are fitted on about ``max_fit_rows`` rows per
 language, chosen by a hash of the id (all rows of a smaller language).
 
-Defined results: null text, or text without a letter, is ``und`` with score 0; rows without a
-language or an id are not learned from, but predicted; without training rows everything is ``und``;
-rows that repeat an id are predicted each by itself; other columns pass through whatever their
-names, save that the results replace columns of their names; an empty table gives an empty result.
+Defined results: null text, or text without a letter, is ``und`` with score 0; rows without a language or an
+id are not learned from, but predicted; without training rows everything is ``und``; rows that repeat an id
+are predicted each by itself; other columns pass through whatever their names, but one named like a result
+column gives way to it, save that the results replace columns of their names; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -135,7 +136,7 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
     """``docs`` without the text, plus lang_pred, score and rejected."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # DIM floats a centroid
     new = ("lang_pred", "score", "rejected")
-    keep = [c for c in docs.columns if c != text_col and c not in new]
+    keep = T.beside(docs.columns, text_col, *new)
     d = docs.select(F.col(f"`{text_col}`").alias("_t"), F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row")
                     if keep else F.lit(None).cast("struct<_:int>").alias("_row"))
     schema = S.StructType([d.schema["_row"], S.StructField("lang_pred", S.StringType()),

@@ -14,10 +14,11 @@ with nothing between: all words of a template of fewer than ``SHORT``, else its
 Templates are an argument of at most ``MAX_TEMPLATE_WORDS`` words in all, so the index that tasks get
 is bounded; documents are scanned whole, one by one, and never shuffled.
 
-Defined results: null and empty texts have no words and no match; a template of fewer than ``window``
-words is found by its whole hash; overlapping matches of one template keep the best (the earlier of
-equals); an opening part (``PART_OF``) is not reported where the whole text is; rows that repeat an id, or have none, are scanned each by itself; other columns pass through
-whatever their names; an empty table gives an empty result.
+Defined results: null and empty texts have no words and no match; a template of fewer than ``window`` words is
+found by its whole hash; overlapping matches of one template keep the best (the earlier of equals); an opening
+part (``PART_OF``) is not reported where the whole text is; rows that repeat an id, or have none, are scanned
+each by itself; other columns pass through whatever their names, but one named like a result column gives way
+to it; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -310,7 +311,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, text
                                               pa.array(matches, match_type)], names=schema.names)
 
     out = source.mapInArrow(scan, schema)
-    return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns],
+    return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in T.beside(docs.columns, out_col)],
                       F.struct("n_words", "matches").alias(out_col))
 
 

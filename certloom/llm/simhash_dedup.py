@@ -260,7 +260,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     distance: int = 3, hot_key: int = 20_000) -> DataFrame:
     """(the columns of ``docs`` but the text, fingerprint, component_id, first): ``component_id`` is the
     smallest id reachable over links of at most ``distance`` bits, ``first`` marks one row of each
-    component."""
+    component.  A column of ``docs`` named like one of these gives way to it."""
     keyed, by_id = A.keyed(docs, id_col, text_col)
     out = _labelled(keyed, shingle, distance, hot_key)
     if by_id:
@@ -268,7 +268,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     else:
         out = T.materialize(out)
         out = out.join(out.groupBy("c").agg(F.min(f"_row.`{id_col}`").alias("component_id")), "c")
-    cols = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c != text_col]
+    cols = [F.col(f"_row.`{c}`").alias(c)
+            for c in T.beside(docs.columns, text_col, "fingerprint", "component_id", "first")]
     fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return out.select(*cols, fingerprint, "component_id", (F.col("_k") == F.col("c")).alias("first"))
 

@@ -91,9 +91,10 @@ def build_filter(keys: DataFrame, max_bits: int) -> BlockedBloom:
 
 def judge_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame, url_col: str = "url",
                keep: tuple[str, ...] = ("page_id",), max_bits: int = 1 << 26) -> DataFrame:
-    """``keep`` columns plus host, path, rule, listed and verdict.  ``rules`` has (host, path, verdict),
-    ``listed`` has canonical URLs in its first column."""
+    """``keep`` columns (but those named like a result) plus host, path, rule, listed and verdict.  ``rules``
+    has (host, path, verdict), ``listed`` has canonical URLs in its first column."""
     T.prepare(pages.sparkSession)
+    keep = T.beside(list(keep), "host", "path", "rule", "listed", "verdict")
     rule_keys = rules.where("host is not null and path is not null").groupBy("host", "path").agg(
         F.max(F.col("verdict")).alias("verdict")).select(
         F.concat(F.lit("r "), "host", "path").alias("key"), F.concat("host", "path").alias("rule"), "verdict",

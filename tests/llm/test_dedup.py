@@ -121,6 +121,70 @@ def test_odd_inputs(odd, nothing):
         assert op(nothing).count() == 0
 
 
+def test_leftmost_min(monkeypatch):
+    rng = np.random.default_rng(0)
+    x = rng.integers(0, 4, 500).astype(np.uint64) << np.uint64(40)
+    for block in (1 << 20, 7):
+        monkeypatch.setattr(T, "MIN_BLOCK", block)
+        for w in (1, 5, 64):
+            assert T.leftmost_min(x, w).tolist() == [i + int(np.argmin(x[i:i + w])) for i in range(len(x) - w + 1)]
+    assert len(T.leftmost_min(x[:3], 5)) == 0
+
+
+@pytest.mark.parametrize("unit", ["byte", "word"])
+@pytest.mark.parametrize("limit", [1, 50, 400])
+def test_pieces_hold_each_window_once(unit, limit):
+    import pyarrow as pa
+
+    from certloom.llm.anchors import Windows
+    rng = np.random.default_rng(1)
+    texts = ["", "ab c", None, "".join(rng.choice(list("ab \né"), 900)), "x" * 300, "a " * 300, " " + "word\n" * 70]
+    how = Windows(unit, 13, 3)
+    for i, t in enumerate(texts):
+        raw = (t or "").encode()
+        tokens = brute.words(t) if unit == "word" else [raw[j:j + 1] for j in range(len(raw))]
+        places = []
+        for row, first, buf, off in how.slices(pa.array(texts), limit):
+            for doc, place in zip(*how.runs(buf, off)[:2]):
+                if row + doc == i:
+                    start = first + (int(place) >> 16)
+                    n = int(place) & 0x7FFF
+                    text = how.cut(buf, off, np.array([doc]), np.array([int(place) >> 16]), np.array([n]))[0]
+                    want = tokens[start:start + n + 12]
+                    assert (text.split() == want) if unit == "word" else text == b"".join(want)
+                    places += range(start, start + n)
+        assert sorted(places) == list(range(max(len(tokens) - 12, 0)))
+
+
+def test_long_texts(spark):
+    """op3 and op5 on texts longer than a piece, against brute force."""
+    rng = np.random.default_rng(6)
+    words = np.array(["".join(rng.choice(list("abcdefé"), 6)) for _ in range(3000)])
+    a, b = (" ".join(rng.choice(words, 55_000)) for _ in range(2))
+    docs = [(0, a), (1, b[:150_000] + a[120_000:300_000] + b[150_000:]), (2, "y " * 150_000), (3, a[1:])]
+    assert all(len(t) > T.SLICE_BYTES for _, t in docs)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    out = suffix_dedup.remove_repeats(df, size=24, keep="none")
+    got = {r.doc_id: (r.repeats.n_bytes, r.repeats.n_removed, len(r.repeats.spans), brute.sha(bytes(r.repeats.kept)))
+           for r in out.collect()}
+    assert got == brute.bytes_removed(docs, 24)
+    assert rows(substring_dedup.digest(df), "doc_id", "n_words", "n_removed", "kept_sha256") == brute.words_removed(docs)
+
+
+@pytest.mark.parametrize("op,new", [
+    (substring_dedup.remove_repeats, ["repeats"]), (suffix_dedup.remove_repeats, ["repeats"]),
+    (simhash_dedup.near_duplicates, ["fingerprint", "component_id", "first"])])
+def test_clashing_result_names(spark, op, new):
+    """A column named like a result gives way to it."""
+    df = spark.createDataFrame([(1, "a b", "x", "y", "z", "u", "v")],
+                               "doc_id long, text string, Repeats string, fingerprint string, FIRST string, "
+                               "component_id string, other string")
+    out = op(df)
+    names = [c.lower() for c in out.columns]
+    assert len(set(names)) == len(names) and out.columns[-len(new):] == new
+    assert out.select("doc_id", "other", *new).first()[1] == "v"
+
+
 def test_text_buffer():
     import pyarrow as pa
     buf, off = T.text_buffer(pa.array(["ab", None, "", "é"]).slice(1))

@@ -4,12 +4,15 @@ import re
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
 from certloom.llm import (
     decontamination, language_id, license_scan, quality_classifier, quality_rules, sql, url_filter)
+from certloom.llm import textops as T
+from certloom.llm.pieces import text_pieces
 
 ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi"
 
@@ -65,6 +68,37 @@ def test_contamination_repeated_item(spark):
     assert [r.contamination.items for r in got] == [sorted(str(i) for i in range(1, 40)), []]
 
 
+def test_contamination_shared_passage(spark):
+    """A text of items that share a passage costs by its words, not by pairs of places and items."""
+    bench = [(i, f"{ITEM} w{i} x{i} y{i}") for i in range(3000)]
+    index = decontamination.ItemIndex([str(i) for i, _ in bench], [t for _, t in bench], 13, 5)
+    values, woff = decontamination.words_of(*T.text_buffer(pa.array([" ".join(t for _, t in bench)])))
+    s, e, window = index.hits(values, woff)
+    assert len(s) == 5 * 3000 and len(np.unique(s)) == len(s)
+    assert index.items_of(window) == [str(i) for i in range(3000)]
+    docs = spark.createDataFrame([(0, " ".join(t for _, t in bench)), (1, ITEM), (2, "x y z")], "doc_id long, text string")
+    got = contaminated(decontamination.digest(docs, spark.createDataFrame(bench, "item_id long, text string")))
+    assert got == {i: brute.contamination(t, bench) for i, t in ((0, " ".join(t for _, t in bench)), (1, ITEM), (2, "x y z"))}
+
+
+@pytest.mark.parametrize("limit", [1, 40, 300])
+def test_contamination_pieces(limit):
+    """A text scanned in pieces gives what it gives whole."""
+    rng = np.random.default_rng(4)
+    parts = [ITEM, "short item", "Lone", ITEM[10:], "zu " * 9, "é, " * 4, "x" * 90]
+    texts = [" ".join(rng.choice(parts, 30)) for _ in range(4)]
+    pairs = [(1, ITEM), (2, "short item"), (3, "lone"), (4, "zu " * 14), (5, "é " * 3 + ITEM)]
+    index = decontamination.ItemIndex([str(i) for i, _ in pairs], [t for _, t in pairs], 13, 5)
+    found = {}
+    for a, last, buf, off in text_pieces(pa.array(texts), decontamination.CUT, limit):
+        found.setdefault(a, decontamination.Found()).piece(decontamination.words_of(buf, off)[0], index)
+    for i, t in enumerate(texts):
+        x = found[i].state(index, None)
+        hit = sum(y["e"] - y["s"] for y in x["spans"])
+        want = brute.contamination(t, pairs)
+        assert (x["n"], hit, len(x["items"]), brute.sha(",".join(x["items"]).encode())) == want[:4]
+
+
 def test_contamination_odd(spark, odd, nothing, items):
     assert decontamination.find_contamination(odd, items).columns == [*odd.columns, "contamination"]
     assert decontamination.find_contamination(odd, items).count() == odd.count()
@@ -120,6 +154,50 @@ def test_label_model():
     assert ((model.posterior(v) > 0.5) == good).mean() > 0.95
 
 
+def test_label_model_brute():
+    """The model over counted patterns equals EM over the single documents."""
+    rng = np.random.default_rng(2)
+    m = quality_classifier.LabelModel
+    v = rng.integers(0, 3, (400, len(quality_classifier.LABELLERS)))
+    p, n = np.unique(quality_classifier.pattern(v), return_counts=True)
+    counted, single = m(p, n, rounds=7), m(quality_classifier.pattern(v), np.ones(len(v)), rounds=7)
+    assert np.allclose(counted.accuracy, single.accuracy) and np.allclose(counted.posterior(v), single.posterior(v))
+
+
+def test_scorer_brute(spark, documents):
+    """Sparse sums equal those of dense vectors, and the rounds lower the loss to near a plain optimum."""
+    texts = [r.text for r in documents.collect()] + [None, "", "a"]
+    buf, off = T.text_buffer(pa.array(texts))
+    x = np.log1p(T.hashed_grams(buf, off, quality_classifier.DIM, np.arange(256, dtype=np.uint8), (3,)).astype(float))
+    x *= quality_classifier.LENGTH / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    grams = quality_classifier.Grams(*quality_classifier.gram_lists(pa.array(texts)))
+    rng = np.random.default_rng(0)
+    w, y = rng.normal(0, 0.1, (quality_classifier.DIM + 1, 2)), rng.random(len(texts))
+    got = quality_classifier.sums(grams, y, w)
+    margin = x @ w[:-1] + w[-1]
+    miss = 1 / (1 + np.exp(-margin)) - y[:, None]
+    assert np.allclose(got[:-2, :-1], x.T @ miss) and np.allclose(got[-2, :-1], miss.sum(axis=0))
+    assert np.allclose(got[-1, :-1], -(y[:, None] * -np.logaddexp(0, -margin)
+                                       + (1 - y[:, None]) * -np.logaddexp(0, margin)).sum(axis=0))
+    assert np.allclose(got[:-2, -1], (x ** 2).sum(axis=0)) and got[-1, -1] == len(texts)
+    labels, scorer = quality_classifier.fit(documents)
+    y = labels.posterior(quality_classifier.votes(quality_rules.rule_statistics(buf, off))[:-3])
+    grams = quality_classifier.Grams(*quality_classifier.gram_lists(pa.array(texts[:-3])))
+    loss = lambda w: quality_classifier.sums(grams, y, w[:, None])[-1, 0] / len(y)
+    w = np.zeros(quality_classifier.DIM + 1)
+    for _ in range(300):  # plain gradient descent
+        w -= 0.2 * quality_classifier.sums(grams, y, w[:, None])[:-1, 0] / len(y)
+    assert loss(scorer.w) < loss(w) < loss(w * 0)
+
+
+def test_classifier_partitions(documents):
+    got = [{r.doc_id: r for r in quality_classifier.digest(documents.repartition(n)).collect()} for n in (1, 4, 64)]
+    for other in got[1:]:
+        assert other.keys() == got[0].keys()
+        assert all(other[i].kept == r.kept and other[i].p_weak == r.p_weak and abs(other[i].score - r.score) < 1e-9
+                   for i, r in got[0].items())
+
+
 def test_classifier_odd(odd, nothing):
     out = quality_classifier.classify(odd)
     assert out.columns == [c for c in odd.columns if c != "text"] + ["quality"] and out.count() == odd.count()
@@ -290,3 +368,17 @@ def test_licenses_near_misses(spark):
     own = spark.createDataFrame([(0, "one two three four five"), (1, "one two three four six")], "doc_id long, text string")
     found = license_scan.scan_licenses(own, {"t": "one two three four six"}).collect()
     assert {r.doc_id: len(r.license.matches) for r in found} == {0: 0, 1: 1}
+
+
+def test_clashing_result_names(spark, items):
+    """A column named like a result gives way to it."""
+    df = spark.createDataFrame([(1, "a b", "x", "y", "z", "http://a.com/", "p", "q")],
+                               "doc_id long, text string, License string, quality string, contamination string, "
+                               "url string, host string, Verdict string")
+    rules = spark.createDataFrame(list(url_filter.RULES), "host string, path string, verdict string")
+    for out, new in ((license_scan.scan_licenses(df), ["license"]), (quality_classifier.classify(df), ["quality"]),
+                     (decontamination.find_contamination(df, items), ["contamination"]),
+                     (url_filter.judge_urls(df, rules, df.select("url").limit(0), keep=tuple(df.columns)), ["host", "verdict"])):
+        names = [c.lower() for c in out.columns]
+        assert len(set(names)) == len(names) and set(new) <= set(out.columns)
+        assert out.select("doc_id", *new).first()[0] == 1
