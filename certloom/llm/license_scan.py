@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
 from . import textops as T
-from .decontamination import ItemIndex, winnow, words_of
+from .decontamination import words_of
 
 MAX_TEMPLATE_WORDS = 1_000_000
 SHORT = 20
@@ -153,15 +153,39 @@ def _folded(words: np.ndarray) -> np.ndarray:
     return np.where(words == LICENCE, LICENSE, words)
 
 
-class TemplateIndex(ItemIndex):
-    """Inverted index of template fingerprints, and the alignment."""
+def winnow(values: np.ndarray, woff: np.ndarray, size: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (word index) and hashes of the fingerprints: the leftmost smallest k-gram hash of every
+    window of ``size`` words."""
+    if len(values) < size:
+        return np.zeros(0, np.int64), np.zeros(0, T.U64)
+    at = np.arange(len(values) - k + 1)
+    grams = T.span_hash(T.span_sums(values), at, at + k)
+    places = T.leftmost_min(grams, size - k + 1)[T.ranges(woff[:-1], np.maximum(np.diff(woff) - size + 1, 0))]
+    if len(places):
+        places = places[np.concatenate(([True], places[1:] != places[:-1]))]
+    return places, grams[places]
+
+
+class TemplateIndex:
+    """Inverted index of template fingerprints (bounded by ``MAX_TEMPLATE_WORDS``), and the alignment."""
 
     def __init__(self, templates: dict[str, str], window: int, k: int, band: int, min_coverage: float,
                  deciding: dict[str, tuple[str, ...]]):
         names = sorted(templates)
-        super().__init__(names, [templates[n] for n in names], window, k)
+        self.size, self.k, self.ids = window, k, names
+        self.words, self.off = words_of(*T.text_buffer(pa.array([templates[n] for n in names], pa.string())))
         if len(self.words) > MAX_TEMPLATE_WORDS:
             raise ValueError(f"more than {MAX_TEMPLATE_WORDS} template words")
+        places, hashes = winnow(self.words, self.off, window, k)
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.places = hashes[order], places[order]
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        length, sums = np.diff(self.off), T.span_sums(self.words)
+        for n in np.unique(length[(length > 0) & (length < window)]).tolist():
+            items = np.flatnonzero(length == n)
+            h = T.span_hash(sums, self.off[items], self.off[items] + n)
+            order = np.argsort(h, kind="stable")
+            self.short[n] = h[order], items[order]
         self.band, self.min_coverage = band, min_coverage
         self.phrases = []
         for i, n in enumerate(names):
@@ -169,6 +193,13 @@ class TemplateIndex(ItemIndex):
             told = [_words(x) for x in deciding.get(n, ())] + ([whole] if len(whole) < SHORT else [])
             self.phrases.append([_folded(x) for x in told])
 
+    @staticmethod
+    def _pairs(sorted_hashes, hashes):
+        """(row of ``hashes``, entry of ``sorted_hashes``) of all equal pairs."""
+        a = np.searchsorted(sorted_hashes, hashes, "left")
+        n = np.searchsorted(sorted_hashes, hashes, "right") - a
+        return np.repeat(np.arange(len(hashes)), n), T.ranges(a, n)
+
     def decided(self, words, item: int) -> bool:
         """Whether every deciding phrase of the template is in ``words``."""
         words = _folded(words)
