@@ -97,19 +97,20 @@ class LabelModel:
 
 
 class Grams:
-    """Sparse vectors of log n-gram counts, all of length ``LENGTH``, of the rows of a batch: lists of gaps
-    between the grams' places and of their counts."""
+    """Sparse vectors of log n-gram counts, all of length ``LENGTH``, of the rows of a batch: gaps between the
+    grams' places (int16) and their counts (int32), both little-endian."""
 
-    def __init__(self, gaps: pa.ListArray, counts: pa.ListArray):
+    def __init__(self, gaps: pa.Array, counts: pa.Array):
         self.rows = len(gaps)
-        size = np.diff(gaps.offsets.to_numpy())
+        gap, off = T.text_buffer(gaps)
+        gap, size = gap.view("<i2"), np.diff(off) // 2
         self.row = np.repeat(np.arange(self.rows), size)
-        at = np.cumsum(gaps.flatten().to_numpy(), dtype=np.int64)
+        at = np.cumsum(gap, dtype=np.int64)
         first = (np.cumsum(size) - size)[size > 0]
         before = np.zeros(self.rows, np.int64)
         before[size > 0] = np.concatenate(([0], at))[first]
         self.at = at - before[self.row]
-        value = np.log1p(counts.flatten().to_numpy().astype(float))
+        value = np.log1p(np.frombuffer(T.text_buffer(counts)[0].tobytes(), "<i4").astype(float))
         norm = np.sqrt(np.bincount(self.row, value ** 2, self.rows))
         self.value = value * (LENGTH / np.maximum(norm, 1e-9))[self.row]
 
@@ -121,8 +122,8 @@ class Grams:
         return np.bincount(self.at, self.value * x[self.row], DIM)
 
 
-def gram_lists(column) -> tuple[pa.ListArray, pa.ListArray]:
-    """The lists of :class:`Grams` for a text column."""
+def gram_lists(column) -> tuple[pa.Array, pa.Array]:
+    """The binary columns of :class:`Grams` for a text column."""
     gaps, counts, size = [], [], []
     for _, buf, off in T.row_slices(column, ROWS):
         x = T.hashed_grams(buf, off, DIM, _BYTES, SIZES)
@@ -130,11 +131,16 @@ def gram_lists(column) -> tuple[pa.ListArray, pa.ListArray]:
         gap = np.diff(at, prepend=0)
         new = np.flatnonzero(np.diff(row, prepend=-1))
         gap[new] = at[new]
-        gaps.append(gap.astype(np.int16))
-        counts.append(x[row, at].astype(np.int32))
+        gaps.append(gap.astype("<i2"))
+        counts.append(x[row, at].astype("<i4"))
         size.append(np.bincount(row, minlength=len(off) - 1))
     ends = np.concatenate(([0], np.cumsum(np.concatenate(size)))).astype(np.int32)
-    return (pa.ListArray.from_arrays(ends, np.concatenate(gaps)), pa.ListArray.from_arrays(ends, np.concatenate(counts)))
+
+    def binary(parts):
+        values = np.concatenate(parts)
+        return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [
+            None, pa.py_buffer(ends * values.itemsize), pa.py_buffer(values)])
+    return binary(gaps), binary(counts)
 
 
 def sigmoid(m: np.ndarray) -> np.ndarray:
@@ -149,12 +155,13 @@ class Scorer:
         return sigmoid(x.margins(self.w))
 
 
-def sums(x: Grams, y: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """For each column of ``weights``: gradient (DIM + 1) and logistic loss, summed over the rows; the last
-    column holds the sums of squared features and the number of rows."""
-    out = np.empty((DIM + 2, weights.shape[1] + 1))
-    for i, w in enumerate(weights.T):
-        m = x.margins(w)
+def sums(x: Grams, y: np.ndarray, w: np.ndarray, direction: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """For each step along ``direction`` from ``w``: gradient (DIM + 1) and logistic loss, summed over the
+    rows; the last column holds the sums of squared features and the number of rows."""
+    out = np.empty((DIM + 2, len(steps) + 1))
+    base, slope = x.margins(w), x.margins(direction)
+    for i, step in enumerate(steps):
+        m = base + step * slope
         miss = sigmoid(m) - y
         out[:DIM, i], out[DIM, i] = x.totals(miss), miss.sum()
         out[DIM + 1, i] = (np.logaddexp(0, m) - y * m).sum()
@@ -166,23 +173,23 @@ class Descent:
     """Limited-memory quasi-Newton steps on the mean loss plus ``ridge`` / 2 times the squared weights;
     each step picks the best of several lengths."""
 
-    STEPS = 2.0 ** -np.arange(0, 9, 2)
+    STEPS, NO_STEP = 2.0 ** -np.arange(0, 9, 2), np.zeros(1)
 
     def __init__(self, ridge: float = 1e-4):
         self.ridge = np.append(np.full(DIM, ridge), 0.0)
         self.w, self.direction = np.zeros(DIM + 1), np.zeros(DIM + 1)
         self.best, self.gradient, self.pairs, self.scale = np.inf, None, [], None
 
-    def candidates(self) -> np.ndarray:
-        if self.gradient is None:
-            return self.w[:, None]
-        return self.w[:, None] + self.STEPS * self.direction[:, None]
+    def line(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, direction and step lengths of the next round."""
+        return self.w, self.direction, self.NO_STEP if self.gradient is None else self.STEPS
 
     def take(self, total: np.ndarray) -> None:
-        """``total`` are the :func:`sums` of the candidates over all rows."""
-        n, tried = total[DIM + 1, -1], self.candidates()
+        """``total`` are the :func:`sums` of the line over all rows."""
+        n = total[DIM + 1, -1]
         if not n:
             return
+        tried = self.w[:, None] + self.line()[2] * self.direction[:, None]
         loss = total[DIM + 1, :-1] / n + (self.ridge[:, None] * tried ** 2).sum(axis=0) / 2
         gradient = total[:DIM + 1, :-1] / n + self.ridge[:, None] * tried
         i = int(np.argmin(loss))
@@ -214,13 +221,14 @@ class Descent:
 
 
 def _training_table(docs: DataFrame, text_col: str) -> DataFrame:
-    """(_row struct of the other columns, p vote pattern, g gaps, n counts) of every row, written once."""
+    """(_row struct of the other columns, p vote pattern, and g, n as in :class:`Grams`) of every row, written
+    once."""
     T.prepare(docs.sparkSession)
     rest = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c != text_col])
     source = docs.select(F.col(f"`{text_col}`").alias("_t"), rest.alias("_row"))
     schema = S.StructType([source.schema["_row"], S.StructField("p", S.LongType()),
-                           S.StructField("g", S.ArrayType(S.ShortType())),
-                           S.StructField("n", S.ArrayType(S.IntegerType()))])
+                           S.StructField("g", S.BinaryType()),
+                           S.StructField("n", S.BinaryType())])
 
     def scan(batches):
         for b in batches:
@@ -242,21 +250,21 @@ def _fit(table: DataFrame, rounds: int) -> tuple[LabelModel, Scorer]:
     labels = LabelModel(np.array([r.p for r in rows], np.int64), np.array([r.n for r in rows], np.int64))
     descent = Descent()
     for _ in range(rounds if rows else 0):
-        descent.take(_summed(table, labels, descent.candidates()))
+        descent.take(_summed(table, labels, descent.line()))
     return labels, Scorer(descent.w)
 
 
-def _summed(table: DataFrame, labels: LabelModel, weights: np.ndarray) -> np.ndarray:
+def _summed(table: DataFrame, labels: LabelModel, line: tuple) -> np.ndarray:
     """:func:`sums` over all rows."""
-    shared = table.sparkSession.sparkContext.broadcast((labels, weights))
-    n = weights.shape[1] + 1
+    shared = table.sparkSession.sparkContext.broadcast((labels, line))
+    n = len(line[2]) + 1
 
     def scan(batches):
-        labels, weights = shared.value
+        labels, line = shared.value
         total, seen = np.zeros((DIM + 2, n)), False
         for b in batches:
             if b.num_rows:
-                total += sums(Grams(b.column(1), b.column(2)), labels.posterior_of(b.column(0)), weights)
+                total += sums(Grams(b.column(1), b.column(2)), labels.posterior_of(b.column(0)), *line)
                 seen = True
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(DIM + 2, dtype=np.int32)),

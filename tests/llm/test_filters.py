@@ -173,7 +173,9 @@ def test_scorer_brute(spark, documents):
     grams = quality_classifier.Grams(*quality_classifier.gram_lists(pa.array(texts)))
     rng = np.random.default_rng(0)
     w, y = rng.normal(0, 0.1, (quality_classifier.DIM + 1, 2)), rng.random(len(texts))
-    got = quality_classifier.sums(grams, y, w)
+    steps = np.array([0.0, 0.3])
+    got = quality_classifier.sums(grams, y, *w.T, steps)
+    w = w[:, :1] + steps * w[:, 1:]
     margin = x @ w[:-1] + w[-1]
     miss = 1 / (1 + np.exp(-margin)) - y[:, None]
     assert np.allclose(got[:-2, :-1], x.T @ miss) and np.allclose(got[-2, :-1], miss.sum(axis=0))
@@ -183,10 +185,11 @@ def test_scorer_brute(spark, documents):
     labels, scorer = quality_classifier.fit(documents)
     y = labels.posterior(quality_classifier.votes(quality_rules.rule_statistics(buf, off))[:-3])
     grams = quality_classifier.Grams(*quality_classifier.gram_lists(pa.array(texts[:-3])))
-    loss = lambda w: quality_classifier.sums(grams, y, w[:, None])[-1, 0] / len(y)
+    at = lambda w: quality_classifier.sums(grams, y, w, w, np.zeros(1)) / len(y)
+    loss = lambda w: at(w)[-1, 0]
     w = np.zeros(quality_classifier.DIM + 1)
     for _ in range(300):  # plain gradient descent
-        w -= 0.2 * quality_classifier.sums(grams, y, w[:, None])[:-1, 0] / len(y)
+        w -= 0.2 * at(w)[:-1, 0]
     assert loss(scorer.w) < loss(w) < loss(w * 0)
 
 
