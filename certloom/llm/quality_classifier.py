@@ -103,7 +103,8 @@ class Grams:
     def __init__(self, gaps: pa.Array, counts: pa.Array):
         self.rows = len(gaps)
         gap, off = T.text_buffer(gaps)
-        gap, size = gap.view("<i2"), np.diff(off) // 2
+        gap, self.size = gap.view("<i2"), np.diff(off) // 2
+        size = self.size
         self.row = np.repeat(np.arange(self.rows), size)
         at = np.cumsum(gap, dtype=np.int64)
         first = (np.cumsum(size) - size)[size > 0]
@@ -119,7 +120,7 @@ class Grams:
 
     def totals(self, x: np.ndarray) -> np.ndarray:
         """Sum of the vectors, each times its ``x``."""
-        return np.bincount(self.at, self.value * x[self.row], DIM)
+        return np.bincount(self.at, self.value * np.repeat(x, self.size), DIM)
 
 
 def gram_lists(column) -> tuple[pa.Array, pa.Array]:
@@ -157,7 +158,8 @@ class Scorer:
 
 def sums(x: Grams, y: np.ndarray, w: np.ndarray, direction: np.ndarray, steps: np.ndarray) -> np.ndarray:
     """For each step along ``direction`` from ``w``: gradient (DIM + 1) and logistic loss, summed over the
-    rows; the last column holds the sums of squared features and the number of rows."""
+    rows; the last column holds the number of rows and, for the first round (one step), the sums of squared
+    features."""
     out = np.empty((DIM + 2, len(steps) + 1))
     base, slope = x.margins(w), x.margins(direction)
     for i, step in enumerate(steps):
@@ -165,7 +167,7 @@ def sums(x: Grams, y: np.ndarray, w: np.ndarray, direction: np.ndarray, steps: n
         miss = sigmoid(m) - y
         out[:DIM, i], out[DIM, i] = x.totals(miss), miss.sum()
         out[DIM + 1, i] = (np.logaddexp(0, m) - y * m).sum()
-    out[:DIM, -1], out[DIM:, -1] = np.bincount(x.at, x.value ** 2, DIM), len(y)
+    out[:DIM, -1], out[DIM:, -1] = np.bincount(x.at, x.value ** 2, DIM) if len(steps) == 1 else 0, len(y)
     return out
 
 

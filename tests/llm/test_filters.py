@@ -181,7 +181,8 @@ def test_scorer_brute(spark, documents):
     assert np.allclose(got[:-2, :-1], x.T @ miss) and np.allclose(got[-2, :-1], miss.sum(axis=0))
     assert np.allclose(got[-1, :-1], -(y[:, None] * -np.logaddexp(0, -margin)
                                        + (1 - y[:, None]) * -np.logaddexp(0, margin)).sum(axis=0))
-    assert np.allclose(got[:-2, -1], (x ** 2).sum(axis=0)) and got[-1, -1] == len(texts)
+    one = quality_classifier.sums(grams, y, w[:, 0], w[:, 1], steps[:1])
+    assert np.allclose(one[:-2, -1], (x ** 2).sum(axis=0)) and one[-1, -1] == got[-1, -1] == len(texts)
     labels, scorer = quality_classifier.fit(documents)
     y = labels.posterior(quality_classifier.votes(quality_rules.rule_statistics(buf, off))[:-3])
     grams = quality_classifier.Grams(*quality_classifier.gram_lists(pa.array(texts[:-3])))
