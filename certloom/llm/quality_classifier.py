@@ -6,7 +6,8 @@ over all documents) estimates each labeller's accuracy on good and on bad docume
 a document's pattern is its soft label.  A linear scorer over hashed byte n-grams is then trained on the
 soft labels of all documents in ``rounds`` rounds: a round broadcasts a few weight vectors (steps of
 several lengths along one quasi-Newton direction) and sums the loss and gradient of each over all
-rows; the best one is where the next round starts.  The sums do not depend on how the rows are
+rows; the best one is where the next round starts.  Gradients are summed for the lengths that are likely to be the
+best only; should another be, it is read once more.  The sums do not depend on how the rows are
 partitioned, nor does the result, but for the last digits of doubles.
 
 No given label is used.  The texts are read once, into a table of vote patterns and sparse gram counts
@@ -156,16 +157,18 @@ class Scorer:
         return sigmoid(x.margins(self.w))
 
 
-def sums(x: Grams, y: np.ndarray, w: np.ndarray, direction: np.ndarray, steps: np.ndarray) -> np.ndarray:
-    """For each step along ``direction`` from ``w``: gradient (DIM + 1) and logistic loss, summed over the
-    rows; the last column holds the number of rows and, for the first round (one step), the sums of squared
-    features."""
-    out = np.empty((DIM + 2, len(steps) + 1))
+def sums(x: Grams, y: np.ndarray, w: np.ndarray, direction: np.ndarray, steps: np.ndarray,
+         gradients: int | None = None) -> np.ndarray:
+    """For each step along ``direction`` from ``w``: gradient (DIM + 1; of the first ``gradients`` steps only,
+    else 0) and logistic loss, summed over the rows; the last column holds the number of rows and, for the first
+    round (one step), the sums of squared features."""
+    out = np.zeros((DIM + 2, len(steps) + 1))
     base, slope = x.margins(w), x.margins(direction)
     for i, step in enumerate(steps):
         m = base + step * slope
-        miss = sigmoid(m) - y
-        out[:DIM, i], out[DIM, i] = x.totals(miss), miss.sum()
+        if gradients is None or i < gradients:
+            miss = sigmoid(m) - y
+            out[:DIM, i], out[DIM, i] = x.totals(miss), miss.sum()
         out[DIM + 1, i] = (np.logaddexp(0, m) - y * m).sum()
     out[:DIM, -1], out[DIM:, -1] = np.bincount(x.at, x.value ** 2, DIM) if len(steps) == 1 else 0, len(y)
     return out
@@ -176,36 +179,45 @@ class Descent:
     each step picks the best of several lengths."""
 
     STEPS, NO_STEP = 2.0 ** -np.arange(0, 9, 2), np.zeros(1)
+    LIKELY = 2  # with past steps to go by, one of the first two lengths is nearly always the best
 
     def __init__(self, ridge: float = 1e-4):
         self.ridge = np.append(np.full(DIM, ridge), 0.0)
         self.w, self.direction = np.zeros(DIM + 1), np.zeros(DIM + 1)
-        self.best, self.gradient, self.pairs, self.scale = np.inf, None, [], None
+        self.best, self.gradient, self.pairs, self.scale, self.chosen = np.inf, None, [], None, None
 
-    def line(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start, direction and step lengths of the next round."""
-        return self.w, self.direction, self.NO_STEP if self.gradient is None else self.STEPS
+    def line(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """Start, direction and step lengths of the next reading, and of how many of these the gradient is wanted."""
+        steps = self.NO_STEP if self.gradient is None else self.STEPS if self.chosen is None else self.chosen
+        return self.w, self.direction, steps, self.LIKELY if self.pairs and len(steps) > 1 else len(steps)
 
-    def take(self, total: np.ndarray) -> None:
-        """``total`` are the :func:`sums` of the line over all rows."""
+    def take(self, total: np.ndarray) -> bool:
+        """``total`` are the :func:`sums` of the line over all rows.  False if the best step's gradient is still
+        to be read."""
         n = total[DIM + 1, -1]
         if not n:
-            return
-        tried = self.w[:, None] + self.line()[2] * self.direction[:, None]
+            return True
+        steps, gradients = self.line()[2:]
+        tried = self.w[:, None] + steps * self.direction[:, None]
         loss = total[DIM + 1, :-1] / n + (self.ridge[:, None] * tried ** 2).sum(axis=0) / 2
-        gradient = total[:DIM + 1, :-1] / n + self.ridge[:, None] * tried
         i = int(np.argmin(loss))
+        if i >= gradients and loss[i] < self.best:
+            self.chosen = steps[i:i + 1]
+            return False
+        self.chosen = None
+        gradient = total[:DIM + 1, :-1] / n + self.ridge[:, None] * tried
         if self.gradient is None:
             self.scale = 1 / (total[:DIM + 1, -1] / (4 * n) + self.ridge + 1e-6)
         elif loss[i] >= self.best:  # no length is better: start again at shorter ones
             self.direction = self.direction * self.STEPS[-1] / 2
-            return
+            return True
         else:
             s, g = tried[:, i] - self.w, gradient[:, i] - self.gradient
             if s @ g > 0:
                 self.pairs.append((s, g))
         self.w, self.gradient, self.best = tried[:, i], gradient[:, i], loss[i]
         self.direction = -self._scaled(self.gradient)
+        return True
 
     def _scaled(self, g: np.ndarray) -> np.ndarray:
         past = []
@@ -252,7 +264,8 @@ def _fit(table: DataFrame, rounds: int) -> tuple[LabelModel, Scorer]:
     labels = LabelModel(np.array([r.p for r in rows], np.int64), np.array([r.n for r in rows], np.int64))
     descent = Descent()
     for _ in range(rounds if rows else 0):
-        descent.take(_summed(table, labels, descent.line()))
+        while not descent.take(_summed(table, labels, descent.line())):
+            pass
     return labels, Scorer(descent.w)
 
 
