@@ -88,3 +88,23 @@ def test_between_matches_each_pattern_once(spark):
     assert [r[0] for r in d.select(c).collect()] == ["Shackle ", "", "", "Shackle", None, None, None]
     plan = d.select(c)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.split(" AS ")[0].count("regexp_extract_all") == 2 and "RLIKE" not in plan
+
+
+def test_header_cells_searched_once(spark):
+    """A header fold lower-cases each cell once; only cells that name a label reach it, and these feed the first label
+    still unset."""
+    from certloom.plans import layouts
+    schema = "h array<string>, v array<string>"
+    d = spark.createDataFrame([
+        ([None, "Identification description", "DESCRIPTION swl", "swl quantity", "quantity", "other"],
+         ["z", " a ", "x\ny", None, "3.7", "o"]),
+        (["swl", "swl", "quantity", "quantity"], [None, " 5te", "x", "2"]), (None, None)], schema)
+    for fold in (layouts.sparrow_header_fold, lambda h, v: layouts.centurion_header_fold(h, v, True)):
+        plan = d.select(fold(F.col("h"), F.col("v")).alias("s"))._jdf.queryExecution().analyzed().toString()
+        assert plan.count("lower(") == 1
+    got = [tuple(r.s) for r in d.select(layouts.sparrow_header_fold(F.col("h"), F.col("v")).alias("s")).collect()]
+    assert got == [("a", "x y", None, 3), (None, None, "5te", 2), (None, None, None, None)]
+    c = spark.createDataFrame([(["Description", "working", "next", "next", "certificate"],
+                                ["d\ne", " 5t", "31/02/2024", "1/2/2024", " C1 "])], schema)
+    assert tuple(c.select(layouts.centurion_header_fold(F.col("h"), F.col("v"), True).alias("s")).first().s) == (
+        "d e", 0, 0, "5t", "01/02/2024", "C1")
