@@ -68,6 +68,32 @@ def test_status_builds_no_grid(spark):
         assert "tables" not in plan and "ExistingRDD" not in plan
 
 
+def test_routing_is_hashed(spark):
+    """A document's client is found without a sort: of several first pages the greatest keyword counts, and a document
+    without one stays."""
+    pages = spark.createDataFrame([("a", 1, "sparrows centurion"), ("a", 1, "first integrated"), ("a", 2, "Sparrows"),
+                                   ("b", 2, "Sparrows"), ("c", 1, " "), ("c", 1, None), ("d", 1, "x"), (None, 1, "CENTURION")],
+                                  "doc_id string, page_no int, text string")
+    got = {r.doc_id: (r.client, r.blank) for r in pipeline.route_documents(pages).collect()}
+    old = pages.where("page_no = 1").groupBy("doc_id").agg(F.max(pipeline.route_keyword(F.col("text"))).alias("c"))
+    assert got == {"a": ("Sparrows", False), "b": (None, None), "c": (None, True), "d": (None, False),
+                   None: ("Centurion", False)}
+    assert {r.doc_id: r.c for r in old.collect()} == {k: c for k, (c, _) in got.items() if k != "b"}
+    plan = pipeline.route_documents(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Sort [" not in plan and "HashAggregate" in plan
+
+
+def test_status_stores_keys_only(spark):
+    """Of the lines, the status and the manifest store what keys and texts are made from; the pages stay the same."""
+    few, whole = (catalog.mixed_pages(spark, SF, grids=g) for g in (False, True))
+    names = ["doc_id", "path", "page_no", "text"]
+    assert few.columns == names and whole.select(names).exceptAll(few).isEmpty() and few.exceptAll(
+        whole.select(names)).isEmpty()
+    import pyarrow.parquet as pq
+    (stored,) = {f.rsplit("/", 1)[0] for f in few.inputFiles() if "/lines-" in f}
+    assert pq.ParquetDataset(stored.removeprefix("file:").replace("///", "/")).schema.names == ["l_orderkey", "page_no"]
+
+
 def test_range_chunks_are_dealt(spark):
     plan = catalog.REGISTRY["id_dash_range"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "_chunk" in plan and "Exchange hashpartitioning" in plan
