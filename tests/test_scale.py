@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from certloom.functions import fields, ids
 from certloom.operators.expand import explode_ids
-from certloom.plans import catalog, pipeline
+from certloom.plans import carriers, catalog, pipeline
 from certloom.plans.carriers import fixture_dictionary
 from certloom.sources.readers import PAGE_GRIDS_SCHEMA
 
@@ -62,6 +62,38 @@ def test_one_shuffle_of_unexpanded_items(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+@pytest.mark.parametrize("limit", [1 << 19, 40, 20])
+def test_bucketed_outcomes_shuffle_no_item(spark, monkeypatch, limit):
+    """Over outcomes in buckets by document no item is shuffled, unless the buckets are too few for the IDs; the items
+    are the same."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        d, pages = fixture_dictionary(spark), spark.createDataFrame(PAGES, PAGE_GRIDS_SCHEMA)
+        want = rows(pipeline.items_of(catalog.page_outcomes(pages, "Sparrows"), d, numbered=True))
+        monkeypatch.setattr(pipeline, "CLUSTER_IDS", limit)
+        items = pipeline.items_of(catalog.page_outcomes(pages, "Sparrows", buckets=3), d, numbered=True, buckets=3)
+        assert rows(items) == want
+        if limit == 1 << 19:
+            assert "Exchange hashpartitioning" not in items._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_derived_pages_are_shuffled_once(spark):
+    """The shuffle that numbers the lines partitions them by document: storing outcomes adds none, and no grid is
+    stored."""
+    tasks = carriers.document_tasks(spark, SF)
+    for make, args in ((carriers.sparrow_pages, ()), (carriers.first_integrated_pages, ("register",))):
+        pages = carriers.apart(make(spark, SF, *args, lines=carriers.numbered(spark, SF, tasks)))
+        plan = pages.repartition(tasks, "doc_id")._jdf.queryExecution().executedPlan().toString()
+        assert re.findall(r"Exchange hashpartitioning\((\w+)", plan) == ["cast"] and "grids-" not in plan
+        key = ["doc_id", "page_no", "text", "tables"]
+        assert sorted(map(str, pages.select(key).collect())) == sorted(map(str, make(spark, SF, *args).select(key).collect()))
+    plan = catalog.REGISTRY["extract_fi_cells"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+
+
 def test_status_builds_no_grid(spark):
     for name in ("document_status_mixed", "sink_manifest"):
         plan = catalog.REGISTRY[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
