@@ -62,7 +62,7 @@ def test_one_shuffle_of_unexpanded_items(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-@pytest.mark.parametrize("limit", [1 << 19, 40, 20])
+@pytest.mark.parametrize("limit", [1 << 19, 20])
 def test_bucketed_outcomes_shuffle_no_item(spark, monkeypatch, limit):
     """Over outcomes in buckets by document no item is shuffled, unless the buckets are too few for the IDs; the items
     are the same."""
@@ -119,8 +119,7 @@ def test_status_stores_keys_only(spark):
     """Of the lines, the status and the manifest store what keys and texts are made from; the pages stay the same."""
     few, whole = (catalog.mixed_pages(spark, SF, grids=g) for g in (False, True))
     names = ["doc_id", "path", "page_no", "text"]
-    assert few.columns == names and whole.select(names).exceptAll(few).isEmpty() and few.exceptAll(
-        whole.select(names)).isEmpty()
+    assert few.columns == names and sorted(map(str, few.collect())) == sorted(map(str, whole.select(names).collect()))
     import pyarrow.parquet as pq
     (stored,) = {f.rsplit("/", 1)[0] for f in few.inputFiles() if "/lines-" in f}
     assert pq.ParquetDataset(stored.removeprefix("file:").replace("///", "/")).schema.names == ["l_orderkey", "page_no"]
